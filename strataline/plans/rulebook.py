@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import datetime as dt
 
-from strataline.functions.dates import OLDEST_DAY, AsOf, day
+from strataline.functions.dates import OLDEST_DAY
 from strataline.quality.rules import (
+    Horizon,
     Rule,
     accepted_range,
     accepted_values,
@@ -34,12 +35,9 @@ SOURCES = ("csv", "api")
 CATEGORY_ID = "^.{2}_.{2}$"
 
 
-def _oldest(_: AsOf):
-    return day(OLDEST_DAY)
-
-
-def _adult(as_of: AsOf):
-    return F.add_months(day(as_of), -12 * 18)
+OLDEST = dt.date.fromisoformat(OLDEST_DAY)
+TODAY = Horizon()
+ADULT = Horizon(years_back=18)
 
 
 def _each(rule, *columns: str) -> list[Rule]:
@@ -51,15 +49,15 @@ def _positive(column: str) -> Rule:
 
 
 def _since_1900(column: str) -> Rule:
-    return accepted_range(column, low=_oldest)
+    return accepted_range(column, low=OLDEST)
 
 
 def _past(column: str) -> Rule:
-    return accepted_range(column, low=_oldest, high=day)
+    return accepted_range(column, low=OLDEST, high=TODAY)
 
 
 def _adult_birthday(column: str) -> Rule:
-    return accepted_range(column, low=_oldest, high=_adult)
+    return accepted_range(column, low=OLDEST, high=ADULT)
 
 
 def _title(column: str) -> Rule:

@@ -34,15 +34,21 @@ def load_bronze_files(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 class Stage(Mapping[str, DataFrame]):
-    """Silver tables by name, each planned when first asked for."""
+    """Silver tables by name, each planned (and stored, if so wished) when first asked for."""
 
-    def __init__(self, bronze: Mapping[str, DataFrame], ctx: RunContext) -> None:
+    def __init__(
+        self,
+        bronze: Mapping[str, DataFrame],
+        ctx: RunContext,
+        store: Callable[[DataFrame, str], DataFrame] | None = None,
+    ) -> None:
         self._bronze, self._ctx = bronze, ctx
+        self._store = store or (lambda df, name: df)
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = self._build(name)
+            self._built[name] = self._store(self._build(name), name)
         return self._built[name]
 
     def _build(self, name: str) -> DataFrame:
@@ -126,30 +132,27 @@ class Star:
         )
 
 
-def refresh(bronze: Mapping[str, DataFrame], ctx: RunContext, dense: bool = False) -> Star:
-    """Rebuild silver and gold as tables, each model reading stored inputs."""
-    spark = next(iter(bronze.values())).sparkSession
-    tables.create_schemas(spark, ("silver", "gold"))
-    plan = Stage(bronze, ctx)
-    stored: dict[str, DataFrame] = {}
-    for name in plan:
-        if name == API_ORDERS:
-            model = silver.api_orders(
-                bronze["djapi_order"],
-                stored["stg_djapi__product"],
-                stored["stg_djapi__customer"],
-                ctx,
-            )
-        else:
-            model = plan[name]
-        stored[name] = tables.materialise(model, name)
-    star = Star(stored, ctx, dense, store=tables.materialise)
-    for model, name in (
-        (star.customers, "dim_customers"),
-        (star.products, "dim_products"),
-        (star.sales, "fact_sales"),
-    ):
-        tables.materialise(model, name)
+def refresh(
+    bronze: Mapping[str, DataFrame],
+    ctx: RunContext,
+    dense: bool = False,
+    store: Callable[[DataFrame, str], DataFrame] = tables.materialise,
+) -> Star:
+    """Rebuild silver and gold, storing every model before the next one reads it.
+
+    ``store`` writes a model and returns the stored table; by default a table in the
+    model's layer.
+    """
+    if store is tables.materialise:
+        spark = next(iter(bronze.values())).sparkSession
+        tables.create_schemas(spark, ("silver", "gold"))
+    stage = Stage(bronze, ctx, store)
+    for name in stage:
+        stage[name]
+    star = Star(stage, ctx, dense, store)
+    store(star.customers, "dim_customers")
+    store(star.products, "dim_products")
+    star.sales = store(star.sales, "fact_sales")
     return star
 
 

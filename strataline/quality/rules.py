@@ -7,6 +7,7 @@ can be declared before a session exists.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataline.functions import text
-from strataline.functions.dates import AsOf
+from strataline.functions.dates import AsOf, day
 from strataline.operators.joins import orphans
 from strataline.operators.rollup import repeated_keys
 
@@ -38,7 +39,22 @@ TEST_CATEGORIES = {
     "assert_less_than": "accuracy",
 }
 
-Bound = object  # a literal, or a function of the horizon giving a Column
+
+@dataclass(frozen=True)
+class Horizon:
+    """A bound that moves with the run: the horizon, or so many years before it."""
+
+    years_back: int = 0
+
+    def column(self, as_of: AsOf) -> Column:
+        return F.add_months(day(as_of), -12 * self.years_back)
+
+
+Bound = int | float | dt.date | Horizon | None
+
+
+def _bound(value: Bound, as_of: AsOf) -> Column:
+    return value.column(as_of) if isinstance(value, Horizon) else F.lit(value)
 
 
 @dataclass(frozen=True)
@@ -69,9 +85,10 @@ class Rule:
 
 @dataclass(frozen=True)
 class RowRule(Rule):
-    """Fails on rows for which the condition is true."""
+    """Fails on rows for which the condition is true; ``params`` restates its settings."""
 
     condition: Callable[[AsOf], Column] = field(default=None, compare=False)
+    params: tuple = ()
 
 
 @dataclass(frozen=True)
@@ -108,7 +125,10 @@ def unique_combination(*columns: str) -> KeyRule:
 
 def accepted_values(column: str, *values: str) -> ValueRule:
     return ValueRule(
-        "accepted_values", (column,), condition=lambda _: ~F.col(column).isin(*values)
+        "accepted_values",
+        (column,),
+        condition=lambda _: ~F.col(column).isin(*values),
+        params=values,
     )
 
 
@@ -117,24 +137,28 @@ def accepted_range(
 ) -> RowRule:
     """Outside the bounds; NULL is no violation. Bounds may depend on the horizon."""
 
-    def bound(value: Bound, as_of: AsOf) -> Column:
-        return value(as_of) if callable(value) else F.lit(value)
-
     def condition(as_of: AsOf) -> Column:
         value, outside = F.col(column), F.lit(False)
         if low is not None:
-            edge = bound(low, as_of)
+            edge = _bound(low, as_of)
             outside = outside | ((value < edge) if inclusive else (value <= edge))
         if high is not None:
-            edge = bound(high, as_of)
+            edge = _bound(high, as_of)
             outside = outside | ((value > edge) if inclusive else (value >= edge))
         return outside
 
-    return RowRule("dbt_utils.accepted_range", (column,), condition=condition)
+    return RowRule(
+        "dbt_utils.accepted_range", (column,), condition=condition, params=(low, high, inclusive)
+    )
 
 
 def matches_pattern(column: str, pattern: str) -> RowRule:
-    return RowRule("matches_pattern", (column,), condition=lambda _: ~F.col(column).rlike(pattern))
+    return RowRule(
+        "matches_pattern",
+        (column,),
+        condition=lambda _: ~F.col(column).rlike(pattern),
+        params=(pattern,),
+    )
 
 
 # The letter cases a column can be held to.
@@ -149,6 +173,7 @@ def assert_case(column: str, case: str = "upper") -> RowRule:
         (column,),
         args=case,
         condition=lambda _: F.col(column) != CASES[case](F.col(column)),
+        params=(case,),
     )
 
 
@@ -160,19 +185,28 @@ def no_whitespace(column: str) -> RowRule:
 
 def assert_length(column: str, length: int) -> RowRule:
     return RowRule(
-        "assert_length", (column,), condition=lambda _: F.length(F.col(column)) != length
+        "assert_length",
+        (column,),
+        condition=lambda _: F.length(F.col(column)) != length,
+        params=(length,),
     )
 
 
 def contains_string(column: str, part: str) -> RowRule:
     return RowRule(
-        "contains_string", (column,), condition=lambda _: F.instr(F.col(column), part) == 0
+        "contains_string",
+        (column,),
+        condition=lambda _: F.instr(F.col(column), part) == 0,
+        params=(part,),
     )
 
 
 def not_contains_string(column: str, part: str) -> RowRule:
     return RowRule(
-        "not_contains_string", (column,), condition=lambda _: F.instr(F.col(column), part) > 0
+        "not_contains_string",
+        (column,),
+        condition=lambda _: F.instr(F.col(column), part) > 0,
+        params=(part,),
     )
 
 
@@ -202,12 +236,17 @@ def assert_formula(
             return F.abs(F.col(column) - expected) > tolerance
         return F.col(column) != expected
 
-    return RowRule("assert_formula", (column,), args=op, condition=condition)
+    return RowRule(
+        "assert_formula", (column,), args=op, condition=condition, params=(left, right, op)
+    )
 
 
 def assert_less_than(column: str, other: str) -> RowRule:
     return RowRule(
-        "assert_less_than", (column,), condition=lambda _: F.col(column) >= F.col(other)
+        "assert_less_than",
+        (column,),
+        condition=lambda _: F.col(column) >= F.col(other),
+        params=(other,),
     )
 
 

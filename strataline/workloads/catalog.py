@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from strataline.workloads import (  # noqa: F401  (importing registers the queries)
+    aggregate_cases,
+    fault_cases,
+    io_cases,
     kpi_cases,
     model_cases,
+    quality_cases,
     relational_cases,
+    scalar_cases,
+    v1_cases,
 )
 from strataline.workloads.registry import CASES, runnable
 

@@ -15,10 +15,15 @@ def trim(text: str) -> str:
     return f"trim({text}, '{WHITESPACE}')"
 
 
+def upper(text: str) -> str:
+    """Full Unicode upper case; the oracle engine maps one letter to one letter."""
+    return f"replace(upper({text}), 'ẞ', 'SS')"
+
+
 def words(text: str) -> str:
     return (
         f"array_to_string(list_transform(regexp_extract_all(lower({text}), "
-        f"'[^{DELIMITERS}]+|[{DELIMITERS}]+'), lambda w: upper(w[1:1]) || substring(w, 2)), '')"
+        f"'[^{DELIMITERS}]+|[{DELIMITERS}]+'), lambda w: {upper('w[1:1]')} || substring(w, 2)), '')"
     )
 
 

@@ -32,9 +32,7 @@ class Feeds(Mapping[str, DataFrame]):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            select = self._selects[name]
-            sources = {t: self._inputs.table(t) for t in feeds.table_names(select)}
-            self._built[name] = self._inputs.spark.sql(select, **sources)
+            self._built[name] = self._inputs.feed(self._selects[name])
         return self._built[name]
 
     def __iter__(self):
@@ -63,6 +61,11 @@ class Inputs:
             raise AttributeError(name)
         return self.table(name)
 
+    def feed(self, select: str) -> DataFrame:
+        """Run a SELECT over benchmark tables written as ``{name}``."""
+        sources = {name: self.table(name) for name in feeds.table_names(select)}
+        return self.spark.sql(select, **sources)
+
     @cached_property
     def bronze(self) -> Mapping[str, DataFrame]:
         """Dirty all-string feeds."""
