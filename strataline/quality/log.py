@@ -74,12 +74,17 @@ def _to_log(df: DataFrame) -> DataFrame:
     )
 
 
-def read_artifacts(spark: SparkSession, path: str | Sequence[str], ddl: str) -> DataFrame:
-    """Artifact documents, one per file; the folder name ``run_id=...`` names the run."""
+def read_artifacts(
+    spark: SparkSession, path: str | Sequence[str], ddl: str, one_per_line: bool = False
+) -> DataFrame:
+    """Artifact documents of many runs.
+
+    One document per file, with the run named by the folder ``run_id=...``; or one
+    document per line, carrying its ``run_id``.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    return (
-        spark.read.schema(f"{ddl}, run_id string").option("multiLine", True).json(paths)
-    )
+    reader = spark.read.schema(f"{ddl}, run_id string").option("multiLine", not one_per_line)
+    return reader.json(paths)
 
 
 def parse_artifacts(

@@ -47,14 +47,14 @@ def scan_csv_text(
 ) -> DataFrame:
     """Header CSV with every column as string and lower-case names.
 
-    The schema is declared, so there is no inference pass; files split across tasks
-    because quoted line breaks are not expected in the feeds.
+    The schema is declared, so there is no inference pass, and the header must agree
+    with it; files split across tasks because quoted line breaks are not expected.
     """
     paths = [path] if isinstance(path, str) else list(path)
     raw = lower_names(
         spark.read.schema(text_schema(columns))
         .option("header", True)
-        .option("enforceSchema", True)
+        .option("enforceSchema", False)
         .csv(paths)
     )
     return raw.select(*[null_tokens(F.col(c), na_tokens).alias(c) for c in raw.columns])

@@ -117,6 +117,42 @@ for _data_type in CLEAN:
     _faults_case(_data_type)
 
 
+# Each kind of damage on every row of a column, and which strategies it took
+
+DAMAGED = {
+    "fi2_damage_ids": ("order", "cust_id"),
+    "fi3_damage_texts": ("user", "last_name"),
+    "fi4_damage_keys": ("product", "pkey"),
+    "fi5_damage_prices": ("order", "total_price"),
+}
+_BUILDERS = {
+    "id": faults.damage_id,
+    "string": faults.damage_text,
+    "key": faults.damage_key,
+    "price": faults.damage_price,
+}
+
+
+def _damage_case(name: str, data_type: str, field: str) -> None:
+    kind, key = faults.FIELD_FAULTS[field], KEYS[data_type]
+
+    @case(
+        name,
+        f"SELECT {key} AS record_id, {damaged(field, kind, key)} AS damaged "
+        f"FROM ({_source(data_type)}) AS clean",
+    )
+    def build(t):
+        key_column = faults.record_key(data_type)
+        return _clean(t, data_type).select(
+            key_column.alias("record_id"),
+            _BUILDERS[kind](F.col(field), key_column, field, SEED).alias("damaged"),
+        )
+
+
+for _name, (_kind, _field) in DAMAGED.items():
+    _damage_case(_name, _kind, _field)
+
+
 _DAY = "min(CAST(try_strptime(sls_order_dt, '%Y%m%d') AS DATE))"
 
 

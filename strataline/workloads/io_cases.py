@@ -137,6 +137,22 @@ def io7(t):
     return t.spark.read.schema(shown.schema).parquet(path)
 
 
+@case(
+    "io8_truncate_insert",
+    "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey FROM supplier",
+)
+def io8(t):
+    """Filled twice, the table holds the last filling in its own column types."""
+    path = scratch_path(t.spark, "target")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    shown = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
+    empty = conform.align(shown, schema("s_suppkey bigint, s_name string, s_nationkey bigint"))
+    empty.filter(F.lit(False)).write.option("path", path).saveAsTable(name, format="parquet")
+    tables.truncate_insert(shown, name)
+    tables.truncate_insert(shown, name, order=["s_nationkey"])
+    return t.spark.table(name)
+
+
 @case("io9_append_partitioned_log", _log_sql(), "bronze")
 def io9(t):
     """Appending the same run twice leaves it once."""

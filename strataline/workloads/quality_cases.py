@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strataline.operators import joins, profiling
 from strataline.plans import rulebook
 from strataline.quality import log, rules, runner
+from strataline.session import scratch_path
 from strataline.sources.tables import literal_table
 from strataline.workloads import oracle_stages as sql
 from strataline.workloads.feeds import AS_OF
@@ -379,11 +380,43 @@ def _artifact_sql(source: str, trigger: str, counts: str, backfilled: str) -> st
             'test.d' FROM {source}"""
 
 
+@case(
+    "io14_artifact_scan", _artifact_sql("orders", "schedule", "CAST(NULL AS BIGINT)", "false")
+)
+def io14(t):
+    """The artifacts go through files, one document per line."""
+    manifests, results = scratch_path(t.spark, "manifests"), scratch_path(t.spark, "results")
+    _manifests(t).write.json(manifests)
+    _run_results(t).write.json(results)
+    parsed = log.parse_artifacts(
+        log.read_artifacts(t.spark, manifests, log.MANIFEST_DDL, one_per_line=True),
+        log.read_artifacts(t.spark, results, log.RUN_RESULTS_DDL, one_per_line=True),
+        _runs(t),
+    )
+    return _shown_log(parsed)
+
+
+@case(
+    "dq15_severity_statuses",
+    f"""SELECT status, count(*) AS rule_count, CAST(sum(failure_count) AS BIGINT) AS failures
+        FROM ({" UNION ALL ".join(
+            counting_sql("stg_crm__prd_info", r) for r in rulebook.STAGING["stg_crm__prd_info"]
+        )}) AS r GROUP BY status""",
+    "bronze",
+)
+def dq15(t):
+    model = "stg_crm__prd_info"
+    results = runner.check_model(model, t.silver[model], rulebook.STAGING[model], AS_OF)
+    return results.groupBy("status").agg(
+        F.count(F.lit(1)).alias("rule_count"), F.sum("failure_count").alias("failures")
+    )
+
+
 def _shown_log(df):
     return portable(df.drop("run_started_at"))
 
 
-@case("dq20_parse_artifacts", _artifact_sql("orders", "schedule", "CAST(NULL AS BIGINT)", "false"))
+@case("dq20_j14_parse_artifacts", _artifact_sql("orders", "schedule", "CAST(NULL AS BIGINT)", "false"))
 def dq20(t):
     return _shown_log(log.parse_artifacts(_manifests(t), _run_results(t), _runs(t)))
 

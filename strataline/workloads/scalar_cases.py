@@ -319,6 +319,53 @@ def f24(t):
     return t.orders.select("o_orderkey", dates.to_compact(shifted).alias("shifted"))
 
 
+@case(
+    "f25_compact_text",
+    """SELECT strftime(l_shipdate, '%Y%m%d') AS ship_day, count(*) AS row_count
+       FROM lineitem GROUP BY 1""",
+)
+def f25(t):
+    grouped = t.lineitem.groupBy(dates.to_compact("l_shipdate").alias("ship_day"))
+    return grouped.agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@case(
+    "f27_f28_round_and_safe_ratio",
+    """SELECT p_partkey, CAST(round(CAST(p_retailprice AS DECIMAL(12,3)) / 8, 2) AS DOUBLE)
+                  AS rounded,
+              p_retailprice / nullif(p_size - 25, 0) AS ratio FROM part""",
+)
+def f27(t):
+    exact = F.col("p_retailprice").cast("decimal(12,3)") / 8
+    ratio = numbers.safe_ratio("p_retailprice", (F.col("p_size") - 25).cast("double"))
+    return t.part.select(
+        "p_partkey", F.round(exact, 2).cast("double").alias("rounded"), ratio.alias("ratio")
+    )
+
+
+@case(
+    "f31_ordinal_bands",
+    f"""SELECT band, count(*) AS row_count FROM
+            (SELECT CASE WHEN a BETWEEN 18 AND 24 THEN '18-24' WHEN a BETWEEN 25 AND 34 THEN '25-34'
+                         WHEN a BETWEEN 35 AND 44 THEN '35-44' WHEN a BETWEEN 45 AND 54 THEN '45-54'
+                         WHEN a BETWEEN 55 AND 64 THEN '55-64' ELSE '65+' END AS band
+             FROM (SELECT p_size * 2 AS a FROM part) AS sized) AS banded GROUP BY band""",
+)
+def f31(t):
+    grouped = t.part.groupBy(dates.age_band(F.col("p_size") * 2).alias("band"))
+    counted = grouped.agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.orderBy(dates.age_band_order("band"))
+
+
+@case(
+    "f36_cast_to_text",
+    """SELECT CAST(user_id AS VARCHAR) AS user_text, count(*) AS row_count FROM events GROUP BY 1""",
+)
+def f36(t):
+    grouped = t.events.groupBy(F.col("user_id").cast("string").alias("user_text"))
+    return grouped.agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @case(
     "f26_arithmetic",
     """SELECT s_suppkey, abs(s_acctbal - 5000) AS gap,
