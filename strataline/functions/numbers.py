@@ -34,14 +34,24 @@ def mismatch(total: Column, price: Column, quantity: Column) -> Column:
     return total != price * quantity
 
 
-def repair_sales(sales: Column, quantity: Column, price: Column) -> Column:
-    """CRM line total, recomputed when missing or inconsistent."""
-    count = quantity.try_cast(COUNT)
-    differs = mismatch(sales, price, count)
+def expected_sales(price: Column, quantity: Column) -> Column:
+    """Price x quantity with all nine decimals; a projection of its own keeps it one product."""
+    return price * quantity.try_cast(COUNT)
+
+
+def repair_sales(
+    sales: Column, quantity: Column, price: Column, expected: Column | None = None
+) -> Column:
+    """CRM line total, recomputed when missing or inconsistent.
+
+    ``expected`` may name a column that already holds :func:`expected_sales`.
+    """
+    product = expected_sales(price, quantity) if expected is None else expected
+    differs = sales != product
     return (
-        F.when(sales.isNull() & quantity.isNotNull() & price.isNotNull(), F.abs(price) * F.abs(count))
-        .when(differs & (count == 0), F.abs(price))
-        .when(differs, F.abs(price) * F.abs(count))
+        F.when(sales.isNull() & product.isNotNull(), F.abs(product))
+        .when(differs & (quantity == 0), F.abs(price))
+        .when(differs, F.abs(product))
         .otherwise(sales)
         .cast(AMOUNT)
     )

@@ -15,7 +15,13 @@ from strataline.operators.history import first_per_key
 
 
 def _keys(df: DataFrame, key: str, name: str = "_member") -> DataFrame:
-    return df.select(F.col(key).alias(name))
+    """The distinct keys of a table.
+
+    Semi and anti joins would accept repeated keys, but a key that repeats millions
+    of times would fill one task, and that side of such a join is never split. The
+    distinct step combines map-side and its exchange also serves the join.
+    """
+    return df.select(F.col(key).alias(name)).distinct()
 
 
 def keep_members(df: DataFrame, key: Column | str, members: DataFrame, member_key: str) -> DataFrame:
@@ -41,13 +47,15 @@ def not_in(df: DataFrame, key: str, others: DataFrame, other_key: str) -> DataFr
 
     An empty list keeps every row; a NULL in the list keeps none; otherwise rows
     with a NULL key are dropped. Spark's own null-aware anti join needs the list to
-    fit a broadcast; here it shuffles, and the two facts about the list arrive as
-    scalar subqueries.
+    fit a broadcast; here it shuffles, and the two facts about the list arrive in
+    one scalar subquery.
     """
     facts = others.agg(
-        F.count(F.lit(1)).alias("size"), F.count_if(F.col(other_key).isNull()).alias("nulls")
-    )
-    size, nulls = facts.select("size").scalar(), facts.select("nulls").scalar()
+        F.struct(
+            F.count(F.lit(1)).alias("size"), F.count_if(F.col(other_key).isNull()).alias("nulls")
+        ).alias("facts")
+    ).scalar()
+    size, nulls = facts.getField("size"), facts.getField("nulls")
     absent = df.join(_keys(others, other_key), F.col(key) == F.col("_member"), "left_anti")
     return absent.filter((size == 0) | ((nulls == 0) & F.col(key).isNotNull()))
 

@@ -101,7 +101,11 @@ def crm_sales(bronze: DataFrame, ctx: RunContext) -> DataFrame:
         F.col("sls_price").try_cast(numbers.AMOUNT).alias("sls_price"),
     )
     sales, quantity, price = (F.col(c) for c in ("sls_sales", "sls_quantity", "sls_price"))
-    total = numbers.repair_sales_when_not_positive if ctx.is_v1 else numbers.repair_sales
+    if ctx.is_v1:
+        total = numbers.repair_sales_when_not_positive(sales, quantity, price)
+    else:
+        typed = typed.withColumn("_expected", numbers.expected_sales(price, quantity))
+        total = numbers.repair_sales(sales, quantity, price, F.col("_expected"))
     cleaned = typed.select(
         "sls_ord_num",
         "sls_prd_key",
@@ -110,7 +114,7 @@ def crm_sales(bronze: DataFrame, ctx: RunContext) -> DataFrame:
             dates.within_horizon(c, ctx.as_of, include_as_of=not ctx.is_v1).alias(c)
             for c in day_columns
         ],
-        total(sales, quantity, price).alias("sls_sales"),
+        total.alias("sls_sales"),
         numbers.repair_quantity(quantity).alias("sls_quantity"),
         numbers.repair_price(price, sales, quantity).alias("sls_price"),
     )

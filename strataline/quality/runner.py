@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataline.functions.dates import AsOf
@@ -19,22 +19,30 @@ from strataline.quality.rules import (
 )
 from strataline.sources.tables import literal_table
 
-RESULT = "rule_id string, failure_count bigint"
+RESULT = "rule_id string, failure_count bigint, row_count bigint"
 
 
-def _entry(rule: Rule, count: Column) -> Column:
+def _entry(rule: Rule, count: Column, rows: Column | None = None) -> Column:
     return F.struct(
-        F.lit(rule.rule_id).alias("rule_id"), count.cast("bigint").alias("failure_count")
+        F.lit(rule.rule_id).alias("rule_id"),
+        count.cast("bigint").alias("failure_count"),
+        (F.lit(None) if rows is None else rows).cast("bigint").alias("row_count"),
     )
 
 
 def _row_counts(df: DataFrame, rules: Sequence[RowRule], as_of: AsOf) -> DataFrame:
-    """All row rules of a model in one aggregate over one scan."""
+    """All row rules of a model, and its row count, in one aggregate over one scan."""
     counted = df.agg(
-        *[F.count_if(rule.condition(as_of)).alias(f"r{i}") for i, rule in enumerate(rules)]
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(rule.condition(as_of)).alias(f"r{i}") for i, rule in enumerate(rules)],
     )
-    entries = F.array(*[_entry(rule, F.col(f"r{i}")) for i, rule in enumerate(rules)])
-    return counted.select(F.inline(entries))
+    entries = [_entry(rule, F.col(f"r{i}"), F.col("n")) for i, rule in enumerate(rules)]
+    total = F.struct(
+        F.lit(None).cast("string").alias("rule_id"),
+        F.lit(0).cast("bigint").alias("failure_count"),
+        F.col("n").alias("row_count"),
+    )
+    return counted.select(F.inline(F.array(*entries, total)))
 
 
 def _key_text(rule: Rule) -> Column:
@@ -63,7 +71,9 @@ def _value_counts(df: DataFrame, rules: Sequence[Rule], as_of: AsOf) -> DataFram
     per_value = flat.groupBy("entry.rule_id", "entry.value").agg(F.count(F.lit(1)).alias("rows"))
     value_rules = [rule.rule_id for rule in rules if isinstance(rule, ValueRule)]
     offends = (F.col("rows") > 1) | F.col("rule_id").isin(*value_rules)
-    return per_value.groupBy("rule_id").agg(F.count_if(offends).alias("failure_count"))
+    return per_value.groupBy("rule_id").agg(
+        F.count_if(offends).alias("failure_count"), F.lit(None).cast("bigint").alias("row_count")
+    )
 
 
 def count_failures(
@@ -72,22 +82,32 @@ def count_failures(
     as_of: AsOf,
     parents: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Failures per rule: one pass for rows, one for values and keys, one per parent."""
+    """Failures per rule: one pass for rows, one for values and keys, one per parent.
+
+    The row count comes with the first pass. It is spread over the results by a
+    window without partitions, whose input is one row per declared rule.
+    """
     spark = df.sparkSession
     row_rules = [r for r in rules if isinstance(r, RowRule) and not isinstance(r, ValueRule)]
     value_rules = [r for r in rules if isinstance(r, (ValueRule, KeyRule))]
     parent_rules = [r for r in rules if isinstance(r, ParentRule)]
-    parts = [literal_table(spark, [(r.rule_id, 0) for r in value_rules], RESULT)]
-    if row_rules:
-        parts.append(_row_counts(df, row_rules, as_of))
+    parts = [_row_counts(df, row_rules, as_of)]
     if value_rules:
+        parts.append(literal_table(spark, [(r.rule_id, 0, None) for r in value_rules], RESULT))
         parts.append(_value_counts(df, value_rules, as_of))
     for rule in parent_rules:
         lost = failing_rows(df, rule, as_of, parents)
-        counted = lost.agg(F.count(F.lit(1)).alias("n")).select(F.array(_entry(rule, F.col("n"))).alias("e"))
-        parts.append(counted.select(F.inline("e")))
-    united = reduce(DataFrame.unionByName, parts)
-    return united.groupBy("rule_id").agg(F.sum("failure_count").alias("failure_count"))
+        counted = lost.agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counted.select(F.inline(F.array(_entry(rule, F.col("n"))))))
+    per_rule = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("rule_id")
+        .agg(F.sum("failure_count").alias("failure_count"), F.max("row_count").alias("row_count"))
+    )
+    rows = F.max("row_count").over(Window.partitionBy())
+    return per_rule.select("rule_id", "failure_count", rows.alias("evaluated_rows")).filter(
+        F.col("rule_id").isNotNull()
+    )
 
 
 def status_of(failures: Column, severity: Column) -> Column:
@@ -115,12 +135,10 @@ def check_model(
         "rule_id string, model_name string, column_name string, test_name string, "
         "test_category string, severity string",
     )
-    rows = df.agg(F.count(F.lit(1))).scalar()
     counted = count_failures(df, rules, as_of, parents)
     return (
         counted.join(declared, "rule_id")
         .withColumn("status", status_of(F.col("failure_count"), F.col("severity")))
-        .withColumn("evaluated_rows", rows)
     )
 
 

@@ -17,6 +17,9 @@ ADAPTIVE_SETTINGS = {
     # A third of the rows may share one join key. Splitting such a partition is
     # worth an extra exchange when the join is followed by an aggregation.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot interprets methods over 8000 bytecodes. Above that size, fall back to
+    # per-operator code, which is split into methods that do get compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -227,14 +227,7 @@ def io17(t):
 )
 def io10(t):
     """Silver and gold written model by model to shared storage, then read back."""
-    folder = scratch_path(t.spark, "layers")
-
-    def store(df, model):
-        path = f"{folder}/{tables.layer_of(model)}/{model}"
-        tables.full_refresh_files(df, path)
-        return t.spark.read.schema(df.schema).parquet(path)
-
-    star = warehouse.refresh(t.bronze, CTX, store=store)
+    star = warehouse.refresh(t.bronze, CTX, store=t.stored)
     return portable(
         star.sales.groupBy("data_source").agg(
             F.count(F.lit(1)).alias("row_count"), F.sum("total_sales_amount").alias("total_sales")

@@ -210,6 +210,7 @@ def _model_rules_case(model: str, declared: list[rules.Rule], stage: str) -> Non
 
     @case(name, oracle, stage)
     def build(t):
+        """Rules run on stored tables, so the model is computed once."""
         source = t.silver if stage == "bronze" else t.clean_silver
         star = t.star_from_bronze if stage == "bronze" else t.star
         marts = {
@@ -222,7 +223,8 @@ def _model_rules_case(model: str, declared: list[rules.Rule], stage: str) -> Non
             return marts[needed]() if needed in marts else source[needed]
 
         parents = {r.parent: table(r.parent) for r in declared if isinstance(r, rules.ParentRule)}
-        return runner.check_model(model, table(model), declared, AS_OF, parents).select(*SHOWN)
+        checked = t.stored(table(model), model)
+        return runner.check_model(model, checked, declared, AS_OF, parents).select(*SHOWN)
 
 
 for _model, _declared in rulebook.STAGING.items():

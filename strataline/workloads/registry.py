@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from strataline.plans import warehouse
 from strataline.plans.silver import RunContext
-from strataline.session import apply_adaptive_settings
+from strataline.session import apply_adaptive_settings, scratch_path
+from strataline.sources.tables import full_refresh_files
 from strataline.workloads import feeds
 from strataline.workloads.oracle_stages import GOLD, SILVER
 
@@ -66,6 +67,12 @@ class Inputs:
         sources = {name: self.table(name) for name in feeds.table_names(select)}
         return self.spark.sql(select, **sources)
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a model to shared storage and read it back, as a refresh would."""
+        path = scratch_path(self.spark, name)
+        full_refresh_files(df, path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @cached_property
     def bronze(self) -> Mapping[str, DataFrame]:
         """Dirty all-string feeds."""
