@@ -92,13 +92,18 @@ def strictly_between_horizons(value: Column | str, as_of: AsOf) -> Column:
     return F.when((moment > day(OLDEST_DAY)) & (moment < day(as_of)), moment.cast("date"))
 
 
+def _day_number(value: Column) -> Column:
+    return F.year(value) * 10000 + F.month(value) * 100 + F.dayofmonth(value)
+
+
 def age_in_years(born: Column | str, as_of: AsOf) -> Column:
-    """Completed years of life on ``as_of`` (Feb-29 birthdays wait for Mar-1)."""
-    birth, today = as_column(born), day(as_of)
-    birthday_ahead = (F.month(birth) > F.month(today)) | (
-        (F.month(birth) == F.month(today)) & (F.dayofmonth(birth) > F.dayofmonth(today))
-    )
-    return F.year(today) - F.year(birth) - birthday_ahead.cast("int")
+    """Completed years of life on ``as_of`` (Feb-29 birthdays wait for Mar-1).
+
+    Written as yyyymmdd, two days are whole years apart by the difference's leading
+    digits.
+    """
+    difference = _day_number(day(as_of)) - _day_number(as_column(born))
+    return F.floor(difference / 10000).cast("int")
 
 
 def age_band(age: Column | str) -> Column:

@@ -29,11 +29,6 @@ def percentage(part: Column | str, whole: Column | str) -> Column:
     )
 
 
-def mismatch(total: Column, price: Column, quantity: Column) -> Column:
-    """Total and price x quantity are all known and differ."""
-    return total != price * quantity
-
-
 def expected_sales(price: Column, quantity: Column) -> Column:
     """Price x quantity with all nine decimals; a projection of its own keeps it one product."""
     return price * quantity.try_cast(COUNT)
@@ -59,12 +54,8 @@ def repair_sales(
 
 def repair_sales_when_not_positive(sales: Column, quantity: Column, price: Column) -> Column:
     """First-generation rule: only missing, zero or negative totals are rebuilt."""
-    rebuilt = F.coalesce(quantity.try_cast(COUNT), F.lit(1).cast(COUNT)) * F.abs(price)
-    return (
-        F.when((sales.isNull() | (sales <= 0)) & price.isNotNull(), rebuilt)
-        .otherwise(sales)
-        .cast(AMOUNT)
-    )
+    rebuilt = F.abs(price) * F.coalesce(quantity.try_cast(COUNT), F.lit(1).cast(COUNT))
+    return F.when((sales > 0) | price.isNull(), sales).otherwise(rebuilt).cast(AMOUNT)
 
 
 def repair_quantity(quantity: Column) -> Column:
@@ -96,11 +87,8 @@ def repair_total(
     ``rebuild_missing=False`` is the first-generation rule, which leaves a missing
     total alone.
     """
-    differs = mismatch(total, unit_price, quantity)
-    ladder = F.when(differs & (quantity == 0), unit_price).when(
-        differs, unit_price * F.abs(quantity)
-    )
-    if rebuild_missing:
-        known = total.isNull() & quantity.isNotNull() & unit_price.isNotNull()
-        ladder = ladder.when(known, F.abs(unit_price) * F.abs(quantity))
-    return ladder.otherwise(total)
+    product = unit_price * quantity
+    stands = product.isNull() | (total == product)
+    rebuilt = F.when(quantity == 0, F.abs(unit_price)).otherwise(F.abs(product))
+    missing = F.abs(product) if rebuild_missing else F.lit(None)
+    return F.when(total.isNull(), missing).when(stands, total).otherwise(rebuilt)

@@ -50,17 +50,17 @@ def next_start(
     pairs are chained inside calendar buckets, and a bucket's last pair takes the
     first start of the key's next bucket. Only then are the rows joined back, which
     adaptive execution can split when a pair is hot. Rows of one pair follow each
-    other, so all but the greatest ``tie_break`` see their own start again.
+    other, so all but the greatest ``tie_break`` see their own start again. Rows
+    without a start come first, and ``tie_break`` must be unique within a pair.
 
     ``bucket`` defaults to the month of ``start``; pass the day for timestamps.
     """
     moment = F.col(start)
     span = F.trunc(moment.cast("date"), "month") if bucket is None else bucket
-    dated = df.filter(moment.isNotNull())
-    pairs = dated.groupBy(
+    pairs = df.groupBy(
         F.col(key).alias("_key"), span.alias("_bucket"), moment.alias("_start")
     ).agg(F.max(tie_break).alias("_last"))
-    heads = dated.groupBy(F.col(key).alias("_key"), span.alias("_bucket")).agg(
+    heads = df.groupBy(F.col(key).alias("_key"), span.alias("_bucket")).agg(
         F.min(moment).alias("_head")
     )
     by_key = Window.partitionBy("_key").orderBy("_bucket")
@@ -75,7 +75,7 @@ def next_start(
         .join(
             following,
             F.col("_key").eqNullSafe(F.col("_head_key"))
-            & (F.col("_bucket") == F.col("_head_bucket")),
+            & F.col("_bucket").eqNullSafe(F.col("_head_bucket")),
         )
         .select(
             "_key",
@@ -86,12 +86,11 @@ def next_start(
     )
     joined = df.join(
         chained,
-        F.col(key).eqNullSafe(F.col("_key")) & (moment == F.col("_start")),
+        F.col(key).eqNullSafe(F.col("_key")) & moment.eqNullSafe(F.col("_start")),
         "left",
     )
-    follows = F.when(F.col(tie_break) == F.col("_last"), F.col("_next")).otherwise(
-        F.col("_start")
-    )
+    is_last = F.col(tie_break).eqNullSafe(F.col("_last"))
+    follows = F.when(is_last, F.col("_next")).otherwise(F.col("_start"))
     return joined.withColumn(result, follows).drop("_key", "_start", "_last", "_next")
 
 

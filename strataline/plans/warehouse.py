@@ -24,6 +24,14 @@ SILVER_MODELS = {
 }
 API_ORDERS = "stg_djapi__order"
 
+# Writes a table under a name and returns it as stored.
+Store = Callable[[DataFrame, str], DataFrame]
+
+
+def _planned(df: DataFrame, name: str) -> DataFrame:
+    """Store nothing: the plan itself is handed on."""
+    return df
+
 
 def load_bronze_files(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The CSV sources under ``root`` as all-string bronze tables."""
@@ -40,10 +48,10 @@ class Stage(Mapping[str, DataFrame]):
         self,
         bronze: Mapping[str, DataFrame],
         ctx: RunContext,
-        store: Callable[[DataFrame, str], DataFrame] | None = None,
+        store: Store | None = None,
     ) -> None:
         self._bronze, self._ctx = bronze, ctx
-        self._store = store or (lambda df, name: df)
+        self._store = store or _planned
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -73,8 +81,14 @@ class Star:
     """Gold tables over silver, each planned when first asked for.
 
     ``customers``, ``products`` and ``sales`` are what readers see; the keyed
-    dimensions also carry the raw id the fact joins on. ``store`` may write a keyed
-    dimension and hand back the stored table, so that the fact reads it from files.
+    dimensions also carry the raw id the fact joins on.
+
+    ``store`` may write a keyed dimension and hand back the stored table. A stored
+    table has a known size: the planner then broadcasts it to the fact when it is
+    under the session's threshold, and only shuffles the fact when it is not. Planned
+    from joins, a dimension's size is a product of estimates, and the fact would be
+    shuffled in either case. ``store_keys`` does the same for the few columns the
+    fact needs, when the whole dimensions are not wanted as tables.
     """
 
     def __init__(
@@ -82,11 +96,13 @@ class Star:
         stage: Mapping[str, DataFrame],
         ctx: RunContext,
         dense: bool = False,
-        store: Callable[[DataFrame, str], DataFrame] | None = None,
+        store: Store | None = None,
+        store_keys: Store | None = None,
     ) -> None:
         self._stage, self._ctx, self._dense = stage, ctx, dense
         self._labels = gold.labels_for(ctx)
-        self._store = store or (lambda df, name: df)
+        self._store = store or _planned
+        self._store_keys = store_keys or _planned
 
     @cached_property
     def keyed_customers(self) -> DataFrame:
@@ -124,8 +140,8 @@ class Star:
         return gold.sales_fact(
             self._stage["stg_crm__sales_details"],
             self._stage[API_ORDERS],
-            self.keyed_customers,
-            self.keyed_products,
+            self._store_keys(gold.customer_keys(self.keyed_customers), "customer_keys"),
+            self._store_keys(gold.product_keys(self.keyed_products), "product_keys"),
             self._ctx,
             self._labels,
             self._dense,
@@ -136,7 +152,7 @@ def refresh(
     bronze: Mapping[str, DataFrame],
     ctx: RunContext,
     dense: bool = False,
-    store: Callable[[DataFrame, str], DataFrame] = tables.materialise,
+    store: Store = tables.materialise,
 ) -> Star:
     """Rebuild silver and gold, storing every model before the next one reads it.
 

@@ -9,10 +9,7 @@ from strataline.workloads.feeds import AS_OF
 from strataline.workloads.registry import case, portable
 
 DAY = f"DATE '{AS_OF}'"
-AGE = (
-    f"(year({DAY}) - year(birthdate) - CASE WHEN month(birthdate) > month({DAY}) OR "
-    f"(month(birthdate) = month({DAY}) AND day(birthdate) > day({DAY})) THEN 1 ELSE 0 END)"
-)
+AGE = f"date_sub('year', birthdate, {DAY})"
 BAND = (
     f"CASE WHEN {AGE} BETWEEN 18 AND 24 THEN '18-24' WHEN {AGE} BETWEEN 25 AND 34 THEN '25-34' "
     f"WHEN {AGE} BETWEEN 35 AND 44 THEN '35-44' WHEN {AGE} BETWEEN 45 AND 54 THEN '45-54' "
@@ -22,13 +19,6 @@ LAG = "date_diff('day', order_date, shipping_date)"
 SHIPPED = "order_date IS NOT NULL AND shipping_date IS NOT NULL"
 
 
-def share(part: str) -> str:
-    return (
-        f"CAST(CAST({part} * 100 AS DECIMAL(38,10)) / nullif(sum({part}) OVER (), 0) "
-        "AS DECIMAL(5,2))"
-    )
-
-
 @case(
     "q1_revenue_per_active_customer",
     """SELECT round(sum(total_sales_amount) / count(DISTINCT customer_key), 2)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strataline.functions import codes
 from strataline.functions.text import WHITESPACE
 from strataline.workloads.feeds import AS_OF, LOAD_TS
 
@@ -47,7 +48,36 @@ def compact_day(text: str) -> str:
 
 def birthday(text: str) -> str:
     parsed = iso_day(text)
-    return f"CASE WHEN {parsed} < DATE '1900-01-01' OR {parsed} > {ADULT} THEN NULL ELSE {parsed} END"
+    return f"CASE WHEN {parsed} BETWEEN DATE '1900-01-01' AND {ADULT} THEN {parsed} END"
+
+
+def coded(text: str, labels: dict[str, str], default: str = "'n/a'") -> str:
+    """Look a code up in a map literal."""
+    codes = ", ".join(f"'{code}'" for code in labels)
+    names = ", ".join(f"'{label}'" for label in labels.values())
+    return f"coalesce(map([{codes}], [{names}])[upper({text})], {default})"
+
+
+def coded_or_kept(text: str, labels: dict[str, str]) -> str:
+    kept = trim(f"replace({text}, chr(13), '')")
+    return coded(kept, labels, f"nullif({kept}, ''), 'n/a'")
+
+
+def sku(text: str) -> str:
+    shaped = f"upper(replace({trim(text)}, '_', '-'))"
+    return f"left({shaped}, CASE WHEN length({text}) > 15 THEN 15 ELSE length({text}) END)"
+
+
+def repaired(total: str, price: str, count: str) -> str:
+    """A stated total stands when it equals price x count or that product is unknown."""
+    return (
+        f"CASE WHEN {total} IS NULL THEN abs({price} * {count}) "
+        f"WHEN {price} * {count} IS NULL OR {total} = {price} * {count} THEN {total} "
+        f"WHEN {count} = 0 THEN abs({price}) ELSE abs({price} * {count}) END"
+    )
+
+
+AT_LEAST_ONE = "CAST(coalesce(nullif(abs(qty), 0), 1) AS BIGINT)"
 
 
 def amount(text: str) -> str:
@@ -58,10 +88,8 @@ SILVER = {
     "stg_crm__cust_info": f"""
         SELECT cst_id, cst_key, {trim("cst_firstname")} AS cst_firstname,
                {trim("cst_lastname")} AS cst_lastname,
-               CASE upper({trim("cst_marital_status")}) WHEN 'S' THEN 'Single'
-                    WHEN 'M' THEN 'Married' ELSE 'n/a' END AS cst_marital_status,
-               CASE upper({trim("cst_gndr")}) WHEN 'F' THEN 'Female' WHEN 'M' THEN 'Male'
-                    ELSE 'n/a' END AS cst_gndr,
+               {coded(trim("cst_marital_status"), codes.MARITAL_CODES)} AS cst_marital_status,
+               {coded(trim("cst_gndr"), codes.GENDER_CODES)} AS cst_gndr,
                cst_create_date, {LOADED}
         FROM (SELECT TRY_CAST(cst_id AS BIGINT) AS cst_id, cst_key, cst_firstname, cst_lastname,
                      cst_marital_status, cst_gndr, {iso_day("cst_create_date")} AS cst_create_date
@@ -75,8 +103,7 @@ SILVER = {
         SELECT prd_id, replace(substring(prd_key, 1, 5), '-', '_') AS cat_id,
                substring(prd_key, 7) AS prd_key, {words("prd_nm")} AS prd_nm,
                CAST(coalesce(nullif(prd_cost, ''), '0') AS DECIMAL(27,9)) AS prd_cost,
-               CASE upper({trim("prd_line")}) WHEN 'M' THEN 'Mountain' WHEN 'R' THEN 'Road'
-                    WHEN 'S' THEN 'Other Sales' WHEN 'T' THEN 'Touring' ELSE 'n/a' END AS prd_line,
+               {coded(trim("prd_line"), codes.LINE_CODES)} AS prd_line,
                CAST(prd_start_dt AS DATE) AS prd_start_dt,
                lead(CAST(prd_start_dt AS DATE)) OVER
                    (PARTITION BY prd_key ORDER BY CAST(prd_start_dt AS DATE), prd_id) - 1
@@ -85,16 +112,10 @@ SILVER = {
     "stg_crm__sales_details": f"""
         SELECT sls_ord_num, sls_prd_key, cust AS sls_cust_id, order_day AS sls_order_dt,
                ship_day AS sls_ship_dt, due_day AS sls_due_dt,
-               CAST(CASE WHEN total IS NULL AND qty IS NOT NULL AND price IS NOT NULL
-                              THEN abs(price) * abs(qty)
-                         WHEN total <> price * qty AND qty > 0 THEN abs(price) * qty
-                         WHEN total <> price * qty AND qty = 0 THEN abs(price)
-                         WHEN total <> price * qty AND qty < 0 THEN abs(price) * abs(qty)
-                         ELSE total END AS DECIMAL(27,9)) AS sls_sales,
+               CAST({repaired("total", "price", "qty")} AS DECIMAL(27,9)) AS sls_sales,
                CAST(abs(coalesce(qty, 1)) AS BIGINT) AS sls_quantity,
-               CAST(CASE WHEN (price IS NULL OR price = 0) AND abs(qty) > 0 AND total IS NOT NULL
-                              THEN total / abs(qty)
-                         WHEN price < 0 THEN abs(price) ELSE price END AS DECIMAL(27,9))
+               CAST(CASE WHEN coalesce(price, 0) = 0 AND qty <> 0 AND total IS NOT NULL
+                         THEN total / abs(qty) ELSE abs(price) END AS DECIMAL(27,9))
                    AS sls_price, {LOADED}
         FROM (SELECT sls_ord_num, sls_prd_key, TRY_CAST(sls_cust_id AS BIGINT) AS cust,
                      {compact_day("sls_order_dt")} AS order_day,
@@ -104,57 +125,38 @@ SILVER = {
                      TRY_CAST(sls_quantity AS DECIMAL(10,0)) AS qty
               FROM crm_sales_details) AS typed""",
     "stg_erp__cust_az12": f"""
-        SELECT CASE WHEN cid LIKE 'NAS%' THEN substring(cid, 4) ELSE cid END AS cid,
-               {birthday("bdate")} AS bdate,
-               CASE upper({trim("replace(coalesce(gen, ''), chr(13), '')")}) WHEN '' THEN 'n/a'
-                    WHEN 'F' THEN 'Female' WHEN 'M' THEN 'Male'
-                    ELSE {trim("replace(gen, chr(13), '')")} END AS gen, {LOADED}
+        SELECT regexp_replace(cid, '^NAS', '') AS cid, {birthday("bdate")} AS bdate,
+               {coded_or_kept("gen", codes.GENDER_CODES)} AS gen, {LOADED}
         FROM erp_cust_az12""",
     "stg_erp__loc_a101": f"""
         SELECT replace(cid, '-', '') AS cid,
-               CASE {trim("replace(upper(coalesce(cntry, '')), chr(13), '')")}
-                    WHEN 'US' THEN 'United States' WHEN 'USA' THEN 'United States'
-                    WHEN 'DE' THEN 'Germany' WHEN 'AU' THEN 'Australia'
-                    WHEN 'AUS' THEN 'Australia' WHEN 'CA' THEN 'Canada' WHEN 'CAN' THEN 'Canada'
-                    WHEN 'FR' THEN 'France' WHEN 'UK' THEN 'United Kingdom' WHEN '' THEN 'n/a'
-                    ELSE {trim("replace(cntry, chr(13), '')")} END AS cntry, {LOADED}
+               {coded_or_kept("cntry", codes.COUNTRY_CODES)} AS cntry, {LOADED}
         FROM erp_loc_a101""",
     "stg_erp__px_cat_g1v2": f"""
         SELECT id, {words("coalesce(cat, 'N/A')")} AS cat,
                {words("coalesce(subcat, 'N/A')")} AS subcat,
-               CASE upper(maintenance) WHEN 'YES' THEN 'Yes' WHEN 'Y' THEN 'Yes'
-                    WHEN 'NO' THEN 'No' WHEN 'N' THEN 'No' ELSE 'n/a' END AS maintenance, {LOADED}
+               {coded("maintenance", codes.YES_NO_CODES)} AS maintenance, {LOADED}
         FROM erp_px_cat_g1v2""",
     "stg_djapi__product": f"""
         SELECT {api_id("id")} AS id, {trim(words("replace(title, chr(13), '')"))} AS title,
                {trim(words("replace(coalesce(replace(category, chr(13), ''), 'n/a'), '-', ' ')"))}
                    AS category,
-               CASE WHEN length(pkey) > 15
-                    THEN substring(upper(replace({trim("pkey")}, '_', '-')), 1, 15)
-                    ELSE upper(replace({trim("pkey")}, '_', '-')) END AS pkey,
+               {sku("pkey")} AS pkey,
                createdAt, {LOADED}
         FROM djapi_product WHERE title IS NOT NULL""",
     "stg_djapi__customer": f"""
         SELECT {api_id("id")} AS id,
                coalesce({trim(words("replace(first_name, chr(13), '')"))}, 'n/a') AS first_name,
                coalesce({trim(words("replace(last_name, chr(13), '')"))}, 'n/a') AS last_name,
-               CASE WHEN gender IS NULL OR gender = '' THEN 'n/a'
-                    WHEN upper({trim("gender")}) IN ('M', 'MALE') THEN 'Male'
-                    WHEN upper({trim("gender")}) IN ('F', 'FEMALE') THEN 'Female'
-                    ELSE 'n/a' END AS gender,
+               {coded(trim("gender"), codes.GENDER_WORDS)} AS gender,
                {birthday("birthdate")} AS birthdate,
                {words("city")} AS city, {words("state")} AS state,
                upper({trim("state_code")}) AS state_code,
                {words("replace(country, chr(13), '')")} AS country, {LOADED}
         FROM djapi_customer""",
     "stg_djapi__order": f"""
-        SELECT id, prd_id, cust_id, unit_price,
-               CASE WHEN qty = 0 OR qty IS NULL THEN 1 ELSE abs(qty) END AS quantity,
-               CASE WHEN total IS NULL AND qty IS NOT NULL THEN abs(unit_price) * abs(qty)
-                    WHEN total <> unit_price * qty AND qty > 0 THEN unit_price * qty
-                    WHEN total <> unit_price * qty AND qty = 0 THEN unit_price
-                    WHEN total <> unit_price * qty AND qty < 0 THEN unit_price * abs(qty)
-                    ELSE total END AS total_price, {LOADED}
+        SELECT id, prd_id, cust_id, unit_price, {AT_LEAST_ONE} AS quantity,
+               {repaired("total", "unit_price", "qty")} AS total_price, {LOADED}
         FROM (SELECT {api_id("id")} AS id, {api_id("prd_id")} AS prd_id,
                      {api_id("cust_id")} AS cust_id, TRY_CAST(unit_price AS DOUBLE) AS unit_price,
                      TRY_CAST(quantity AS BIGINT) AS qty, TRY_CAST(total_price AS DOUBLE) AS total
@@ -192,8 +194,7 @@ GOLD = {
         FROM (SELECT CAST(cst_id AS VARCHAR) AS raw_id, cst_key AS customer_number,
                      cst_firstname AS first_name, cst_lastname AS last_name, cntry AS country,
                      cst_marital_status AS marital_status,
-                     CASE WHEN cst_gndr <> 'n/a' THEN cst_gndr ELSE coalesce(gen, 'n/a') END
-                         AS gender,
+                     coalesce(nullif(cst_gndr, 'n/a'), gen, 'n/a') AS gender,
                      bdate AS birthdate, cst_create_date AS create_date, 'csv' AS data_source
               FROM stg_crm__cust_info
                    LEFT JOIN stg_erp__cust_az12 AS born ON cst_key = born.cid
@@ -231,17 +232,14 @@ GOLD = {
               FROM stg_crm__sales_details
                    JOIN dim_products AS p ON sls_prd_key = p.product_number
                    JOIN dim_customers AS c
-                     ON CAST(sls_cust_id AS VARCHAR) = replace(c.customer_id, 'CSV-', '')
-                    AND c.data_source = 'csv'
+                     ON c.customer_id = 'CSV-' || CAST(sls_cust_id AS VARCHAR)
               UNION ALL
               SELECT CAST(o.id AS VARCHAR), p.product_key, c.customer_key,
                      CAST(o.dwh_create_date AS DATE), NULL, NULL, o.total_price, o.quantity,
                      o.unit_price, c.data_source
               FROM stg_djapi__order AS o
                    JOIN dim_customers AS c
-                     ON CAST(o.cust_id AS VARCHAR) = replace(c.customer_id, 'API-', '')
-                    AND c.data_source = 'api'
+                     ON c.customer_id = 'API-' || CAST(o.cust_id AS VARCHAR)
                    JOIN dim_products AS p
-                     ON CAST(o.prd_id AS VARCHAR) = replace(p.product_id, 'API-', '')
-                    AND p.data_source = 'api') AS parts""",
+                     ON p.product_id = 'API-' || CAST(o.prd_id AS VARCHAR)) AS parts""",
 }

@@ -257,8 +257,7 @@ def j3(t):
     "j4_computed_key_join",
     """SELECT o.id, o.prd_id, c.customer_key, c.country FROM stg_djapi__order AS o
        JOIN dim_customers AS c
-         ON CAST(o.cust_id AS VARCHAR) = replace(c.customer_id, 'API-', '')
-        AND c.data_source = 'api'""",
+         ON c.customer_id = 'API-' || CAST(o.cust_id AS VARCHAR)""",
     stage="bronze",
 )
 def j4(t):

@@ -471,8 +471,7 @@ def c1(t):
 
 @case(
     "c2_drop_prefix",
-    """SELECT CASE WHEN cid LIKE 'NAS%' THEN substring(cid, 4) ELSE cid END AS cid
-       FROM erp_cust_az12""",
+    "SELECT regexp_replace(cid, '^NAS', '') AS cid FROM erp_cust_az12",
     "bronze",
 )
 def c2(t):
@@ -481,10 +480,10 @@ def c2(t):
 
 @case(
     "c3_map_codes",
-    f"""SELECT cst_key, CASE upper({sql.trim("cst_marital_status")}) WHEN 'S' THEN 'Single'
-                             WHEN 'M' THEN 'Married' ELSE 'n/a' END AS marital_status,
-               CASE upper({sql.trim("cst_gndr")}) WHEN 'F' THEN 'Female' WHEN 'M' THEN 'Male'
-                    ELSE 'n/a' END AS gender, count(*) AS row_count
+    f"""SELECT cst_key,
+               {sql.coded(sql.trim("cst_marital_status"), codes.MARITAL_CODES)} AS marital_status,
+               {sql.coded(sql.trim("cst_gndr"), codes.GENDER_CODES)} AS gender,
+               count(*) AS row_count
         FROM crm_cust_info GROUP BY 1, 2, 3""",
     "bronze",
 )
@@ -580,12 +579,8 @@ def c9(t):
 
 @case(
     "c10_c12_total_repair",
-    """SELECT unit_price, CASE WHEN qty = 0 OR qty IS NULL THEN 1 ELSE abs(qty) END AS quantity,
-              CASE WHEN total IS NULL AND qty IS NOT NULL THEN abs(unit_price) * abs(qty)
-                   WHEN total <> unit_price * qty AND qty > 0 THEN unit_price * qty
-                   WHEN total <> unit_price * qty AND qty = 0 THEN unit_price
-                   WHEN total <> unit_price * qty AND qty < 0 THEN unit_price * abs(qty)
-                   ELSE total END AS total_price
+    f"""SELECT unit_price, {sql.AT_LEAST_ONE} AS quantity,
+              {sql.repaired("total", "unit_price", "qty")} AS total_price
        FROM (SELECT TRY_CAST(unit_price AS DOUBLE) AS unit_price, TRY_CAST(quantity AS BIGINT) AS qty,
                     TRY_CAST(total_price AS DOUBLE) AS total FROM djapi_order) AS typed
        WHERE unit_price > 0""",
@@ -635,9 +630,7 @@ def c14(t):
 
 @case(
     "c15_normalise_sku",
-    f"""SELECT id, CASE WHEN length(pkey) > 15
-                        THEN substring(upper(replace({sql.trim("pkey")}, '_', '-')), 1, 15)
-                        ELSE upper(replace({sql.trim("pkey")}, '_', '-')) END AS pkey
+    f"""SELECT id, {sql.sku("pkey")} AS pkey
         FROM djapi_product""",
     "bronze",
 )
@@ -647,8 +640,7 @@ def c15(t):
 
 @case(
     "c16_prefer_then_fallback",
-    """SELECT cst_id, CASE WHEN cst_gndr <> 'n/a' THEN cst_gndr ELSE coalesce(gen, 'n/a') END
-                  AS gender
+    """SELECT cst_id, coalesce(nullif(cst_gndr, 'n/a'), gen, 'n/a') AS gender
        FROM stg_crm__cust_info LEFT JOIN stg_erp__cust_az12 AS a ON cst_key = a.cid""",
     "bronze",
 )

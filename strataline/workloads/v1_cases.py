@@ -79,8 +79,8 @@ def t2(t):
 @case(
     "t3_sales_repair",
     """SELECT sls_ord_num, sls_prd_key,
-              CAST(CASE WHEN (total IS NULL OR total <= 0) AND price IS NOT NULL
-                        THEN coalesce(qty, 1) * abs(price) ELSE total END AS DOUBLE) AS sls_sales
+              CAST(CASE WHEN total > 0 OR price IS NULL THEN total
+                        ELSE abs(price) * coalesce(qty, 1) END AS DOUBLE) AS sls_sales
        FROM (SELECT sls_ord_num, sls_prd_key, TRY_CAST(sls_sales AS DECIMAL(12,2)) AS total,
                     TRY_CAST(sls_price AS DECIMAL(12,2)) AS price,
                     TRY_CAST(sls_quantity AS DECIMAL(10,0)) AS qty FROM crm_sales_details) AS s""",
@@ -123,11 +123,9 @@ def t6(t):
 @case(
     "t8_t9_api_orders",
     f"""SELECT id, prd_id, cust_id, unit_price,
-               CASE WHEN qty = 0 OR qty IS NULL THEN 1 ELSE abs(qty) END AS quantity,
-               CASE WHEN total <> unit_price * qty AND qty > 0 THEN unit_price * qty
-                    WHEN total <> unit_price * qty AND qty = 0 THEN unit_price
-                    WHEN total <> unit_price * qty AND qty < 0 THEN unit_price * abs(qty)
-                    ELSE total END AS total_price
+               {sql.AT_LEAST_ONE} AS quantity,
+               CASE WHEN total IS NOT NULL
+                    THEN {sql.repaired("total", "unit_price", "qty")} END AS total_price
         FROM (SELECT {sql.api_id("id")} AS id, {sql.api_id("prd_id")} AS prd_id,
                      {sql.api_id("cust_id")} AS cust_id, TRY_CAST(unit_price AS DOUBLE) AS unit_price,
                      TRY_CAST(quantity AS BIGINT) AS qty, TRY_CAST(total_price AS DOUBLE) AS total

@@ -53,7 +53,8 @@ def test_next_start_equals_window(spark, seed):
     data = []
     for i in range(300):
         key = rng.choice(["hot"] * 6 + ["a", "b", None])
-        data.append((key, D(2020, 1, 1) + dt.timedelta(days=rng.randrange(400)), i))
+        start = D(2020, 1, 1) + dt.timedelta(days=rng.randrange(400))
+        data.append((key, start if rng.random() > 0.05 else None, i))
     df = spark.createDataFrame(data, "k string, s date, t int").repartition(5)
     expected = _plain_lead(df)
     actual = history.next_start(df, "k", "s", "t", "n")
