@@ -191,16 +191,6 @@ def published(dimension: DataFrame) -> DataFrame:
     return dimension.drop(RAW_ID)
 
 
-def customer_keys(dimension: DataFrame) -> DataFrame:
-    """What the fact needs of the customers."""
-    return dimension.select(RAW_ID, "customer_key", "data_source")
-
-
-def product_keys(dimension: DataFrame) -> DataFrame:
-    """What the fact needs of the products."""
-    return dimension.select(RAW_ID, "product_number", "product_key", "data_source")
-
-
 def sales_fact(
     crm_sales: DataFrame,
     api_orders: DataFrame,

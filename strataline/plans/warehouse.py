@@ -83,12 +83,12 @@ class Star:
     ``customers``, ``products`` and ``sales`` are what readers see; the keyed
     dimensions also carry the raw id the fact joins on.
 
-    ``store`` may write a keyed dimension and hand back the stored table. A stored
+    ``store`` writes a keyed dimension and hands back the stored table. A stored
     table has a known size: the planner then broadcasts it to the fact when it is
     under the session's threshold, and only shuffles the fact when it is not. Planned
     from joins, a dimension's size is a product of estimates, and the fact would be
-    shuffled in either case. ``store_keys`` does the same for the few columns the
-    fact needs, when the whole dimensions are not wanted as tables.
+    shuffled in either case. With ``store_late`` dimensions are stored only once the
+    fact asks for them; readers that come later share the stored ones.
     """
 
     def __init__(
@@ -97,12 +97,12 @@ class Star:
         ctx: RunContext,
         dense: bool = False,
         store: Store | None = None,
-        store_keys: Store | None = None,
+        store_late: Store | None = None,
     ) -> None:
         self._stage, self._ctx, self._dense = stage, ctx, dense
         self._labels = gold.labels_for(ctx)
         self._store = store or _planned
-        self._store_keys = store_keys or _planned
+        self._store_late = store_late or _planned
 
     @cached_property
     def keyed_customers(self) -> DataFrame:
@@ -137,11 +137,13 @@ class Star:
 
     @cached_property
     def sales(self) -> DataFrame:
+        self.keyed_customers = self._store_late(self.keyed_customers, "dim_customers_keyed")
+        self.keyed_products = self._store_late(self.keyed_products, "dim_products_keyed")
         return gold.sales_fact(
             self._stage["stg_crm__sales_details"],
             self._stage[API_ORDERS],
-            self._store_keys(gold.customer_keys(self.keyed_customers), "customer_keys"),
-            self._store_keys(gold.product_keys(self.keyed_products), "product_keys"),
+            self.keyed_customers,
+            self.keyed_products,
             self._ctx,
             self._labels,
             self._dense,

@@ -90,12 +90,12 @@ class Inputs:
     @cached_property
     def star(self) -> warehouse.Star:
         """Gold over the clean silver feeds, for KPIs."""
-        return warehouse.Star(self.clean_silver, CTX, store_keys=self.stored)
+        return warehouse.Star(self.clean_silver, CTX, store_late=self.stored)
 
     @cached_property
     def star_from_bronze(self) -> warehouse.Star:
         """Gold over silver over the dirty feeds."""
-        return warehouse.Star(self.silver, CTX, store_keys=self.stored)
+        return warehouse.Star(self.silver, CTX, store_late=self.stored)
 
 
 @dataclass(frozen=True)
