@@ -52,9 +52,8 @@ def iso_instant_day(value: Column | str) -> Column:
 def compact_day(value: Column | str) -> Column:
     """yyyymmdd text or number to a date, NULL when it is no calendar day.
 
-    The eight digits are re-punctuated and cast: Spark's ISO date cast is a plain
-    byte scan, faster than a pattern-driven parser. A sign or leading zeros do not
-    change the number, so they are cut off first.
+    The eight digits are re-punctuated and cast with Spark's ISO date cast. A sign or
+    leading zeros do not change the number, so they are cut off first.
     """
     written = as_column(value).cast("string")
     number = written.try_cast("int")
