@@ -26,6 +26,13 @@ def op1_packing(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS)
     )
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near-copies and its number of links."""
+    from strataline.llm.jaccard import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
     """Every document as read back from the written token files."""
     from strataline.llm.token_files import read_token_files, write_token_files
@@ -44,6 +51,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_token_files": op3_token_files,
     "op9_warc": op9_warc,
 }
