@@ -49,11 +49,19 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every overlap of a document with a benchmark item."""
+    from strataline.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_token_files": op3_token_files,
     "op9_warc": op9_warc,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
