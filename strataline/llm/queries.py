@@ -41,6 +41,15 @@ def op3_token_files(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZE
     return read_token_files(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its spans of personal data."""
+    from strataline.llm.pii import KINDS, find_personal_data
+
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.regexp_count("base", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *(count(k) for k in KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as read back from the written archives."""
     from strataline.llm.warc import read_archives, write_archives
@@ -60,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_token_files": op3_token_files,
+    "op8_personal_data": op8_personal_data,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
 }
