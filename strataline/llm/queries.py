@@ -41,6 +41,20 @@ def op3_token_files(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZE
     return read_token_files(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score."""
+    from strataline.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its importance weight, and whether the resampling keeps it."""
+    from strataline.llm.quality import select_quality
+
+    return select_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its spans of personal data."""
     from strataline.llm.pii import KINDS, find_personal_data
@@ -69,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_token_files": op3_token_files,
+    "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
     "op8_personal_data": op8_personal_data,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,

@@ -6,6 +6,7 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch; long texts would make the default of 10,000 rows too large.
 BATCH_ROWS = 512
@@ -43,6 +44,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def sampled(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """About `rows` rows, at most twice as many: those whose hash of `columns` is small enough.
+
+    The bound on the hash follows from the number of rows, so nothing is sorted or gathered, and
+    the same rows are drawn each time.
+    """
+    share = min(1.0, rows / max(1, df.count()))
+    if share == 1.0:
+        return df
+    bound = int(-(2**63) + share * 2**64)
+    return df.where(F.xxhash64(*columns) < F.lit(bound)).limit(2 * rows)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for long texts. Lowers a session setting, never raises it."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

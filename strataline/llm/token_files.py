@@ -22,15 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataline.llm.storage import AttemptFile, bounded_batches, new_folder, opened
+from strataline.llm.storage import AttemptFile, bounded_batches, new_folder, opened, sampled
 from strataline.llm.tokenization import encoder
 
 MAGIC = b"SLTOKID1"
 INDEX = np.dtype([("doc_id", "<i8"), ("is_null", "u1"), ("offset", "<u8"), ("bytes", "<u8"), ("n_tokens", "<u8")])
 FOOTER = 8 + 8 + len(MAGIC)
 LEVEL = 3
-#: The dictionary is trained on so many documents of at most so many characters: those with the
-#: smallest hashes. It decides how small the files get, never what they hold.
+#: The dictionary is trained on about so many documents, drawn by hash, of which those of at most
+#: so many characters are taken. It decides how small the files get, never what they hold.
 TRAINING_DOCUMENTS = 2000
 TRAINING_CHARS = 20_000
 DICTIONARY_BYTES = 64 * 1024
@@ -64,12 +64,8 @@ def trained(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
 
 def _dictionary(documents: DataFrame, tokenizer_path: str, end: bytes) -> bytes:
     text = F.col("text")
-    some = (
-        documents.select("text")
-        .where(text.isNotNull() & F.length(text).between(1, TRAINING_CHARS))
-        .orderBy(F.xxhash64("text"), "text")
-        .limit(TRAINING_DOCUMENTS)
-    )
+    some = sampled(documents, TRAINING_DOCUMENTS, "doc_id", "text")
+    some = some.where(text.isNotNull() & F.length(text).between(1, TRAINING_CHARS)).select("text")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         samples: list[bytes] = []

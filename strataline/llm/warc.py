@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataline.llm.storage import AttemptFile, bounded_batches, new_folder, opened
+from strataline.llm.storage import AttemptFile, bounded_batches, new_folder, opened, sampled
 
 #: Fixed values of the zstandard and WARC formats.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -23,8 +23,8 @@ VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 LEVEL = 3
-#: The dictionary is trained on so many payloads of at most so many bytes, those with the
-#: smallest hashes. It decides how small the archives get, never what they hold.
+#: The dictionary is trained on about so many payloads, drawn by hash, of which those of at most
+#: so many bytes are taken. It decides how small the archives get, never what they hold.
 TRAINING_PAGES = 1000
 TRAINING_BYTES = 20_000
 DICTIONARY_BYTES = 64 * 1024
@@ -142,12 +142,8 @@ def read_records(stream) -> Iterator[bytes]:
 
 def _trained(payloads: DataFrame) -> bytes:
     payload = F.col("payload")
-    some = (
-        payloads.select("payload")
-        .where(F.length(payload).between(1, TRAINING_BYTES))
-        .orderBy(F.xxhash64("payload"), "payload")
-        .limit(TRAINING_PAGES)
-    )
+    some = sampled(payloads, TRAINING_PAGES, "page_id", "payload").select("payload")
+    some = some.where(F.length(payload).between(1, TRAINING_BYTES))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         samples = [p for batch in batches for p in batch[0].to_pylist()]
