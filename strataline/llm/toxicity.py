@@ -4,25 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from strataline.llm.storage import bounded_batches, sampled
-from strataline.llm.words import word_hashes
+from strataline.llm.words import KNOWN_WORDS, split_words
 
 #: Terms are hashed to so many buckets, of which the most telling ones are kept.
 BUCKETS = 1 << 20
-KEPT = 1024
+KEPT = 512
 #: The model is fitted on about so many labelled rows, drawn by hash.
 TRAINING_ROWS = 12_000
 #: A kept bucket occurs in at least so many training rows.
 LEAST_ROWS = 3
 FACTORS = 8
-EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.02, 1e-4
+PREFIXES = (4, 5, 6)
+#: Steps of the fit, rows in each, their rate, and the pull of weights and factors towards zero.
+STEPS, BATCH, RATE, DECAY = 2000, 256, 0.03, 1e-4
 THRESHOLD = 0.3
 SEED = 7
 
@@ -40,20 +44,38 @@ class FactorizationMachine:
     weights: np.ndarray
     factors: np.ndarray
 
-    def raw(self, terms: np.ndarray) -> float:
-        at = self.column[terms]
-        at = at[at >= 0]
+    def raw(self, at: np.ndarray) -> float:
         some = self.factors[at]
         pairs = 0.5 * float((some.sum(axis=0) ** 2 - (some**2).sum(axis=0)).sum())
         return self.bias + float(self.weights[at].sum()) + pairs
 
-    def score(self, terms: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.raw(terms), -60, 60))))
+    def score(self, at: np.ndarray) -> float:
+        """Between 0 and 1, from the columns of a text's kept terms."""
+        return float(1 / (1 + np.exp(-np.clip(self.raw(at), -60, 60))))
 
 
-def terms_of(text: str | None) -> np.ndarray:
-    """The distinct buckets of a whole text's words. Null and wordless texts have none."""
-    return np.unique(word_hashes(text) & np.uint64(BUCKETS - 1)).astype(np.int32)
+class WordTerms(dict):
+    """The buckets of a word: of the whole word and of its first 4, 5 and 6 letters, since
+    compounds share a stem. With `column`, only the kept ones, as columns."""
+
+    def __init__(self, column: np.ndarray | None = None) -> None:
+        super().__init__()
+        self.column = column
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        forms = [word, *(f"^{word[:k]}" for k in PREFIXES if len(word) >= k)]
+        found = [xxhash.xxh64_intdigest(f.encode("utf-8", "surrogatepass")) % BUCKETS for f in forms]
+        if self.column is not None:
+            found = [c for c in (int(self.column[b]) for b in found) if c >= 0]
+        self[word] = out = tuple(found)
+        return out
+
+    def of(self, text: str | None) -> np.ndarray:
+        """The distinct terms of a whole text. Null and wordless texts have none."""
+        terms = set(chain.from_iterable(map(self.__getitem__, set(split_words(text)))))
+        return np.array(sorted(terms), np.int32)
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray) -> FactorizationMachine:
@@ -83,7 +105,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> FactorizationMachine:
     state = [np.array([machine.bias], np.float32), np.zeros(len(chosen), np.float32)]
     state.append((random.standard_normal((len(chosen), FACTORS)) * 0.01).astype(np.float32))
     first, second, steps = [np.zeros_like(p) for p in state], [np.zeros_like(p) for p in state], 0
-    for _ in range(EPOCHS):
+    while steps < STEPS:
         order = random.permutation(n)
         for k in range(0, n, BATCH):
             some = order[k : k + BATCH]
@@ -126,8 +148,9 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     some = sampled(some, rows, "doc_id")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms_of = WordTerms()
         for batch in batches:
-            terms = pa.array([terms_of(t).tobytes() for t in batch[1].to_pylist()], pa.binary())
+            terms = pa.array([terms_of.of(t).tobytes() for t in batch[1].to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch[0].cast(pa.int32()), terms], names=["toxic", "terms"])
 
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -159,8 +182,9 @@ def with_scores(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_RO
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = packed.value
+        terms = WordTerms(machine.column)
         for batch in batches:
-            scores = [machine.score(terms_of(t)) for t in batch[at].to_pylist()]
+            scores = [machine.score(terms.of(t)) for t in batch[at].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
 
     return documents.mapInArrow(score, kind)
