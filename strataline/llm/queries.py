@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataline.llm import licenses
+
 #: The folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("STRATALINE_TOKENIZERS", "/opt/tokenizers")
 
@@ -55,6 +57,18 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links and its component."""
+    from strataline.llm.embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its places of license phrases and its labels."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its spans of personal data."""
     from strataline.llm.pii import KINDS, find_personal_data
@@ -85,9 +99,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
+    "op6_near_embeddings": op6_near_embeddings,
+    "op7_licenses": op7_licenses,
     "op8_personal_data": op8_personal_data,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_licenses": licenses.oracle()}
