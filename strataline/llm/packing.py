@@ -19,7 +19,7 @@ CAPACITY = 2048
 #: What is left of a document after its full sequences is cut into equal pieces of at most this.
 PIECE_LIMIT = 512
 #: Windows that are balanced together; a batch of pieces holds at most so many times the capacity.
-BATCH_WINDOWS = 256
+BATCH_WINDOWS = 128
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 

@@ -43,6 +43,9 @@ class ChunkEncoder:
             raise ValueError(f"unknown style: {style}")
         self.tokenizer = Tokenizer.from_file(path)
         self.style = style
+        # Where the vocabulary lower-cases, doing it first makes fewer distinct chunks. In Latin-1
+        # every letter has one lower-case form, whatever stands around it.
+        self.lowers = self.tokenizer.encode("ABC", add_special_tokens=False).ids == self.tokenizer.encode("abc", add_special_tokens=False).ids
         self.known: dict[str, bytes | None] = {}
         self.older: dict[str, bytes | None] = {}
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1:]
@@ -93,7 +96,7 @@ class ChunkEncoder:
 
     def _chunks(self, text: str) -> list[str]:
         if self.style == "spaces_dropped":
-            return text.replace("\n", " ").split(" ")
+            return (text.lower() if self.lowers and _is_latin_1(text) else text).replace("\n", " ").split(" ")
         return text.replace("\n", " \n").split(" ")
 
     def _slowly(self, text: str) -> bytes:
@@ -128,6 +131,14 @@ class ChunkEncoder:
         return out
 
 
+def _is_latin_1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _groups(texts: Iterable[str | None]) -> Iterator[list[str]]:
     group, size = [], 0
     for text in texts:
