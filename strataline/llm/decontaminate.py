@@ -18,9 +18,9 @@ MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 7), (0, 1, 2, 4, 7, 9), (0, 2, 5, 7
 MIN_WORDS = 10
 #: ... of which at least this share is equal.
 MIN_EQUAL = 0.8
-#: The filter of item seeds has 16 bits a seed and goes to every task if it stays below this
-#: many bits (16 MB); with more seeds all training seeds are joined.
-FILTER_BITS = 1 << 27
+#: Up to so many distinct item seeds (16 MB) go to every task, which sorts out all other training
+#: seeds before they become rows; with more, all training seeds are joined.
+LISTED_SEEDS = 1 << 21
 
 _SEED = pa.schema([("seed", pa.int64()), ("position", pa.int32())])
 
@@ -101,16 +101,27 @@ def _item_seeds(items: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
     return items.mapInArrow(seeded, "seed long, item_position int, item_id long").distinct()
 
 
-def _seed_filter(item_seeds: DataFrame, count: int) -> np.ndarray | None:
-    """One bit per possible low part of a seed; None if it would get too large to send out."""
-    bits = 1 << max(16, int(16 * count).bit_length())
-    if bits > FILTER_BITS:
+def _listed(item_seeds: DataFrame) -> np.ndarray | None:
+    """The distinct seeds in order; None if there are too many to send out."""
+    distinct = item_seeds.select("seed").distinct()
+    if distinct.count() > LISTED_SEEDS:
         return None
-    position = F.col("seed").bitwiseAND(F.lit(bits - 1))
-    marks = np.zeros(bits, bool)
-    # At most `count` numbers, and that is at most a sixteenth of FILTER_BITS.
-    marks[[r[0] for r in item_seeds.select(position.alias("p")).distinct().collect()]] = True
-    return marks
+    return np.unique(np.array([r[0] for r in distinct.collect()], np.int64).view(np.uint64))
+
+
+class SeedSet:
+    """Finds the members of a sorted set of seeds among many: one bit by the low part, then a search."""
+
+    def __init__(self, seeds: np.ndarray) -> None:
+        self.seeds = seeds
+        self.low = np.uint64((1 << max(16, int(16 * len(seeds)).bit_length())) - 1)
+        self.marks = np.zeros(int(self.low) + 1, bool)
+        self.marks[seeds & self.low] = True
+
+    def positions(self, found: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(self.marks[found & self.low])
+        where = np.minimum(np.searchsorted(self.seeds, found[at]), max(0, len(self.seeds) - 1))
+        return at[self.seeds[where] == found[at]] if len(self.seeds) else at[:0]
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -123,8 +134,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     and text); items with equal id are reported as one, with their longest overlap. A null
     doc_id is reported as null. An empty table on either side gives an empty result.
 
-    Both sides are hashed under the masks; a filter of the items' seeds, of checked size, leaves
-    few training seeds, and these are joined with the items' seeds by value. Only documents with
+    Both sides are hashed under the masks; the items' seeds, of checked number, leave few training
+    seeds in each task, and these are joined with the items' seeds by value. Only documents with
     such a seed are shuffled, as word hashes.
     """
     spark = documents.sparkSession
@@ -134,14 +145,14 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     short = items.where(length < _shortest()).select(length.cast("int").alias("n")).distinct().collect()
     masks = masks_for([r[0] for r in short])  # at most as many as a mask is long
     item_seeds = stored(_item_seeds(items, masks), "item-seeds")
-    marks = _seed_filter(item_seeds, item_seeds.count())
-    packed = None if marks is None else spark.sparkContext.broadcast(np.packbits(marks, bitorder="little"))
+    listed = _listed(item_seeds)
+    packed = None if listed is None else spark.sparkContext.broadcast(listed)
     schema = pa.schema(
         [("row_key", pa.int64()), ("doc_id", pa.int64()), ("words", pa.binary()), ("seeds", pa.list_(pa.int64())), ("positions", pa.list_(pa.int32()))]
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = None if packed is None else np.unpackbits(packed.value, bitorder="little").view(bool)
+        known = None if packed is None else SeedSet(packed.value)
         for batch in batches:
             rows = []
             texts = [word_hashes(t) for t in batch[2].to_pylist()]
@@ -154,7 +165,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             hits: list[tuple[np.ndarray, np.ndarray]] = []
             for k, mask in enumerate(masks):
                 found = window_hashes(joined, mask) ^ np.uint64(k)
-                at = np.arange(len(found)) if table is None else np.flatnonzero(table[found & np.uint64(len(table) - 1)])
+                at = np.arange(len(found)) if known is None else known.positions(found)
                 at = at[at + mask[-1] < end_of[at]]
                 hits.append((at, found[at]))
             at = np.concatenate([h[0] for h in hits])
