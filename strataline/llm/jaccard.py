@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataline.llm.blocks import by_unit, crosses, in_blocks, squares, whole_units
 from strataline.llm.components import components, local_roots
 from strataline.llm.storage import bounded_batches, stored
 from strataline.llm.words import mixed, shingle_set, word_hashes
@@ -123,59 +124,17 @@ def _sketches(documents: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(sketch, kind)
 
 
-def _blocks(df: DataFrame, key: str, count, splits) -> DataFrame:
-    """Rows of each group dealt into blocks, one row per pair of blocks that the row takes part in.
-
-    A group of one block makes one unit (key, 0, 0); one of n blocks n(n+1)/2 units, each row in n.
-    """
-    block = F.pmod(F.xxhash64("class"), splits).cast("int")
-    df = df.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), splits.cast("int") - 1)))
-    return df.select(
-        F.col(key).alias("unit"),
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).alias("second"),
-        *count,
-    )
-
-
-UNIT = ["unit", "i", "j"]
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Whole units of a stream that is sorted by unit; holds one unit and one batch."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = list(zip(*(batch[c].to_pylist() for c in UNIT), strict=True))
-        start = 0
-        for k, key in enumerate(keys):
-            if key != last:
-                if held or k > start:
-                    yield pa.Table.from_batches([*held, batch.slice(start, k - start)])
-                held, start, last = [], k, key
-        held.append(batch.slice(start))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, width)
 
 
-def _pairs(second: np.ndarray, cross: bool) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(unit: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the pairs of a unit: across its two blocks, or within its one."""
-    if cross:
-        a, b = np.meshgrid(np.flatnonzero(~second), np.flatnonzero(second), indexing="ij")
-        return a.ravel(), b.ravel()
-    return np.triu_indices(len(second), 1)
-
-
-def _crosses(group: pa.Table) -> bool:
-    """Whether a unit compares two different blocks."""
-    return group["i"][0].as_py() != group["j"][0].as_py()
+    if not crosses(unit):
+        return np.triu_indices(unit.num_rows, 1)
+    second = np.array(unit["second"].to_pylist(), bool)
+    a, b = np.meshgrid(np.flatnonzero(~second), np.flatnonzero(second), indexing="ij")
+    return a.ravel(), b.ravel()
 
 
 def _candidate_links(units: DataFrame, least: list[int]) -> DataFrame:
@@ -184,12 +143,11 @@ def _candidate_links(units: DataFrame, least: list[int]) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: tuple[list, list] = ([], [])
-        for group in _groups(batches):
+        for group in whole_units(batches):
             if group.num_rows > 1:
                 node = group["class"].to_pylist()
                 head = _matrix(group["head"], FIRST_HASHES)
-                second = np.array(group["second"].to_pylist(), bool)
-                a, b = _pairs(second, _crosses(group))
+                a, b = _pairs(group)
                 kept = surviving(head, head, a, b, least)
                 root = local_roots(len(node), a[kept], b[kept])
                 for k in np.flatnonzero(root != np.arange(len(node))):
@@ -265,21 +223,16 @@ def _verified(units: DataFrame, least: list[int], words: int, threshold: float)
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches):
+        for group in whole_units(batches):
             if group.num_rows < 2:
                 continue
             node = group["class"].to_pylist()
             copies = np.array(group["copies"].to_pylist(), np.int64)
             signatures = _matrix(group["signature"], HASHES)
             sets = [shingle_set(word_hashes(t), words) for t in group["text"].to_pylist()]
-            second = np.array(group["second"].to_pylist(), bool)
-            cross = _crosses(group)
-            left = [np.flatnonzero(~second)[k : k + SQUARE] for k in range(0, int((~second).sum()), SQUARE)]
-            right = [np.flatnonzero(second)[k : k + SQUARE] for k in range(0, int(second.sum()), SQUARE)]
-            squares = [(x, y) for x in left for y in right] if cross else [(x, y) for k, x in enumerate(left) for y in left[k:]]
             counts = np.zeros(len(node), np.int64)
             ends: tuple[list, list] = ([], [])
-            for x, y in squares:
+            for x, y in squares(group, SQUARE):
                 a, b = _links_in_square(sets, signatures, x, y, least, threshold)
                 np.add.at(counts, a, copies[b])
                 np.add.at(counts, b, copies[a])
@@ -296,8 +249,9 @@ def _verified(units: DataFrame, least: list[int], words: int, threshold: float)
     return units.mapInArrow(verify, "a binary, b binary, n long")
 
 
-def _by_unit(units: DataFrame) -> DataFrame:
-    return units.repartition(*UNIT).sortWithinPartitions(*UNIT)
+def _first() -> Column:
+    """Orders rows by id, null last, then by row."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
 
 
 def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tolerance: float = TOLERANCE) -> DataFrame:
@@ -311,6 +265,14 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, words: int
     count as copies whatever their ids; a null doc_id takes part and is never a class_id unless
     its class has no other. An empty table gives an empty result.
 
+    """
+    return linked(documents, threshold, words, tolerance).select("doc_id", "class_id", "n_links")
+
+
+def linked(documents: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """(doc_id, row_key, class_id, n_links, stays): `jaccard_join` with a hash of each row's id and
+    text, and whether the row is the first of its class.
+
     Copies are one class before anything is compared. A bucket or component of any size is split
     into blocks, so a task holds two blocks; pairs never become rows, only spanning links and
     counts do. Texts are shuffled only for classes with a candidate.
@@ -322,8 +284,7 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, words: int
         sketches.where("class is not null")
         .groupBy("class")
         .agg(
-            F.min("doc_id").alias("first_id"),
-            F.min("row_key").alias("row_key"),
+            F.min(_first()).alias("first"),
             F.count(F.lit(1)).alias("copies"),
             F.first("size").alias("size"),
             F.first("signature").alias("signature"),
@@ -331,40 +292,52 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD, words: int
         ),
         "classes",
     )
+    classes = classes.withColumn("row_key", F.col("first.row_key"))
     members = classes.select("class", F.explode("bands").alias("key"))
     crowded = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     crowded = members.join(crowded, "key")
     splits = F.ceil(F.col("n") / BUCKET_BLOCK)
-    units = _blocks(crowded, "key", ["class"], splits)
+    units = in_blocks(crowded, "key", "class", splits, "class")
     heads = classes.select("class", F.expr(f"substring(signature, 1, {4 * FIRST_HASHES})").alias("head"))
-    links = _candidate_links(_by_unit(units.join(heads, "class")), least)
+    links = _candidate_links(by_unit(units.join(heads, "class")), least)
     groups = components(links, "candidates")
 
     involved = groups.withColumnRenamed("node", "class").join(classes.drop("bands"), "class")
     weight = involved.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight"))
     involved = involved.join(weight, "root")
     splits = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("weight") / BLOCK_SHINGLES))
-    units = _blocks(involved, "root", ["class", "copies", "signature", "row_key"], splits)
+    units = in_blocks(involved, "root", "class", splits, "class", "copies", "signature", "row_key")
     # One row's text stands for a class. Only texts of classes with a candidate are kept.
     texts = documents.select(_row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
     texts = texts.join(involved.select("row_key"), "row_key", "left_semi").groupBy("row_key").agg(F.first("text").alias("text"))
-    found = stored(_verified(_by_unit(units.join(texts, "row_key")), least, words, threshold), "links")
+    found = stored(_verified(by_unit(units.join(texts, "row_key")), least, words, threshold), "links")
     joined = components(found.where("b is not null").select("a", "b"), "links")
     counts = found.where("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n"))
 
-    own = classes.select("class", "first_id", "copies").join(
-        joined.withColumnRenamed("node", "class"), "class", "left"
-    )
+    own = classes.select("class", "first", "copies").join(joined.withColumnRenamed("node", "class"), "class", "left")
     own = own.withColumn("root", F.coalesce("root", "class"))
-    lowest = own.groupBy("root").agg(F.min("first_id").alias("class_id"))
+    lowest = own.groupBy("root").agg(F.min("first").alias("lowest"))
     own = own.join(lowest, "root").join(counts, "class", "left")
-    own = own.select("class", "class_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    own = own.select("class", "lowest", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     return (
-        sketches.select("doc_id", "class")
+        sketches.select("doc_id", "row_key", "class")
         .join(own, "class", "left")
         .select(
             "doc_id",
-            F.coalesce("class_id", "doc_id").alias("class_id"),
+            "row_key",
+            F.coalesce("lowest.doc_id", "doc_id").alias("class_id"),
             F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+            F.coalesce(F.col("row_key") == F.col("lowest.row_key"), F.lit(True)).alias("stays"),
         )
     )
+
+
+def one_of_each(documents: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> DataFrame:
+    """The rows of `documents`, of each class of near-copies the one with the smallest doc_id.
+
+    All columns stay. Of rows with equal id and text one stays; a null or wordless text is a
+    class of its own for each id and text.
+    """
+    staying = linked(documents, threshold, words).where("stays").select(F.col("row_key").alias("__row_key"))
+    keyed = documents.withColumn("__row_key", _row_key()).dropDuplicates(["__row_key"])
+    return keyed.join(staying, "__row_key", "left_semi").drop("__row_key")
