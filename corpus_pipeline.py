@@ -1,12 +1,51 @@
-"""The corpus pipeline: documents through filtering, deduplication, decontamination, redaction and packing."""
+"""The corpus pipeline: toxic documents out, near-copies out, benchmark passages out, personal data
+replaced, the rest packed into sequences."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strataline.llm.decontaminate import without_contaminated
+from strataline.llm.jaccard import one_of_each
+from strataline.llm.packing import pack_documents
+from strataline.llm.pii import redact
+from strataline.llm.queries import TOKENIZERS, table
 from strataline.llm.storage import stored
+from strataline.llm.toxicity import without_toxic
 
-STAGES: list = []
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine does not reject."""
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-copies."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return redact(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their ids, sequences and offsets."""
+    return pack_documents(docs, f"{TOKENIZERS}/word_bpe_49k.json", end_id=1)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_copies", near_copies),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
 
 #: The stages fit models and search by sketches, which SQL can't express; tests compare each
 #: stage with a plain version.
@@ -15,7 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, each written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

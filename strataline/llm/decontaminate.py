@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataline.llm.storage import bounded_batches, stored
+from strataline.llm.storage import bounded_batches, free_name, stored
 from strataline.llm.words import window_hashes, word_hashes
 
 #: Word offsets that each fixed mask looks at; the positions between are ignored.
@@ -222,5 +222,6 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `documents` that overlap with no benchmark item, with all their columns."""
     key = _row_key()
-    found = contaminated(documents, benchmark).select(F.col("row_key").alias("__leak")).distinct()
-    return documents.join(found, key == F.col("__leak"), "left_anti")
+    name = free_name(documents, "row_key")
+    found = contaminated(documents, benchmark).select(F.col("row_key").alias(name)).distinct()
+    return documents.withColumn(name, key).join(found, name, "left_anti").drop(name)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strataline.llm.blocks import by_unit, crosses, in_blocks, squares, whole_units
 from strataline.llm.components import components, local_roots
-from strataline.llm.storage import bounded_batches, stored
+from strataline.llm.storage import bounded_batches, free_name, stored
 from strataline.llm.words import mixed, shingle_set, word_hashes
 
 WORDS = 5
@@ -338,6 +338,7 @@ def one_of_each(documents: DataFrame, threshold: float = THRESHOLD, words: int =
     All columns stay. Of rows with equal id and text one stays; a null or wordless text is a
     class of its own for each id and text.
     """
-    staying = linked(documents, threshold, words).where("stays").select(F.col("row_key").alias("__row_key"))
-    keyed = documents.withColumn("__row_key", _row_key()).dropDuplicates(["__row_key"])
-    return keyed.join(staying, "__row_key", "left_semi").drop("__row_key")
+    name = free_name(documents, "row_key")
+    staying = linked(documents, threshold, words).where("stays").select(F.col("row_key").alias(name))
+    keyed = documents.withColumn(name, _row_key()).dropDuplicates([name])
+    return keyed.join(staying, name, "left_semi").select(*documents.columns)

@@ -372,8 +372,7 @@ def find_personal_data(documents: DataFrame, model: SemiMarkov | None = None) ->
     result. Nothing is shuffled but the bounded training sample.
     """
     bounded_batches(documents.sparkSession)
-    model = model or trained_model(documents)
-    weights = model.weights
+    weights = (model or trained_model(documents)).weights
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("base", pa.string()), ("spans", pa.string()), ("redacted", pa.string())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,3 +391,28 @@ def find_personal_data(documents: DataFrame, model: SemiMarkov | None = None) ->
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(search, kind)
 
 
+
+
+def redact(documents: DataFrame, model: SemiMarkov | None = None) -> DataFrame:
+    """`documents` with every span of personal data in `text` replaced by its kind in brackets.
+
+    All columns stay; `n_chars`, if there is one, is counted anew. A null text stays null.
+    """
+    bounded_batches(documents.sparkSession)
+    weights = (model or trained_model(documents)).weights
+    at = documents.columns.index("text")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = SemiMarkov(weights)
+        for batch in batches:
+            texts = []
+            for value in batch[at].to_pylist():
+                spans = all_spans(value, base_spans(value), own) if value else []
+                texts.append(redacted(value, spans) if spans else value)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+    out = documents.mapInArrow(search, documents.schema)
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.char_length("text").cast(kind))
+    return out

@@ -57,6 +57,14 @@ def sampled(df: DataFrame, rows: int, *columns: str) -> DataFrame:
     return df.where(F.xxhash64(*columns) < F.lit(bound)).limit(2 * rows)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for long texts. Lowers a session setting, never raises it."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from strataline.llm.storage import bounded_batches, sampled
+from strataline.llm.storage import bounded_batches, free_name, sampled
 from strataline.llm.words import KNOWN_WORDS, split_words
 
 #: Terms are hashed to so many buckets, of which the most telling ones are kept.
@@ -168,23 +168,28 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, threshold: float = T
     other columns are not read; an empty table gives an empty result. One scan, no shuffle of
     texts; the model (2 MB) goes to every task.
     """
-    scored = with_scores(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), labels, rows)
+    scored = with_scores(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), labels, rows, "score")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def with_scores(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
-    """`documents` with a column `score` at the end; a column of that name is replaced."""
+def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = TRAINING_ROWS) -> DataFrame:
+    """The rows of `documents` that score below the threshold, with all their columns."""
+    name = free_name(documents, "toxicity")
+    return with_scores(documents, labels, rows, name).where(F.col(name) < threshold).drop(name)
+
+
+def with_scores(documents: DataFrame, labels: DataFrame, rows: int, name: str) -> DataFrame:
+    """`documents` with the score as a last column of this name."""
     machine = train(documents, labels, rows)
-    documents = documents.drop("score")
     packed = documents.sparkSession.sparkContext.broadcast(machine)
     at = documents.columns.index("text")
-    kind = StructType([*documents.schema.fields, StructField("score", DoubleType())])
+    kind = StructType([*documents.schema.fields, StructField(name, DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = packed.value
         terms = WordTerms(machine.column)
         for batch in batches:
             scores = [machine.score(terms.of(t)) for t in batch[at].to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
 
     return documents.mapInArrow(score, kind)
