@@ -60,6 +60,15 @@ def map_codes_or_keep(value: Column | str, mapping: Mapping[str, str]) -> Column
     return map_codes(cleaned, mapping, default=kept)
 
 
+def map_codes_or_keep_v1(value: Column | str, mapping: Mapping[str, str], trim: bool) -> Column:
+    """First-generation form: blanks are cut off to compare, line ends are not; other text is
+    kept as it is, or without outer blanks."""
+    shown = F.trim(as_column(value))
+    kept = shown if trim else as_column(value)
+    kept = F.when(F.coalesce(shown, F.lit("")) == "", MISSING).otherwise(kept)
+    return map_codes(shown, mapping, default=kept, trim=False)
+
+
 def numeric_id(value: Column | str, prefix: str = ID_PREFIX) -> Column:
     """'dummy-7', '0007', ' 7 ' and '7' all become 7; other text is an error."""
     return trim_all(remove_text(value, prefix)).cast("bigint")

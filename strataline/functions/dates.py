@@ -85,10 +85,16 @@ def plausible_birthdate(value: Column | str, as_of: AsOf, adult_years: int = 18)
     return F.when(born.between(day(OLDEST_DAY), F.add_months(day(as_of), -12 * adult_years)), born)
 
 
-def strictly_between_horizons(value: Column | str, as_of: AsOf) -> Column:
-    """Keep days strictly after 1900-01-01 and strictly before the horizon."""
+def strictly_between_horizons(
+    value: Column | str, as_of: AsOf, now: dt.datetime | str | None = None
+) -> Column:
+    """Keep days strictly after 1900-01-01 and strictly before the horizon.
+
+    With ``now`` the day's midnight must lie before that moment, so the day itself is kept.
+    """
     moment = as_column(value)
-    return F.when((moment > day(OLDEST_DAY)) & (moment < day(as_of)), moment.cast("date"))
+    end = day(as_of) if now is None else F.lit(str(now)).cast("timestamp")
+    return F.when((moment > day(OLDEST_DAY)) & (moment < end), moment.cast("date"))
 
 
 def _day_number(value: Column) -> Column:

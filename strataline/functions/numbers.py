@@ -1,8 +1,10 @@
 """Repair ladders for amounts, quantities and prices.
 
 The ladders are ordered: the first branch whose condition is *true* wins, and a
-condition over NULL is not true. Quantities take part in decimal products as
-DECIMAL(10,0), so that DECIMAL(27,9) x quantity keeps all nine decimals.
+condition over NULL is not true. Amounts keep nine decimals and up to 28 digits
+before them; quantities are any 64-bit number. A product that does not fit is NULL
+and named by :func:`does_not_fit`; it never stops the job, and a total is not kept
+in its place.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ from pyspark.sql import functions as F
 
 from strataline.functions.text import as_column
 
-AMOUNT = "decimal(27,9)"
-COUNT = "decimal(10,0)"
+AMOUNT = "decimal(37,9)"
+COUNT = "decimal(19,0)"
 
 
 def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:
@@ -29,33 +31,52 @@ def percentage(part: Column | str, whole: Column | str) -> Column:
     )
 
 
+def product(price: Column, quantity: Column) -> Column:
+    """Price x quantity with all nine decimals; NULL where it has more than 28 digits before them.
+
+    Whole units and decimals of the price are multiplied apart: one decimal product of this
+    width would be rounded to six decimals.
+    """
+    price, quantity = price.try_cast(AMOUNT), quantity.try_cast(COUNT)
+    decimals = price % F.lit(1).cast("decimal(1,0)")
+    units = F.try_multiply((price - decimals).cast("decimal(28,0)"), quantity).try_cast(AMOUNT)
+    return F.try_add(units, decimals * quantity).try_cast(AMOUNT)
+
+
 def expected_sales(price: Column, quantity: Column) -> Column:
-    """Price x quantity with all nine decimals; a projection of its own keeps it one product."""
-    return price * quantity.try_cast(COUNT)
+    """The total that price and quantity imply; a projection of its own keeps it one product."""
+    return product(price, quantity)
+
+
+def does_not_fit(price: Column, quantity: Column, expected: Column | None = None) -> Column:
+    """Whether price x quantity is known but too large for an amount."""
+    expected = expected_sales(price, quantity) if expected is None else expected
+    return price.isNotNull() & quantity.isNotNull() & expected.isNull()
 
 
 def repair_sales(
     sales: Column, quantity: Column, price: Column, expected: Column | None = None
 ) -> Column:
-    """CRM line total, recomputed when missing or inconsistent.
+    """CRM line total, recomputed when missing or inconsistent; NULL where the product does not fit.
 
     ``expected`` may name a column that already holds :func:`expected_sales`.
     """
-    product = expected_sales(price, quantity) if expected is None else expected
-    differs = sales != product
+    total = expected_sales(price, quantity) if expected is None else expected
+    differs = sales != total
     return (
-        F.when(sales.isNull() & product.isNotNull(), F.abs(product))
+        F.when(does_not_fit(price, quantity, total), F.lit(None))
+        .when(sales.isNull() & total.isNotNull(), F.abs(total))
         .when(differs & (quantity == 0), F.abs(price))
-        .when(differs, F.abs(product))
+        .when(differs, F.abs(total))
         .otherwise(sales)
-        .cast(AMOUNT)
+        .try_cast(AMOUNT)
     )
 
 
 def repair_sales_when_not_positive(sales: Column, quantity: Column, price: Column) -> Column:
     """First-generation rule: only missing, zero or negative totals are rebuilt."""
-    rebuilt = F.abs(price) * F.coalesce(quantity.try_cast(COUNT), F.lit(1).cast(COUNT))
-    return F.when((sales > 0) | price.isNull(), sales).otherwise(rebuilt).cast(AMOUNT)
+    rebuilt = product(F.abs(price), F.coalesce(quantity, F.lit(1)))
+    return F.when((sales > 0) | price.isNull(), sales).otherwise(rebuilt).try_cast(AMOUNT)
 
 
 def repair_quantity(quantity: Column) -> Column:
@@ -63,14 +84,18 @@ def repair_quantity(quantity: Column) -> Column:
     return F.abs(F.coalesce(quantity, F.lit(1)))
 
 
-def repair_price(price: Column, sales: Column, quantity: Column) -> Column:
-    """CRM unit price, derived from the stated total when missing or zero."""
+def repair_price(price: Column, sales: Column, quantity: Column, keep_sign: bool = False) -> Column:
+    """CRM unit price, derived from the stated total when missing or zero.
+
+    ``keep_sign`` is the first-generation rule: the derived quotient keeps its sign.
+    """
     count = quantity.try_cast(COUNT)
+    divisor = count if keep_sign else F.abs(count)
     derivable = (price.isNull() | (price == 0)) & (F.abs(count) > 0) & sales.isNotNull()
     return (
-        F.when(derivable, F.try_divide(sales, F.abs(count)).cast(AMOUNT))
+        F.when(derivable, F.try_divide(sales, divisor).try_cast(AMOUNT))
         .otherwise(F.abs(price))
-        .cast(AMOUNT)
+        .try_cast(AMOUNT)
     )
 
 

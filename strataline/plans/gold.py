@@ -23,7 +23,7 @@ _CUSTOMER_PARTS = (
 )
 _PRODUCT_PARTS = (
     f"{RAW_ID} string, product_number string, product_name string, category_id string, "
-    "category string, subcategory string, maintenance string, cost decimal(27,9), "
+    "category string, subcategory string, maintenance string, cost decimal(37,9), "
     "product_line string, start_date date, data_source string"
 )
 
@@ -143,7 +143,7 @@ def product_parts(
     filled = {
         "category": F.coalesce("category", F.lit(labels.missing_category)),
         "maintenance": F.coalesce("maintenance", F.lit(codes.MISSING)),
-        "cost": F.coalesce("cost", F.lit(0).cast("decimal(27,9)")),
+        "cost": F.coalesce("cost", F.lit(0).cast("decimal(37,9)")),
         "product_line": F.coalesce("product_line", F.lit("Other Sales")),
     }
     if labels.missing_subcategory is not None:
@@ -260,7 +260,7 @@ def sales_fact(
         "product_key",
         "customer_key",
         *[
-            dates.strictly_between_horizons(c, ctx.as_of).alias(c)
+            dates.strictly_between_horizons(c, ctx.as_of, ctx.load_ts if ctx.is_v1 else None).alias(c)
             for c in ("order_date", "shipping_date", "due_date")
         ],
         "total_sales_amount",

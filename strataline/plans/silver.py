@@ -116,24 +116,37 @@ def crm_sales(bronze: DataFrame, ctx: RunContext) -> DataFrame:
         ],
         total.alias("sls_sales"),
         numbers.repair_quantity(quantity).alias("sls_quantity"),
-        numbers.repair_price(price, sales, quantity).alias("sls_price"),
+        numbers.repair_price(price, sales, quantity, keep_sign=ctx.is_v1).alias("sls_price"),
     )
     return stamp_load(cleaned, ctx.load_ts)
 
 
+def unfit_sales(bronze: DataFrame) -> DataFrame:
+    """Rejects of :func:`crm_sales`: the stated lines whose price x quantity is too large for an
+    amount. Their total is NULL in the model."""
+    price = F.col("sls_price").try_cast(numbers.AMOUNT)
+    return bronze.filter(numbers.does_not_fit(price, F.col("sls_quantity").try_cast("bigint")))
+
+
 def erp_customers(bronze: DataFrame, ctx: RunContext) -> DataFrame:
+    gender = codes.map_codes_or_keep("gen", codes.GENDER_CODES)
+    if ctx.is_v1:
+        gender = codes.map_codes_or_keep_v1("gen", codes.GENDER_CODES, trim=False)
     cleaned = bronze.select(
         codes.drop_prefix("cid", "NAS").alias("cid"),
         dates.plausible_birthdate(dates.iso_day("bdate"), ctx.as_of).alias("bdate"),
-        codes.map_codes_or_keep("gen", codes.GENDER_CODES).alias("gen"),
+        gender.alias("gen"),
     )
     return stamp_load(cleaned, ctx.load_ts)
 
 
 def erp_locations(bronze: DataFrame, ctx: RunContext) -> DataFrame:
+    country = codes.map_codes_or_keep("cntry", codes.COUNTRY_CODES)
+    if ctx.is_v1:
+        country = codes.map_codes_or_keep_v1("cntry", codes.COUNTRY_CODES, trim=True)
     cleaned = bronze.select(
         text.remove_text("cid", "-").alias("cid"),
-        codes.map_codes_or_keep("cntry", codes.COUNTRY_CODES).alias("cntry"),
+        country.alias("cntry"),
     )
     return stamp_load(cleaned, ctx.load_ts)
 

@@ -37,9 +37,10 @@ def layer_of(model: Column | str) -> Column:
 
 
 def category_table(spark: SparkSession) -> DataFrame:
-    return literal_table(
-        spark, list(TEST_CATEGORIES.items()), "test_name string, test_category string"
-    )
+    """Category per test name; artifacts name a package's test with or without the package."""
+    names = {name.rpartition(".")[2]: category for name, category in TEST_CATEGORIES.items()}
+    names.update(TEST_CATEGORIES)
+    return literal_table(spark, list(names.items()), "test_name string, test_category string")
 
 
 def log_rows(
@@ -149,9 +150,11 @@ def model_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def successful_runs(
-    runs: DataFrame, kept: int = RUNS_KEPT, success: int = STATUS_SUCCESS
+    runs: DataFrame, kept: int | None = RUNS_KEPT, success: int = STATUS_SUCCESS
 ) -> DataFrame:
-    """Among the newest ``kept`` runs of any status, those that succeeded."""
+    """Among the newest ``kept`` runs of any status, or all, those that succeeded."""
+    if kept is None:
+        return runs.filter(F.col("status") == success)
     newest = runs.orderBy(F.col("finished_at").desc(), F.col("id").desc()).limit(kept)
     return newest.filter(F.col("status") == success)
 
@@ -178,8 +181,16 @@ def append_log(log: DataFrame, path: str) -> None:
 
 
 def append_new_runs(log: DataFrame, path: str) -> None:
-    """Append only runs the log does not know, so repeating a backfill adds nothing."""
-    known = read_log(log.sparkSession, path).select("run_id")
+    """Append only runs the log does not know, so repeating a backfill adds nothing.
+
+    Only the days of the new rows are read: a run keeps its day.
+    """
+    days = [r[0] for r in log.select(F.to_date("run_finished_at")).distinct().collect()]
+    known = read_log(log.sparkSession, path)
+    same_day = F.col(RUN_DAY).isin([d for d in days if d is not None])
+    if None in days:
+        same_day = same_day | F.col(RUN_DAY).isNull()
+    known = known.filter(same_day).select("run_id")
     append_log(exclude_loaded(log, known, "run_id").select(*log.columns), path)
 
 
@@ -189,10 +200,14 @@ def backfill(
     run_results: DataFrame,
     counts: DataFrame,
     loaded: DataFrame,
+    kept: int | None = None,
 ) -> DataFrame:
-    """Log rows of successful, not yet loaded runs, with today's row counts."""
+    """Log rows of successful, not yet loaded runs, with today's row counts.
+
+    All runs of the listing take part unless ``kept`` names how many of the newest do.
+    """
     wanted = exclude_loaded(
-        successful_runs(runs).select(
+        successful_runs(runs, kept).select(
             F.col("id").cast("string").alias("run_id"),
             F.col("started_at").alias("run_started_at"),
             F.col("finished_at").alias("run_finished_at"),

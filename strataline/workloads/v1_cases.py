@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strataline.functions import codes
 from strataline.plans import gold, kpis, silver, warehouse
 from strataline.workloads import oracle_stages as sql
 from strataline.workloads.feeds import AS_OF
@@ -80,15 +81,55 @@ def t2(t):
     "t3_sales_repair",
     """SELECT sls_ord_num, sls_prd_key,
               CAST(CASE WHEN total > 0 OR price IS NULL THEN total
-                        ELSE abs(price) * coalesce(qty, 1) END AS DOUBLE) AS sls_sales
+                        ELSE abs(price) * coalesce(qty, 1) END AS DOUBLE) AS sls_sales,
+              abs(coalesce(qty, 1)) AS sls_quantity,
+              round(CASE WHEN (price IS NULL OR price = 0) AND qty <> 0 AND total IS NOT NULL
+                         THEN total / qty ELSE abs(price) END, 4) AS sls_price
        FROM (SELECT sls_ord_num, sls_prd_key, TRY_CAST(sls_sales AS DECIMAL(12,2)) AS total,
                     TRY_CAST(sls_price AS DECIMAL(12,2)) AS price,
-                    TRY_CAST(sls_quantity AS DECIMAL(10,0)) AS qty FROM crm_sales_details) AS s""",
+                    TRY_CAST(sls_quantity AS BIGINT) AS qty FROM crm_sales_details) AS s""",
     "bronze",
 )
 def t3(t):
     cleaned = silver.crm_sales(t.bronze["crm_sales_details"], V1_CTX)
-    return portable(cleaned.select("sls_ord_num", "sls_prd_key", "sls_sales"))
+    return portable(
+        cleaned.select("sls_ord_num", "sls_prd_key", "sls_sales", "sls_quantity", "sls_price"), 4
+    )
+
+
+@case(
+    "t3_v1_erp_people",
+    """SELECT 'person' AS kind, gen AS stated,
+              CASE upper(trim(coalesce(gen, ''), ' ')) WHEN '' THEN 'n/a' WHEN 'F' THEN 'Female'
+                   WHEN 'M' THEN 'Male' ELSE gen END AS label, count(*) AS row_count
+       FROM (SELECT gen FROM erp_cust_az12 UNION ALL SELECT gen || ' ' FROM erp_cust_az12) AS g
+       GROUP BY ALL
+       UNION ALL
+       SELECT 'place', cntry,
+              CASE upper(trim(coalesce(cntry, ''), ' ')) WHEN 'US' THEN 'United States'
+                   WHEN 'USA' THEN 'United States' WHEN 'DE' THEN 'Germany'
+                   WHEN 'AU' THEN 'Australia' WHEN 'AUS' THEN 'Australia' WHEN 'CA' THEN 'Canada'
+                   WHEN 'CAN' THEN 'Canada' WHEN 'FR' THEN 'France' WHEN 'UK' THEN 'United Kingdom'
+                   WHEN '' THEN 'n/a' ELSE trim(cntry, ' ') END, count(*)
+       FROM (SELECT cntry FROM erp_loc_a101
+             UNION ALL SELECT cntry || chr(13) FROM erp_loc_a101) AS c
+       GROUP BY ALL""",
+    "bronze",
+)
+def t3_people(t):
+    """The first generation keeps outer blanks of unknown genders and line ends of countries."""
+    people, places = t.bronze["erp_cust_az12"], t.bronze["erp_loc_a101"]
+    people = people.unionByName(people.withColumn("gen", F.concat("gen", F.lit(" "))))
+    places = places.unionByName(places.withColumn("cntry", F.concat("cntry", F.lit("\r"))))
+
+    def counted(kind, model, bronze, column):
+        stated = codes.map_codes_or_keep_v1(column, model, trim=kind == "place")
+        rows = bronze.select(F.lit(kind).alias("kind"), F.col(column).alias("stated"), stated.alias("label"))
+        return rows.groupBy("kind", "stated", "label").agg(F.count(F.lit(1)).alias("row_count"))
+
+    return counted("person", codes.GENDER_CODES, people, "gen").unionByName(
+        counted("place", codes.COUNTRY_CODES, places, "cntry")
+    )
 
 
 @case(
