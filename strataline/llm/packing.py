@@ -18,27 +18,35 @@ from strataline.llm.tokenization import encoder
 CAPACITY = 2048
 #: What is left of a document after its full sequences is cut into equal pieces of at most this.
 PIECE_LIMIT = 512
-#: Windows that are balanced together; a batch of pieces holds at most so many times the capacity.
-BATCH_WINDOWS = 128
+#: Windows that are balanced together, and the tokens left free in each on average, so that
+#: near-equal windows need not be filled to the last token.
+BATCH_WINDOWS = 256
+FREE = 8
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
+def differencing(sizes: np.ndarray, windows: int, blocks: bool = False) -> np.ndarray:
     """The window of each piece, by Karmarkar-Karp differencing into `windows` sets.
 
-    Every piece starts as a partial partition with one filled set. The two partitions with
-    the largest spread are merged, fullest set with emptiest, until one is left; the choices
-    are then read back from the last merge to the first. Ties fall by position.
+    Every piece starts as a partial partition with one filled set; with `blocks`, every run of
+    `windows` pieces in order of size starts as one, which leaves far fewer to merge. The two
+    partitions with the largest spread are merged, fullest set with emptiest, until one is left;
+    the choices are then read back from the last merge to the first. Ties fall by position.
     """
     n = len(sizes)
     if windows == 1 or n <= 1:
         return np.zeros(n, np.int64)
+    order = np.argsort(-sizes, kind="stable")
+    step = windows if blocks else 1
+    members = [order[k : k + step] for k in range(0, n, step)]
     sums: dict[int, np.ndarray] = {}
-    for i, size in enumerate(sizes):
+    heap: list[tuple[int, int]] = []
+    for i, some in enumerate(members):
         sums[i] = np.zeros(windows, np.int64)
-        sums[i][0] = size
-    heap = [(-int(size), i) for i, size in enumerate(sizes)]
+        sums[i][: len(some)] = sizes[some]
+        sums[i] -= sums[i][-1]
+        heap.append((-int(sums[i][0]), i))
     heapq.heapify(heap)
     merges: list[tuple[int, int, np.ndarray]] = []
     while len(heap) > 1:
@@ -47,32 +55,39 @@ def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
         order = np.argsort(-both, kind="stable")
         both = both[order]
         both -= both[-1]
-        node = n + len(merges)
+        node = len(members) + len(merges)
         merges.append((a, b, order))
         sums[node] = both
         heapq.heappush(heap, (-int(both[0]), node))
-    place: dict[int, np.ndarray] = {n + len(merges) - 1: np.arange(windows)}
+    place: dict[int, np.ndarray] = {len(members) + len(merges) - 1: np.arange(windows)}
     for k in range(len(merges) - 1, -1, -1):
         a, b, order = merges[k]
-        own = place.pop(n + k)
+        own = place.pop(len(members) + k)
         for child, position in ((a, order), (b, windows - 1 - order)):
             at = np.empty(windows, np.int64)
             at[position] = own
             place[child] = at
-    return np.array([place[i][0] for i in range(n)], np.int64)
+    out = np.empty(n, np.int64)
+    for i, some in enumerate(members):
+        out[some] = place[i][: len(some)]
+    return out
 
 
 def balanced(sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """Near-equal windows, none above the capacity: the number of windows rises until all fit."""
+    """Near-equal windows, none above the capacity: the number of windows rises until all fit.
+
+    Each number is tried from blocks of pieces first, then from single pieces.
+    """
     if len(sizes) and sizes.max() > capacity:
         raise ValueError("a piece is longer than a sequence")
     windows = max(1, -(-int(sizes.sum()) // capacity))
     while True:
-        window = differencing(sizes, windows)
-        filled = np.bincount(window, weights=sizes, minlength=windows) if len(sizes) else np.zeros(1)
-        over = int(np.maximum(filled - capacity, 0).sum())
-        if not over:
-            return window
+        for blocks in (True, False):
+            window = differencing(sizes, windows, blocks)
+            filled = np.bincount(window, weights=sizes, minlength=windows) if len(sizes) else np.zeros(1)
+            over = int(np.maximum(filled - capacity, 0).sum())
+            if not over:
+                return window
         windows = min(len(sizes), windows + max(1, over // capacity))
 
 
@@ -152,7 +167,7 @@ def pack_documents(
                         rows.append((*piece, base + sent, 0))
                         sent += 1
                         continue
-                    if waiting_tokens + length > batch_windows * capacity:
+                    if waiting_tokens + length > batch_windows * max(capacity - FREE, piece_limit):
                         flush()
                     waiting.append(piece)
                     waiting_tokens += length

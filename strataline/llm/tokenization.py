@@ -17,13 +17,15 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Distinct chunks in one generation of a worker's cache; the one before it is kept too.
-CACHE_ENTRIES = 400_000
+#: Distinct chunks in one generation of a worker's cache, by style; the one before it is kept too.
+CACHE_ENTRIES = {"spaces_dropped": 1_000_000, "space_leads": 400_000}
 #: Chunks longer than this are encoded whenever they occur and are not kept.
 CACHED_CHARS = 64
 #: Texts are encoded in groups of about so many characters.
 GROUP_CHARS = 2_000_000
 
+#: Lower-case Latin-1 letters, then ASCII marks other than the apostrophe of contractions.
+_MARKS_AFTER = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
 _AFTER_SPACE = re.compile(r" (?=\S)")
 
 
@@ -76,13 +78,13 @@ class ChunkEncoder:
         """Encode chunks that are not known yet. None marks one that is no valid cut."""
         known, older = self.known, self.older
         new = [c for c in chunks if c not in known]
-        if len(known) + len(new) > CACHE_ENTRIES:
+        if len(known) + len(new) > CACHE_ENTRIES[self.style]:
             self.known, self.older, new = {}, known, list(chunks)
             known, older = self.known, self.older
         known.update((c, older[c]) for c in new if c in older)
         new = [c for c in new if c not in known]
         if self.style == "spaces_dropped":
-            self.known.update(zip(new, self._bytes(new), strict=True))
+            self._learn_words(new)
             return
         # A chunk that was cut off after a space gets it back; one that starts with a line
         # break was cut off before it. Any other start with white space, or none at all, means
@@ -94,6 +96,16 @@ class ChunkEncoder:
         plain = [c for c in words if "\n" not in c]
         self.known.update(zip(plain, self._bytes_joined([f" {c}" for c in plain]), strict=True))
 
+    def _learn_words(self, new: list[str]) -> None:
+        """Learn chunks without spaces; letters and the marks behind them are pieces of their own."""
+        parts = {c: m.groups() for c in new if (m := _MARKS_AFTER(c))}
+        known = self.known
+        wanted = {p for pair in parts.values() for p in pair}
+        wanted.update(c for c in new if c not in parts)
+        wanted = [c for c in wanted if c not in known]
+        known.update(zip(wanted, self._bytes(wanted), strict=True))
+        known.update((c, known[a] + known[b]) for c, (a, b) in parts.items())
+
     def _chunks(self, text: str) -> list[str]:
         if self.style == "spaces_dropped":
             return (text.lower() if self.lowers and _is_latin_1(text) else text).replace("\n", " ").split(" ")
