@@ -57,41 +57,30 @@ def next_start(
     """
     moment = F.col(start)
     span = F.trunc(moment.cast("date"), "month") if bucket is None else bucket
+    # Packed values are never NULL themselves, so plain equality joins NULL keys and starts.
+    own_key, own_start = F.struct(F.col(key).alias("v")), F.struct(moment.alias("v"))
     pairs = df.groupBy(
-        F.col(key).alias("_key"), span.alias("_bucket"), moment.alias("_start")
+        own_key.alias("_key"), F.struct(span.alias("v")).alias("_bucket"), own_start.alias("_start")
     ).agg(F.max(tie_break).alias("_last"))
-    heads = df.groupBy(F.col(key).alias("_key"), span.alias("_bucket")).agg(
-        F.min(moment).alias("_head")
+    in_bucket = Window.partitionBy("_key", "_bucket").orderBy("_start")
+    placed = pairs.withColumn("_next", F.lead("_start").over(in_bucket)).withColumn(
+        "_place", F.row_number().over(in_bucket)
     )
     by_key = Window.partitionBy("_key").orderBy("_bucket")
-    following = heads.select(
-        F.col("_key").alias("_head_key"),
-        F.col("_bucket").alias("_head_bucket"),
-        F.lead("_head").over(by_key).alias("_next_head"),
-    )
-    in_bucket = Window.partitionBy("_key", "_bucket").orderBy("_start")
-    chained = (
-        pairs.withColumn("_next", F.lead("_start").over(in_bucket))
-        .join(
-            following,
-            F.col("_key").eqNullSafe(F.col("_head_key"))
-            & F.col("_bucket").eqNullSafe(F.col("_head_bucket")),
-        )
-        .select(
-            "_key",
-            "_start",
-            "_last",
-            F.coalesce("_next", "_next_head").alias("_next"),
-        )
+    heads = placed.filter("_place = 1").select(
+        "_key", "_bucket", F.lead("_start").over(by_key).alias("_next_head")
     )
-    joined = df.join(
-        chained,
-        F.col(key).eqNullSafe(F.col("_key")) & moment.eqNullSafe(F.col("_start")),
-        "left",
+    chained = placed.join(heads, ["_key", "_bucket"]).select(
+        F.col("_key").alias("_pair_key"),
+        F.col("_start").alias("_pair_start"),
+        "_last",
+        F.coalesce("_next", "_next_head").getField("v").alias("_next"),
     )
+    matches = (own_key == F.col("_pair_key")) & (own_start == F.col("_pair_start"))
+    joined = df.join(chained, matches, "left")
     is_last = F.col(tie_break).eqNullSafe(F.col("_last"))
-    follows = F.when(is_last, F.col("_next")).otherwise(F.col("_start"))
-    return joined.withColumn(result, follows).drop("_key", "_start", "_last", "_next")
+    follows = F.when(is_last, F.col("_next")).otherwise(moment)
+    return joined.withColumn(result, follows).drop("_pair_key", "_pair_start", "_last", "_next")
 
 
 def close_versions(

@@ -266,7 +266,3 @@ def failing_rows(
         parent = (parents or {})[rule.parent]
         return orphans(df, rule.columns[0], parent, rule.parent_column).select(*rule.columns)
     raise TypeError(f"unknown rule: {rule!r}")
-
-
-def rule_names(rules: Sequence[Rule]) -> list[str]:
-    return [rule.rule_id for rule in rules]

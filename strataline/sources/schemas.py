@@ -38,11 +38,6 @@ BRONZE_FILES = {
     "erp_px_cat_g1v2": "source_erp/px_cat_g1v2.csv",
 }
 
-GROUND_TRUTH_COLUMNS = (
-    "data_type", "record_id", "field_name", "corruption_type", "is_corrupted",
-    "ingestion_run_at",
-)
-
 # First-generation bronze: typed at load.
 TYPED_BRONZE_DDL = {
     "crm_cust_info": (
@@ -127,7 +122,3 @@ DQ_LOG_DDL = (
 
 def schema(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
-
-
-def bronze_schema(table: str) -> T.StructType:
-    return text_schema(BRONZE_COLUMNS[table])

@@ -85,7 +85,7 @@ def test_rulebook_size():
 
 def _log(spark, people, run_id):
     results = runner.check_model("stg_people", people, RULES[:4], AS_OF)
-    return log.log_rows(results, run_id, "2026-07-15 03:00:00", "2026-07-15 03:01:00")
+    return log.log_rows(results, run_id, "2031-02-03 08:15:00", "2031-02-03 08:22:30")
 
 
 def test_log_schema_and_append(spark, people, tmp_path):
@@ -97,7 +97,7 @@ def test_log_schema_and_append(spark, people, tmp_path):
     log.append_new_runs(_log(spark, people, "run-2"), path)
     stored = log.read_log(spark, path)
     assert stored.count() == 2 * first.count()
-    assert (tmp_path / "log" / "run_date=2026-07-15").is_dir()
+    assert (tmp_path / "log" / "run_date=2031-02-03").is_dir()
 
 
 def test_appending_nothing_is_harmless(spark, people, tmp_path):
@@ -111,32 +111,48 @@ def test_layers(spark):
     assert [r[0] for r in df.select(log.layer_of("m")).collect()] == ["staging", "marts", "marts"]
 
 
-def _node(kind, name, test=None, column=None, depends=()):
+def _model(name):
+    return {"resource_type": "model", "name": name}
+
+
+def _test(name, column, severity, *parents):
     return {
-        "resource_type": kind,
-        "name": name,
-        "test_metadata": {"name": test},
+        "resource_type": "test",
+        "name": f"{name}_of_{column}",
+        "test_metadata": {"name": name},
         "column_name": column,
-        "config": {"severity": "error"},
-        "depends_on": {"nodes": list(depends)},
+        "config": {"severity": severity},
+        "depends_on": {"nodes": list(parents)},
     }
 
 
+SHOP, TILL = "model.shop.stg_orders", "model.shop.fact_till"
 MANIFEST = {
-    "metadata": {"invocation_id": "inv-001"},
+    "metadata": {"invocation_id": "b7c2"},
     "nodes": {
-        "model.p.stg_people": _node("model", "stg_people"),
-        "test.p.not_null": _node("test", "t1", "not_null", "id", ["model.p.stg_people"]),
-        "test.p.unique": _node("test", "t2", "unique", "id", ["model.p.stg_people"]),
-        "test.p.other": _node("test", "t3", "dbt_utils.expression_is_true", "id"),
+        SHOP: _model("stg_orders"),
+        TILL: _model("fact_till"),
+        "seed.shop.rates": {"resource_type": "seed", "name": "rates"},
+        "k1": _test("relationships", "order_ref", "error", TILL, SHOP),
+        "k2": _test("accepted_range", "amount", "warn", TILL),
+        "k3": _test("dbt_utils.accepted_range", "tax", "error", TILL),
+        "k4": _test("dbt_utils.unique_combination_of_columns", None, None, SHOP),
+        "k5": _test("unique_combination_of_columns", None, "error", SHOP),
+        "k6": _test("looks_nice", "amount", "error", TILL),
+        "k7": _test("assert_formula", "amount", "error"),
+        "k8": _test("not_null", "amount", "error", SHOP),
     },
 }
 RUN_RESULTS = {
     "results": [
-        {"unique_id": "model.p.stg_people", "status": "success"},
-        {"unique_id": "test.p.not_null", "status": "pass", "failures": 0},
-        {"unique_id": "test.p.unique", "status": "fail", "failures": 3},
-        {"unique_id": "test.p.other", "status": "pass", "failures": 0},
+        {"unique_id": TILL, "status": "success", "failures": None},
+        {"unique_id": "k1", "status": "fail", "failures": 41},
+        {"unique_id": "k2", "status": "warn", "failures": 2},
+        {"unique_id": "k3", "status": "pass", "failures": 0},
+        {"unique_id": "k4", "status": "pass", "failures": 0},
+        {"unique_id": "k5", "status": "error", "failures": None},
+        {"unique_id": "k6", "status": "fail", "failures": 9},
+        {"unique_id": "k7", "status": "skipped", "failures": None},
     ]
 }
 
@@ -157,7 +173,7 @@ def artifacts(spark, tmp_path_factory):
 def test_artifacts_give_one_row_per_known_test(spark, artifacts):
     manifests, results = artifacts
     runs = spark.createDataFrame(
-        [("1", "2026-07-15 03:00:00", "2026-07-15 03:01:00", "schedule")],
+        [("1", "2031-02-03 08:15:00", "2031-02-03 08:22:30", "schedule")],
         "run_id string, run_started_at string, run_finished_at string, trigger_type string",
     )
     parsed = log.parse_artifacts(manifests, results, runs).filter("run_id = '1'")
@@ -166,22 +182,47 @@ def test_artifacts_give_one_row_per_known_test(spark, artifacts):
         "invocation_id",
     )
     assert sorted(map(tuple, shown.collect())) == [
-        ("not_null", "completeness", "stg_people", "staging", "pass", 0, "inv-001"),
-        ("unique", "uniqueness", "stg_people", "staging", "fail", 3, "inv-001"),
+        ("accepted_range", "validity", "fact_till", "marts", "warn", 2, "b7c2"),
+        ("assert_formula", "accuracy", None, "marts", "skipped", None, "b7c2"),
+        ("dbt_utils.accepted_range", "validity", "fact_till", "marts", "pass", 0, "b7c2"),
+        ("dbt_utils.unique_combination_of_columns", "referential_integrity", "stg_orders", "staging", "pass", 0, "b7c2"),
+        ("relationships", "referential_integrity", "fact_till", "marts", "fail", 41, "b7c2"),
+        ("unique_combination_of_columns", "referential_integrity", "stg_orders", "staging", "error", None, "b7c2"),
     ]
 
 
+def test_every_category_is_known_with_and_without_package(spark):
+    known = {r.test_name: r.test_category for r in log.category_table(spark).collect()}
+    for name, category in rules.TEST_CATEGORIES.items():
+        assert known[name] == known[name.rpartition(".")[2]] == category
+    assert len(known) == 15
+
+
 def test_backfill_skips_loaded_and_failed_runs(spark, artifacts):
     manifests, results = artifacts
     listing = spark.createDataFrame(
         [(1, 10, "2026-01-01 00:00:00"), (2, 10, "2026-01-02 00:00:00"), (3, 20, "2026-01-03 00:00:00")],
         "id int, status int, finished_at string",
     ).withColumn("started_at", F.col("finished_at"))
-    counts = spark.createDataFrame([("stg_people", 100)], "model_name string, row_count bigint")
+    counts = spark.createDataFrame([("fact_till", 100), ("stg_orders", 7)], "model_name string, row_count bigint")
     loaded = spark.createDataFrame([("1",)], "run_id string")
     rows = log.backfill(listing, manifests, results, counts, loaded)
     found = {(r.run_id, r.trigger_type, r.evaluated_rows, r.is_backfilled) for r in rows.collect()}
-    assert found == {("2", "backfill", 100, True)}
+    assert found == {("2", "backfill", n, True) for n in (100, 7, None)}
+
+
+def test_backfill_looks_at_all_runs_unless_told(spark, artifacts):
+    listing = spark.range(1, 31).selectExpr(
+        "id", "10 AS status", "CAST(timestamp_seconds(2000000000 - id) AS STRING) AS finished_at"
+    ).withColumn("started_at", F.col("finished_at"))
+    nodes, results = (a.filter("run_id = '1'").drop("run_id") for a in artifacts)
+    ids = listing.select(F.col("id").cast("string").alias("run_id"))
+    manifests, run_results = nodes.crossJoin(ids), results.crossJoin(ids)
+    counts = spark.createDataFrame([("stg_orders", 7)], "model_name string, row_count bigint")
+    none = ids.limit(0)
+    runs = lambda **kept: log.backfill(listing, manifests, run_results, counts, none, **kept)
+    assert runs().select("run_id").distinct().count() == 30
+    assert runs(kept=20).select("run_id").distinct().count() == 20
 
 
 def test_latest_runs_limit_before_status(spark):
