@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -66,12 +68,14 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = os.environ.get("BENCH_QUERIES", "").split() or list(HEADLINE)
+    scratch = tempfile.mkdtemp(prefix="strataline-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("strataline-bench")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
@@ -95,6 +99,7 @@ def main() -> None:
         "sf": Path(folder).name.removeprefix("sf"),
     }
     spark.stop()
+    shutil.rmtree(scratch, ignore_errors=True)
     print(json.dumps(result))
 
 

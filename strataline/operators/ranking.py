@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataline.operators.history import first_per_key
-from strataline.session import ensure_checkpoint_dir
+from strataline.session import scratch_path
+from strataline.sources.tables import full_refresh_files
 
 _ROW = "_row_tag"
 _PART = "_range_part"
@@ -25,18 +26,17 @@ def global_index(
     ``row_number() over (order by ...)`` would move the whole table into one task.
     Instead the rows are range-partitioned and sorted once; their place inside the
     sorted partition comes from the row tag, and only one count per partition is
-    added up globally. The tagged rows are checkpointed between the two steps: range
-    bounds are sampled, so the counts and the rows must come from one run.
+    added up globally. The tagged rows are written once to shared storage between the two
+    steps: range bounds are sampled, so the counts and the rows must come from one run.
+    Without ``partitions`` the session's number is used, and adaptive execution joins
+    small ranges. A range holds up to 2^33 rows.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (
-        df.repartitionByRange(width, *order)
-        .sortWithinPartitions(*order)
-        .withColumn(_ROW, F.monotonically_increasing_id())
-        .checkpoint()
-    )
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order).withColumn(_ROW, F.monotonically_increasing_id())
+    path = scratch_path(spark, "ranged")
+    full_refresh_files(ranged, path)
+    tagged = spark.read.schema(ranged.schema).parquet(path)
     part = F.shiftright(F.col(_ROW), _POSITION_BITS)
     position = F.col(_ROW).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     # One row per range partition: its number bounds this window and the broadcast.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,25 +29,13 @@ def apply_adaptive_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster.
-
-    A machine-local folder is only ever chosen for a local master, where driver
-    and executors are the same machine.
-    """
+    """Folder every executor can reach, as named by the cluster; beside the warehouse where
+    the cluster names none."""
     configured = spark.conf.get(CHECKPOINT_KEY, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="strataline-")
-    spark.conf.set(CHECKPOINT_KEY, local)
-    return local
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if not configured:
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+        spark.conf.set(CHECKPOINT_KEY, configured)
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
