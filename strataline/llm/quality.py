@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,9 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataline.llm.storage import bounded_batches, sampled, stored
-from strataline.llm.words import window_hashes, word_hashes
+from strataline.llm.words import WordHashes, window_hashes
 
-#: Word uni- and bigrams are hashed to so many buckets.
+#: What n-grams are made of: words, and runs of marks, which tell tables and damaged text.
+UNIT = re.compile(r"\w+|[^\w\s]+")
+#: Uni- and bigrams of them are hashed to so many buckets.
 BUCKETS = 10_000
 #: The target model counts about so many documents labelled good, drawn by hash.
 TARGET_ROWS = 20_000
@@ -21,9 +24,13 @@ SMOOTHING = 0.01
 SEED = 11
 
 
+_KNOWN = WordHashes()
+
+
 def bucket_counts(text: str | None) -> np.ndarray:
-    """How often each bucket occurs in a whole text; null and wordless texts have no n-grams."""
-    words = word_hashes(text)
+    """How often each bucket occurs in a whole text; null and blank texts have no n-grams."""
+    units = UNIT.findall(text.lower()) if text else []
+    words = np.fromiter(map(_KNOWN.__getitem__, units), np.uint64, len(units))
     grams = np.concatenate([window_hashes(words, (0,)), window_hashes(words, (0, 1))])
     return np.bincount((grams % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
 
@@ -89,8 +96,8 @@ def select_quality(documents: DataFrame, labels: DataFrame, share: float | None
     the documents labelled good and a model of all documents. key adds Gumbel noise that depends
     on the row alone, and the `share` of the rows with the largest keys are kept: a sample
     without replacement in proportion to the weights. Without `share` it is the labelled rows'
-    share of good ones. Rows with the k-th key are all kept, so ties stay together. Null, empty
-    and wordless texts have weight 0 in log. Labels that are null or neither 0 nor 1 are left
+    share of good ones. Rows with the k-th key are all kept, so ties stay together. Null and
+    blank texts have weight 0 in log. Labels that are null or neither 0 nor 1 are left
     out; without labels every log weight is 0 and all rows are kept. Other columns are not read;
     an empty table gives an empty result.
     """
