@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from strataline.operators import conform, joins
@@ -9,9 +11,9 @@ from strataline.plans import rulebook, warehouse
 from strataline.quality import log, runner
 from strataline.session import scratch_path
 from strataline.sources import files, tables
-from strataline.sources.schemas import schema
+from strataline.sources.schemas import TYPED_BRONZE_DDL, schema
 from strataline.workloads.feeds import AS_OF, LOAD_TS
-from strataline.workloads.quality_cases import _customer_log, _log_sql
+from strataline.workloads.quality_cases import _customer_log, _log_sql, counting_sql
 from strataline.workloads.registry import CTX, case, portable
 
 
@@ -185,19 +187,44 @@ def io11(t):
 
 @case(
     "io13_failing_row_sink",
-    """SELECT title, count(*) AS n_records FROM stg_djapi__product WHERE title IS NOT NULL
-       GROUP BY title HAVING count(*) > 1""",
+    f"""SELECT rule_id, failure_count AS row_count FROM ({" UNION ALL ".join(
+            counting_sql("stg_djapi__product", r) for r in rulebook.STAGING["stg_djapi__product"]
+        )}) AS r WHERE failure_count > 0""",
     "bronze",
 )
 def io13(t):
-    """Each failed rule leaves its rows in a folder of its own."""
+    """Each failed rule leaves its rows in a folder of its own; every folder is read back."""
     folder = scratch_path(t.spark, "audit")
     model = "stg_djapi__product"
     declared = {model: rulebook.STAGING[model]}
-    stored = {model: t.silver[model]}
+    stored = {model: t.stored(t.silver[model], model)}
     results = runner.check_warehouse(stored, declared, AS_OF)
-    runner.store_failures(stored, declared, results, AS_OF, folder)
-    return t.spark.read.parquet(f"{folder}/audit_stg/{model}/unique_title")
+    counted = None
+    for path in runner.store_failures(stored, declared, results, AS_OF, folder):
+        rule = F.lit(path.rpartition("/")[2]).alias("rule_id")
+        one = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(rule, "row_count")
+        counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
+@case(
+    "io12_typed_bronze",
+    """SELECT TRY_CAST(cst_id AS INT) AS cst_id, cst_key, cst_firstname, cst_lastname,
+              cst_marital_status, cst_gndr FROM crm_cust_info""",
+    "bronze",
+)
+def io12(t):
+    """First-generation bronze: a typed table is created anew and filled."""
+    ddl = TYPED_BRONZE_DDL["crm_cust_info"]
+    name = f"bronze.crm_cust_info_{uuid.uuid4().hex}"
+    tables.create_schemas(t.spark, ("bronze",))
+    tables.recreate_table(t.spark, name, schema(ddl))
+    typed = t.bronze["crm_cust_info"].select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema(ddl).fields]
+    )
+    tables.truncate_insert(typed, name)
+    shown = ["cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr"]
+    return t.spark.table(name).select(*shown)
 
 
 @case("io15_column_subset", "SELECT sls_ord_num, sls_order_dt FROM crm_sales_details", "bronze")
