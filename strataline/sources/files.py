@@ -86,7 +86,7 @@ def csv_rejects(
     )
     read = rows.option("mode", "PERMISSIVE").csv(_paths(path))
     # Every column is asked for: Spark checks only the fields it parses.
-    kept = read.filter(F.concat_ws("", *[F.col(c) for c in with_text]).isNotNull())
+    kept = read.filter(F.length(F.concat_ws("", *[F.col(c) for c in columns])) >= 0)
     return kept.filter(F.col("_corrupt_record").isNotNull()).select(
         F.col("_corrupt_record").alias("row")
     )

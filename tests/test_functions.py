@@ -317,3 +317,39 @@ def test_source_prefix(evaluate):
     rows = [("1", "csv"), ("1", "api"), ("1", "web")]
     result = evaluate(keys.source_id("a", "b"), rows, "a string, b string")
     assert result == ["CSV-1", "API-1", "Unknown"]
+
+
+def test_products_keep_nine_decimals_and_never_abort(evaluate):
+    from strataline.functions import numbers
+
+    rows = [
+        ("2.000000001", 20_000_000_000),
+        ("123456789012345678901.5", 3),
+        ("9999999999999999999999999999", 1_000_000_000),  # does not fit
+        ("-0.000000003", 7),
+        (None, 4),
+        ("1", None),
+    ]
+    ddl = "price string, quantity bigint"
+    price, quantity = F.col("price").try_cast(numbers.AMOUNT), F.col("quantity")
+    products = evaluate(numbers.expected_sales(price, quantity), rows, ddl)
+    assert [None if p is None else format(p.normalize(), "f") for p in products] == [
+        "40000000020", "370370367037037036704.5", None, "-0.000000021", None, None,
+    ]
+    assert evaluate(numbers.does_not_fit(price, quantity), rows, ddl) == [False, False, True] + [False] * 3
+    total = F.lit("5").cast(numbers.AMOUNT)
+    repaired = evaluate(numbers.repair_sales(total, quantity, price), rows, ddl)
+    assert [None if p is None else float(p) for p in repaired] == [40000000020, 370370367037037036704.5, None, 2.1e-08, 5, 5]
+    first = evaluate(numbers.repair_sales_when_not_positive(F.lit(None).cast(numbers.AMOUNT), quantity, price), rows, ddl)
+    assert [None if p is None else float(p) for p in first][:3] == [40000000020, 370370367037037036704.5, None]
+
+
+def test_first_generation_price_keeps_its_sign(evaluate):
+    from strataline.functions import numbers
+
+    rows = [("-10", -4, None), ("-10", 4, "0"), ("-10", 4, "-3"), ("9", 0, None)]
+    columns = [F.col("s").try_cast(numbers.AMOUNT), F.col("q")]
+    price = F.col("p").try_cast(numbers.AMOUNT)
+    shown = lambda sign: [None if v is None else float(v) for v in evaluate(numbers.repair_price(price, *columns, keep_sign=sign), rows, "s string, q bigint, p string")]
+    assert shown(True) == [2.5, -2.5, 3.0, None]
+    assert shown(False) == [-2.5, -2.5, 3.0, None]

@@ -120,3 +120,18 @@ def test_refresh_stores_every_layer(spark, data_folder):
     assert sales.count() == star.sales.count() > 0
     assert "_raw_id" not in customers.columns and "_raw_id" not in products.columns
     assert spark.catalog.tableExists("silver.stg_djapi__order")
+
+
+def test_csv_with_quotes_commas_and_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('ID,NAME,CITY\n1,"say ""hi"", Bob",X\n2,"two\nlines",Y\n3,,"n/a"\n')
+    rows = files.scan_csv_text(spark, str(tmp_path), ["ID", "NAME", "CITY"]).collect()
+    assert sorted(map(tuple, rows)) == [("1", 'say "hi", Bob', "X"), ("2", "two\nlines", "Y"), ("3", None, None)]
+    assert files.csv_rejects(spark, str(tmp_path), ["ID", "NAME", "CITY"]).isEmpty()
+
+
+def test_ragged_csv_rows_fail_or_are_listed(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ID,NAME\n1,a\n2,b,EXTRA\n3\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.scan_csv_text(spark, str(tmp_path), ["ID", "NAME"]).collect()
+    rejects = files.csv_rejects(spark, str(tmp_path), ["ID", "NAME"]).collect()
+    assert sorted(r.row for r in rejects) == ["2,b,EXTRA", "3"]
