@@ -55,7 +55,10 @@ def luhn(digits: str) -> bool:
 
 def _small(part: str) -> bool:
     part = part.lstrip("0")
-    return len(part) <= 3 and (not part or int(part) <= 255)
+    try:
+        return len(part) <= 3 and (not part or int(part) <= 255)
+    except ValueError:  # a candidate segment may hold other signs, as in 10.0.0.7-1
+        return False
 
 
 def _digits(text: str) -> str:
@@ -94,7 +97,7 @@ def base_spans(text: str) -> list[Span]:
 #: A number without a plus sign: a dialling code, then groups; so neither a date nor a plain number.
 _NATIONAL = re.compile(r"(?:\([0-9]{2,5}\)|[0-9]{1,3}[ .-]\(?[0-9]{2,4}\)?|[0-9]{2,4})[ .-][0-9]{3}")
 _TRIGGER = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]", re.ASCII)
-_REST = re.compile(r"\S{0,256}")
+_REST = re.compile(r"\S*")
 _NEXT = re.compile(r" {1,2}(?=\S{0,40}[0-9@]|[\[(](?:at|dot)[\])])")
 _SPELLED = re.compile(r"[\[(](?:at|dot)[\])]")
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\s+|[\[(](?:at|dot)[\])]|.", re.DOTALL)
@@ -103,11 +106,12 @@ _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\s+|[\[(](?:at|dot)[\])]|.", re.DOTALL)
 def regions(text: str) -> Iterator[tuple[int, int]]:
     """Stretches of neighbouring chunks that each hold a digit, an `@` or a spelled-out sign.
 
-    A chunk next to a spelled-out sign belongs to it too. Regions do not overlap.
+    A chunk next to a spelled-out sign belongs to it too. Chunks are whole runs without white
+    space, however long. Regions do not overlap.
     """
     done, m = 0, _TRIGGER.search(text)
     while m:
-        low = max(done, m.start() - 256)
+        low = done
         start = 1 + max(low - 1, *(text.rfind(c, low, m.start()) for c in " \n\t"))
         if m[0][0] in "[(" and start == m.start() and start > low:  # the chunk before it
             before = start - 1
@@ -133,6 +137,28 @@ def tokens(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return [m.span() for m in _TOKEN.finditer(text, start, end)]
 
 
+def _ends_segments(piece: str) -> bool:
+    """Whether no candidate segment may hold this token (see `candidates`)."""
+    head = piece[0]
+    if "\n" in piece or len(piece) > 64:
+        return True
+    return not ("0" <= head <= "9" or (len(piece) > 1 and head in "[(") or head in "@. -+()%_" or head.isalpha())
+
+
+def sections(text: str, start: int, end: int) -> Iterator[list[tuple[int, int]]]:
+    """The tokens of a region, parted at tokens that no segment may hold: readings of the parts
+    are those of the whole, and a long run is not held in memory at once."""
+    cut: list[tuple[int, int]] = []
+    for m in _TOKEN.finditer(text, start, end):
+        if not _ends_segments(m[0]):
+            cut.append(m.span())
+        elif cut:
+            yield cut
+            cut = []
+    if cut:
+        yield cut
+
+
 def _shape(text: str) -> str:
     """The span with each run of digits as its length, of letters as `a`."""
     out = re.sub(r"[0-9]+", lambda m: str(min(9, len(m[0]))), re.sub(r"[^\W\d_]+", "a", text))
@@ -334,8 +360,7 @@ def all_spans(text: str, base: list[Span], model: SemiMarkov) -> list[Span]:
     """Base spans and the model's further ones, which touch none of them; by kind and start."""
     found = list(base)
     taken = sorted((a, b) for _, a, b in base)
-    for a, b in regions(text):
-        cut = tokens(text, a, b)
+    for cut in (cut for a, b in regions(text) for cut in sections(text, a, b)):
         if some := candidates(text, cut):
             found += [s for s in model.decode(text, cut, some) if not any(x < s[2] and s[1] < y for x, y in taken)]
     return sorted(found, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))

@@ -237,6 +237,19 @@ def test_regions_are_bounded_in_time_on_long_runs():
         assert all(a < b for a, b in pii.regions(text))
 
 
+def test_long_runs_without_spaces_are_read_whole():
+    model = pii.SemiMarkov({"phone": 3.0, "card": 2.5, "email": 4.0, "ip": 2.0})
+    assert len(pii.all_spans("030-555-1234;" * 30, [], model)) == 30
+    assert pii.all_spans("10.0.0.7-1", pii.base_spans("10.0.0.7-1"), model) == [("ip", 0, 8)]
+    random_ = random.Random(12)
+    parts = ["030-555-1234", "4111.1111.1111.1111", "joe(at)mail(dot)example", "a.b@c.org", "10.0.0.7", "中文字", "x" * 70, "name", ";", ",", '":"', "。", "²", "-", "["]
+    for _ in range(60):
+        text = "".join(random_.choice(parts) for _ in range(random_.randint(1, 250)))
+        cut = pii.tokens(text, 0, len(text))
+        whole_run = model.decode(text, cut, pii.candidates(text, cut))
+        assert sorted(whole_run, key=lambda s: (pii.KINDS.index(s[0]), s[1], s[2])) == pii.all_spans(text, [], model)
+
+
 def test_warc_round_trip_and_checks():
     dictionary = zstandard.train_dictionary(1024, [f"<html><body>{k} words of page {k}</body>".encode() * 3 for k in range(300)]).as_bytes()
     for d in (dictionary, b""):
