@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from strataline.llm.storage import bounded_batches, free_name, stored
 from strataline.llm.words import window_hashes, word_hashes
 
-#: Word offsets that each fixed mask looks at; the positions between are ignored.
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 7), (0, 1, 2, 4, 7, 9), (0, 2, 5, 7, 8, 9))
+#: Word offsets that each fixed mask looks at; the positions between are ignored. One of them meets
+#: only equal words in every 10 words with up to 2 changed and every 15 with up to 3, so in every
+#: overlap: a longer one falls into parts of 10 to 19 words, and one part is as equal as the whole.
+MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 4, 6, 7, 8), (0, 2, 4, 5, 6, 7), (0, 1, 2, 3, 8, 9), (0, 1, 3, 4, 5, 7))
 #: An overlap has at least this many aligned words (or the whole item, if it is shorter) ...
 MIN_WORDS = 10
 #: ... of which at least this share is equal.
@@ -25,13 +27,26 @@ LISTED_SEEDS = 1 << 21
 _SEED = pa.schema([("seed", pa.int64()), ("position", pa.int32())])
 
 
+def short_masks(n: int) -> list[tuple[int, ...]]:
+    """Masks from end to end of an item of n words that is too short for the fixed ones.
+
+    From 5 words on one inner word may be changed: each inner word is ignored by one mask.
+    """
+    if n < 5:
+        return [tuple(range(n))]
+    parts = 3 if n == 5 else 2  # so that at least four words are looked at
+    return [tuple(i for i in range(n) if i in (0, n - 1) or i % parts != k) for k in range(parts)]
+
+
 def masks_for(short_lengths: list[int]) -> list[tuple[int, ...]]:
-    """The fixed masks, and one run for each length of items that are too short for any of them."""
-    return [*MASKS, *(tuple(range(n)) for n in sorted(short_lengths))]
+    """The fixed masks, and those of each length of items that are shorter than an overlap."""
+    return [*MASKS, *(m for n in sorted(short_lengths) for m in short_masks(n))]
 
 
-def _shortest() -> int:
-    return min(m[-1] for m in MASKS) + 1
+def item_masks(masks: list[tuple[int, ...]], n: int) -> list[tuple[int, ...]]:
+    """The same masks for an item of n words; those of other lengths find no window in it."""
+    short = n < MIN_WORDS
+    return [m if (k >= len(MASKS) and m[-1] == n - 1 if short else k < len(MASKS)) else (0, n) for k, m in enumerate(masks)]
 
 
 def seeds(words: np.ndarray, masks: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
@@ -51,19 +66,18 @@ def overlap(document: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int,
     gain = np.concatenate([[0], np.cumsum(np.where(equal, round(100 * (1 - MIN_EQUAL)), -round(100 * MIN_EQUAL)))])
     lowest = np.minimum.accumulate(gain)
     starts = np.flatnonzero(np.diff(lowest, prepend=lowest[0] + 1) < 0)  # where a new low begins
-    best = (0, 0)
     # For each end, the first start whose prefix is not above the end's is the leftmost new low.
+    # Unequal words that follow a low lower it further, so the start moves on to the next equal word.
     order = np.searchsorted(-gain[starts], -gain[1:], side="left")
-    usable = order < len(starts)
-    lengths = np.where(usable, np.arange(1, len(gain)) - starts[np.minimum(order, len(starts) - 1)], 0)
-    if len(lengths) and lengths.max() > 0:
-        end = int(lengths.argmax()) + 1
-        best = (end - int(lengths[end - 1]), end)
-    inside = np.flatnonzero(equal[best[0] : best[1]])
-    if not len(inside):
+    usable = equal & (order < len(starts))
+    ends = np.flatnonzero(usable) + 1
+    if not len(ends):
         return 0, 0, 0
-    first, last = best[0] + int(inside[0]), best[0] + int(inside[-1])
-    return low + diagonal + first, last - first + 1, len(inside)
+    same = np.flatnonzero(equal)
+    firsts = same[np.searchsorted(same, starts[order[ends - 1]])]
+    k = int((ends - firsts).argmax())
+    first, end = int(firsts[k]), int(ends[k])
+    return low + diagonal + first, end - first, int(equal[first:end].sum())
 
 
 def _row_key() -> Column:
@@ -90,9 +104,7 @@ def _item_seeds(items: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
         for batch in batches:
             for item_id, data in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 words = np.frombuffer(data, np.uint64)
-                # A run mask for short items is theirs alone.
-                own = [m if k < len(MASKS) or len(m) == len(words) else (0, len(words)) for k, m in enumerate(masks)]
-                found, position = seeds(words, own)
+                found, position = seeds(words, item_masks(masks, len(words)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.view(np.int64)), pa.array(position.astype(np.int32)), pa.array([item_id] * len(found), pa.int64())],
                     names=["seed", "item_position", "item_id"],
@@ -129,8 +141,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     document row with each benchmark item.
 
     Takes `doc_id`, `text` of the documents and `item_id`, `text` of the benchmark; other columns
-    are not read. Null, empty and wordless texts overlap with nothing. Items shorter than a mask
-    are looked for as a whole. Repeated document rows are reported once (row_key is a hash of id
+    are not read. Null, empty and wordless texts overlap with nothing. Items of under MIN_WORDS
+    words are looked for as a whole. Repeated document rows are reported once (row_key is a hash of id
     and text); items with equal id are reported as one, with their longest overlap. A null
     doc_id is reported as null. An empty table on either side gives an empty result.
 
@@ -142,8 +154,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     bounded_batches(spark)
     items = stored(benchmark_items(benchmark), "items")
     length = F.length("words") / 8
-    short = items.where(length < _shortest()).select(length.cast("int").alias("n")).distinct().collect()
-    masks = masks_for([r[0] for r in short])  # at most as many as a mask is long
+    short = items.where(length < MIN_WORDS).select(length.cast("int").alias("n")).distinct().collect()
+    masks = masks_for([r[0] for r in short])  # under MIN_WORDS lengths
     item_seeds = stored(_item_seeds(items, masks), "item-seeds")
     listed = _listed(item_seeds)
     packed = None if listed is None else spark.sparkContext.broadcast(listed)

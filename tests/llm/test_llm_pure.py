@@ -9,6 +9,7 @@ import re
 import struct
 from array import array
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -156,6 +157,42 @@ def test_overlap_is_the_longest_stretch(document, item, diagonal):
         assert (start, n) == (0, len(item))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.booleans(), min_size=1, max_size=40))
+def test_overlap_loses_no_stretch_to_one_with_unequal_ends(equal):
+    item = np.arange(len(equal), dtype=np.uint64)
+    document = np.where(equal, item, item + 100)
+    assert decontaminate.overlap(document, item, 0)[1] == _longest(document.tolist(), item.tolist(), 0)
+
+
+def test_overlap_is_not_hidden_by_a_longer_cut_one():
+    equal = np.array([*[1] * 9, *[0] * 6, 1, 1, 1, 0, 1, 1, 0, 1, 1, 1, *[0] * 6], bool)
+    item = np.arange(len(equal), dtype=np.uint64)
+    assert decontaminate.overlap(np.where(equal, item, item + 100), item, 0) == (15, 10, 8)
+
+
+def _has_seed(n: int, changed: tuple[int, ...]) -> bool:
+    """Whether an item of n words shares a seed, on its diagonal, with a text that has it so changed."""
+    masks = decontaminate.masks_for(list(range(1, decontaminate.MIN_WORDS)))
+    item = np.arange(1, n + 1, dtype=np.uint64)
+    document = np.concatenate([[500], item, [501]]).astype(np.uint64)
+    document[[i + 1 for i in changed]] += 1000
+    known = set(zip(*(x.tolist() for x in decontaminate.seeds(item, decontaminate.item_masks(masks, n))), strict=True))
+    return any((s, p - 1) in known for s, p in zip(*(x.tolist() for x in decontaminate.seeds(document, masks)), strict=True))
+
+
+@pytest.mark.parametrize("n", range(1, 17))
+def test_every_overlap_has_a_seed(n):
+    for k in range(n // 5 + 1):
+        assert all(_has_seed(n, changed) for changed in combinations(range(1, n - 1), k))
+
+
+def test_longer_overlaps_have_a_seed():
+    # With ends changed too: any longer overlap has a part of 10 to 19 words at 80 %, which has one of these.
+    assert all(_has_seed(10, changed) for changed in combinations(range(10), 2))
+    assert all(_has_seed(15, changed) for changed in combinations(range(15), 3))
+
+
 def naive_base(text: str) -> list:
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]

@@ -10,6 +10,7 @@ import re
 import zlib
 from array import array
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import duckdb
 import numpy as np
@@ -352,6 +353,20 @@ def test_contamination(spark, edge, nothing, tables):
     assert decontaminate.without_contaminated(edge, bench).columns == edge.columns
 
 
+def test_contamination_at_the_tolerance(spark):
+    items, rows = [], []
+    for n in range(5, 17):
+        words = [f"w{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        for k, changed in enumerate(combinations(range(1, n - 1), n // 5)):
+            rows.append((1000 * n + k, " ".join(["a", *("other" if i in changed else w for i, w in enumerate(words)), "b"])))
+        rows.append((1000 * n + 999, " ".join("other" if 0 < i < n // 5 + 2 else w for i, w in enumerate(words))))  # one too many
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    expected = {(i, i // 1000, 1, i // 1000, i // 1000 - i // 5000) for i, _ in rows if i % 1000 != 999}
+    assert {(r.doc_id, r.item_id, r.start_word, r.n_words, r.n_equal) for r in found.collect() if r.doc_id % 1000 != 999 or r.doc_id < 10_000} == expected
+
+
 def test_contamination_with_many_seeds(spark, tables, monkeypatch):
     docs = spark.createDataFrame([(r[0], r[1]) for r in tables["documents"]][:60], "doc_id long, text string")
     bench = spark.createDataFrame(tables["benchmark"], "item_id long, text string")
