@@ -2,8 +2,9 @@
 
 Every pair of neighbouring words of every text is hashed and joined with the places of that pair
 in known phrases and notices. A hit votes for the diagonal (word position less template
-position) it lies on; votes of neighbouring diagonals are added, which allows for words put in
-or left out, and a span counts when it covers enough of its template.
+position) it lies on; the places voted for on neighbouring diagonals are united, which allows
+for words put in or left out, and a span counts when it covers enough distinct places of its
+template with as many distinct places of the text.
 """
 
 from __future__ import annotations
@@ -77,7 +78,7 @@ def scan_licenses(documents: DataFrame, base: dict[str, str] | None = None, noti
     n_base counts all places of base phrases, first_word and last_word are the smallest and
     largest word they start at (null without any). base_labels and labels are distinct, sorted
     and joined by commas, empty without any. score is the largest share of a template's word
-    pairs that neighbouring diagonals cover, 1 at a base place, 0 without a hit. A null or empty
+    pairs that neighbouring diagonals cover, each counted once, 1 at a base place, 0 without a hit. A null or empty
     text has no words. Repeated rows are reported each; a null doc_id stays null; other columns
     are not read; an empty table gives an empty result.
 
@@ -105,11 +106,14 @@ def scan_licenses(documents: DataFrame, base: dict[str, str] | None = None, noti
     votes = (
         hits.withColumn("diagonal", F.col("at") - F.col("place"))
         .groupBy("row_id", "template", "is_base", "label", "pairs", "diagonal")
-        .agg(F.count(F.lit(1)).alias("votes"))
+        .agg(F.collect_set("place").alias("places"))  # at most as many as the template has pairs
     )
     near = Window.partitionBy("row_id", "template").orderBy("diagonal").rangeBetween(-NEIGHBOURS, NEIGHBOURS)
-    together = F.when(F.col("is_base"), F.col("votes")).otherwise(F.sum("votes").over(near))
-    covered = votes.withColumn("share", F.least(F.lit(1.0), together / F.col("pairs")))
+    spots = F.transform("places", lambda p: p + F.col("diagonal"))
+    united = lambda c: F.array_distinct(F.flatten(F.collect_list(c).over(near)))
+    votes = votes.withColumn("spots", spots).withColumns({"near_places": united("places"), "near_spots": united("spots")})
+    together = F.when(F.col("is_base"), F.size("places")).otherwise(F.least(F.size("near_places"), F.size("near_spots")))
+    covered = votes.withColumn("share", together / F.col("pairs"))
     place = F.col("is_base") & (F.col("share") == 1.0)
     label = lambda condition: F.array_join(F.array_sort(F.collect_set(F.when(condition, F.col("label")))), ",")
     by_row = covered.groupBy("row_id").agg(

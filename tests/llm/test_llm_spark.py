@@ -283,6 +283,21 @@ def test_license_notices(spark, text, labels):
     assert licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().labels == labels
 
 
+@pytest.mark.parametrize(
+    ("text", "label", "score"),
+    [
+        ("all rights all rights", "", 0.5),
+        ("rights reserved rights reserved", "", 0.5),
+        ("all rights all rights all rights all rights", "", 0.5),
+        ("all rights reserved all rights reserved", "reserved", 1.0),
+        ("cc by cc by cc by cc by 4", "", 0.4),
+    ],
+)
+def test_license_notices_count_each_place_once(spark, text, label, score):
+    row = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.labels, row.score) == (label, score)
+
+
 def test_licenses_with_many_templates(spark, edge, monkeypatch):
     listed = Counter(tuple(r) for r in licenses.scan_licenses(edge).collect())
     monkeypatch.setattr(licenses, "LISTED_PAIRS", 0)
