@@ -40,6 +40,16 @@ NOTICES = {
 #: Neighbouring diagonals that vote together, and the share of a notice's word pairs that a span covers.
 NEIGHBOURS = 2
 COVERAGE = 0.85
+#: A notice of at least so many pairs also counts with one gap of up to so many neighbouring pairs: one
+#: word put in (breaks one pair), left out or replaced (breaks two).
+GAP_FROM, GAP = 4, 2
+#: Pairs that tell licenses apart: a gap may hold none of them (`cc by sa 4 0` is not `cc by 4 0`).
+KEY_PAIRS = frozenset(
+    (
+        "mit license", "apache license", "gnu general", "lesser general", "general public", "public license", "cc by", "by 4", "by sa",
+        "sa 4", "by nc", "nc 4", "creative commons", "commons attribution", "attribution noncommercial", "mozilla public",
+    )
+)
 #: With at most so many distinct pairs in the templates, other pairs of a text are sorted out
 #: before they become rows; with more, all pairs are joined.
 LISTED_PAIRS = 10_000
@@ -68,8 +78,11 @@ def template_pairs(base: dict[str, str], notices: dict[str, str]) -> list[tuple]
 
 
 def _pairs_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    kind = "template int, is_base boolean, label string, pairs int, place int, t1 string, t2 string"
-    return spark.createDataFrame(rows, kind).withColumn("hash", F.xxhash64("t1", "t2"))
+    keys: dict[int, list[int]] = {}
+    for template, *_, place, t1, t2 in rows:
+        keys.setdefault(template, []).extend([place] * (f"{t1} {t2}" in KEY_PAIRS))
+    kind = "template int, is_base boolean, label string, pairs int, place int, t1 string, t2 string, keys array<int>"
+    return spark.createDataFrame([(*r, keys[r[0]]) for r in rows], kind).withColumn("hash", F.xxhash64("t1", "t2"))
 
 
 def scan_licenses(documents: DataFrame, base: dict[str, str] | None = None, notices: dict[str, str] | None = None) -> DataFrame:
@@ -77,7 +90,8 @@ def scan_licenses(documents: DataFrame, base: dict[str, str] | None = None, noti
 
     n_base counts all places of base phrases, first_word and last_word are the smallest and
     largest word they start at (null without any). base_labels and labels are distinct, sorted
-    and joined by commas, empty without any. score is the largest share of a template's word
+    and joined by commas, empty without any. A notice counts with COVERAGE of its pairs, or with one
+    gap (see GAP). score is the largest share of a template's word
     pairs that neighbouring diagonals cover, each counted once, 1 at a base place, 0 without a hit. A null or empty
     text has no words. Repeated rows are reported each; a null doc_id stays null; other columns
     are not read; an empty table gives an empty result.
@@ -105,7 +119,7 @@ def scan_licenses(documents: DataFrame, base: dict[str, str] | None = None, noti
     hits = hits.withColumn("hash", F.xxhash64("w1", "w2")).join(templates, "hash").where("w1 = t1 and w2 = t2")
     votes = (
         hits.withColumn("diagonal", F.col("at") - F.col("place"))
-        .groupBy("row_id", "template", "is_base", "label", "pairs", "diagonal")
+        .groupBy("row_id", "template", "is_base", "label", "pairs", "keys", "diagonal")
         .agg(F.collect_set("place").alias("places"))  # at most as many as the template has pairs
     )
     near = Window.partitionBy("row_id", "template").orderBy("diagonal").rangeBetween(-NEIGHBOURS, NEIGHBOURS)
@@ -114,6 +128,9 @@ def scan_licenses(documents: DataFrame, base: dict[str, str] | None = None, noti
     votes = votes.withColumn("spots", spots).withColumns({"near_places": united("places"), "near_spots": united("spots")})
     together = F.when(F.col("is_base"), F.size("places")).otherwise(F.least(F.size("near_places"), F.size("near_spots")))
     covered = votes.withColumn("share", together / F.col("pairs"))
+    missed = F.array_except(F.sequence(F.lit(0), F.col("pairs") - 1), "near_places")
+    one_gap = (F.size(missed) <= GAP) & (F.array_max(missed) - F.array_min(missed) < GAP) & ~F.arrays_overlap(missed, "keys")
+    one_gap &= (F.col("pairs") >= GAP_FROM) & (F.size("near_spots") >= F.size("near_places"))
     place = F.col("is_base") & (F.col("share") == 1.0)
     label = lambda condition: F.array_join(F.array_sort(F.collect_set(F.when(condition, F.col("label")))), ",")
     by_row = covered.groupBy("row_id").agg(
@@ -121,7 +138,7 @@ def scan_licenses(documents: DataFrame, base: dict[str, str] | None = None, noti
         F.min(F.when(place, F.col("diagonal"))).cast("long").alias("first_word"),
         F.max(F.when(place, F.col("diagonal"))).cast("long").alias("last_word"),
         label(place).alias("base_labels"),
-        label(place | (~F.col("is_base") & (F.col("share") >= COVERAGE))).alias("labels"),
+        label(place | (~F.col("is_base") & ((F.col("share") >= COVERAGE) | one_gap))).alias("labels"),
         F.max(F.when(place | ~F.col("is_base"), F.col("share"))).alias("score"),
     )
     none = lambda c, value: F.coalesce(F.col(c), F.lit(value)).alias(c)

@@ -298,6 +298,32 @@ def test_license_notices_count_each_place_once(spark, text, label, score):
     assert (row.labels, row.score) == (label, score)
 
 
+def test_license_notices_with_one_changed_word(spark):
+    rows, expected = [], {}
+    for notice, label in licenses.NOTICES.items():
+        words = notice.split()
+        keys = [f"{a} {b}" in licenses.KEY_PAIRS for a, b in zip(words, words[1:], strict=False)]
+        for k in range(len(words)):
+            forms = [[*words[:k], "qq", *words[k + 1 :]], [*words[:k], *words[k + 1 :]]]  # replaced, left out
+            if k:
+                forms.append([*words[:k], "qq", *words[k:]])  # put in
+            for kind, form in enumerate(forms):
+                broken = range(max(0, k - 1), k if kind == 2 else min(k + 1, len(keys)))
+                whole = {**licenses.BASE_PHRASES, **licenses.NOTICES}
+                found = {n for p, n in whole.items() if p in " ".join(form)}
+                left = 1 - len(broken) / len(keys)
+                if left >= licenses.COVERAGE or (len(words) >= 5 and not any(keys[i] for i in broken)):
+                    found.add(label)
+                expected[len(rows)] = ",".join(sorted(found))
+                rows.append((len(rows), " ".join(form)))
+    scanned = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in scanned} == expected
+    texts = ["licensed under the cc by 4 0", "licensed under cc by sa 4 0", "licensed under cc by nc sa 4 0", "licensed under cc by nd 4 0"]
+    texts += ["licensed under the gnu general public license", "licensed with a creative commons attribution noncommercial"]
+    scanned = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.labels for r in sorted(scanned)] == ["cc-by", "cc-by-sa", "", "", "gpl", "cc-by-nc"]
+
+
 def test_licenses_with_many_templates(spark, edge, monkeypatch):
     listed = Counter(tuple(r) for r in licenses.scan_licenses(edge).collect())
     monkeypatch.setattr(licenses, "LISTED_PAIRS", 0)
