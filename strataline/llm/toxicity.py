@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from strataline.llm.storage import bounded_batches, free_name, sampled
+from strataline.llm.storage import bounded_batches, free_name, sampled, stored
 from strataline.llm.words import KNOWN_WORDS, split_words
 
 #: Terms are hashed to so many buckets, of which the most telling ones are kept.
@@ -136,7 +136,8 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     """Fit on about `rows` labelled documents that are not held out.
 
     Takes `doc_id` and `text`, and `doc_id` and `toxic` of the labels; labels that are null or
-    neither 0 nor 1 are left out, and an id with differing labels counts as 1.
+    neither 0 nor 1 are left out, and an id with differing labels counts as 1. Equal rows count
+    once; if repeated ids leave more than twice `rows` still, about `rows` of those are drawn.
     """
     bounded_batches(documents.sparkSession)
     some = (
@@ -154,8 +155,10 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
             yield pa.RecordBatch.from_arrays([batch[0].cast(pa.int32()), terms], names=["toxic", "terms"])
 
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    # The sample's rows are few by the limit above.
-    rows_of = texts.join(F.broadcast(some), "doc_id").select("toxic", "text").mapInArrow(hashed, "toxic int, terms binary")
+    drawn = stored(texts.join(F.broadcast(some), "doc_id").select("doc_id", "text", "toxic").distinct(), "toxicity-rows")
+    if drawn.count() > 2 * rows:
+        drawn = sampled(drawn, rows, "doc_id", "text")
+    rows_of = drawn.select("toxic", "text").mapInArrow(hashed, "toxic int, terms binary")
     found = sorted((bytes(r[1]), r[0]) for r in rows_of.collect())
     return fit([np.frombuffer(t, np.int32) for t, _ in found], np.array([y for _, y in found], np.int32))
 

@@ -213,6 +213,19 @@ def test_toxicity_on_held_out_rows(spark, data_folder, labels):
     assert sum(r.predicted == truth[r.doc_id] for r in scored) >= 0.97 * len(scored)
 
 
+def test_toxicity_training_rows_are_bounded(spark, monkeypatch):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2][:40]
+    rows = [(i, f"text of {i}") for i in ids] + [(ids[0], "text again")] * 3000
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    sizes = []
+    monkeypatch.setattr(toxicity, "fit", lambda terms, marks: sizes.append(len(terms)))
+    toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert sizes == [41]
+    many = rows[:40] + [(ids[0], f"another text {k}") for k in range(3000)]
+    toxicity.train(spark.createDataFrame(many, "doc_id long, text string"), labels, rows=50)
+    assert 0 < sizes[1] <= 100
+
+
 def test_quality_edges_and_share(spark, edge, nothing, labels, data_folder, tables):
     found = quality.select_quality(edge, labels)
     assert found.columns == ["doc_id", "log_weight", "key", "kept"] and found.count() == len(EDGE)
