@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataline.llm import licenses
+from strataline.llm import licenses, url_filter
+from strataline.sources.tables import literal_table
 
 #: The folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("STRATALINE_TOKENIZERS", "/opt/tokenizers")
@@ -93,6 +94,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
 
 
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the rule that decides about its URL, and the verdict."""
+    rules = literal_table(spark, url_filter.RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -104,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
+    "op12_url_filters": op12_url_filters,
 }
 
-ORACLES: dict[str, str] = {"op7_licenses": licenses.oracle()}
+ORACLES: dict[str, str] = {"op7_licenses": licenses.oracle(), "op12_url_filters": url_filter.oracle()}
