@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataline.llm import licenses, url_filter
+from strataline.llm import licenses, resampling, url_filter
 from strataline.sources.tables import literal_table
 
 #: The folder of the public tokenizers' files.
@@ -100,6 +100,11 @@ def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its weight towards the benchmark texts, and its rank if it is drawn."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -112,6 +117,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
     "op12_url_filters": op12_url_filters,
+    "op13_target_resampling": op13_target_resampling,
 }
 
-ORACLES: dict[str, str] = {"op7_licenses": licenses.oracle(), "op12_url_filters": url_filter.oracle()}
+ORACLES: dict[str, str] = {
+    "op7_licenses": licenses.oracle(),
+    "op12_url_filters": url_filter.oracle(),
+    "op13_target_resampling": resampling.oracle(),
+}
