@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataline.llm import licenses, resampling, url_filter
+from strataline.llm import divergence, licenses, resampling, url_filter
 from strataline.sources.tables import literal_table
 
 #: The folder of the public tokenizers' files.
@@ -94,6 +94,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ: every pair of them, and each one's own terms."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page with the rule that decides about its URL, and the verdict."""
     rules = literal_table(spark, url_filter.RULES, "host string, path string, verdict string")
@@ -116,12 +121,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_warc": op9_warc,
     "op10_decontamination": op10_decontamination,
+    "op11_divergence_audit": op11_divergence_audit,
     "op12_url_filters": op12_url_filters,
     "op13_target_resampling": op13_target_resampling,
 }
 
 ORACLES: dict[str, str] = {
     "op7_licenses": licenses.oracle(),
+    "op11_divergence_audit": divergence.oracle(),
     "op12_url_filters": url_filter.oracle(),
     "op13_target_resampling": resampling.oracle(),
 }

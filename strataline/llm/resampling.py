@@ -157,11 +157,14 @@ class Vocabulary:
         return np.concatenate(out_at), np.concatenate(out_bucket)
 
 
-def pieces(text: bytes | None) -> Iterator[list[bytes]]:
-    """The words of a whole text, in lists of bounded size that are cut between words."""
+def pieces_of(text: bytes | None, table: bytes = _AS_WORDS) -> Iterator[list[bytes]]:
+    """The words of a whole text, in lists of bounded size that are cut between words.
+
+    `table` says what each byte becomes; words stand between blanks then.
+    """
     if not text:
         return
-    text = text.translate(_AS_WORDS)
+    text = text.translate(table)
     start = 0
     while start < len(text):
         end = start + BLOCK_BYTES
@@ -188,7 +191,7 @@ def bucket_blocks(texts: Sequence[bytes | None], vocabulary: Vocabulary) -> Iter
 
     for number, text in enumerate(texts):
         tail: list[bytes] = []
-        for found in pieces(text):
+        for found in pieces_of(text):
             words += tail
             words += found
             text_no.append(number)
