@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strataline.operators.history import first_per_key
 from strataline.session import scratch_path
-from strataline.sources.tables import full_refresh_files
+from strataline.sources.snapshots import write_once
 
 _ROW = "_row_tag"
 _PART = "_range_part"
@@ -35,7 +35,7 @@ def global_index(
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     ranged = ranged.sortWithinPartitions(*order).withColumn(_ROW, F.monotonically_increasing_id())
     path = scratch_path(spark, "ranged")
-    full_refresh_files(ranged, path)
+    write_once(ranged, path)
     tagged = spark.read.schema(ranged.schema).parquet(path)
     part = F.shiftright(F.col(_ROW), _POSITION_BITS)
     position = F.col(_ROW).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))

@@ -7,13 +7,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataline.functions.numbers import safe_ratio
 from strataline.functions.text import as_column
 from strataline.operators.joins import exclude_loaded
 from strataline.quality.rules import TEST_CATEGORIES
 from strataline.sources.schemas import DQ_LOG_DDL, schema
-from strataline.sources.tables import folder_or_empty, literal_table
+from strataline.sources.snapshots import append_units, damaged_units, read_units, recorded_units
+from strataline.sources.tables import literal_table
 
 RUN_DAY = "run_date"
 
@@ -159,38 +161,43 @@ def successful_runs(
     return newest.filter(F.col("status") == success)
 
 
+def _stored_schema() -> T.StructType:
+    return schema(DQ_LOG_DDL).add(RUN_DAY, "date")
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log so far; empty when nothing was ever appended."""
-    return folder_or_empty(spark, path, schema(DQ_LOG_DDL).add(RUN_DAY, "date"))
+    """The log so far: every recorded run once. Empty when nothing was ever appended."""
+    return read_units(spark, path, _stored_schema(), "run_id")
+
+
+def loaded_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The runs whose rows are all stored, from their records alone."""
+    return recorded_units(spark, path, "run_id").select("run_id")
+
+
+def damaged_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Runs of which more or fewer rows are stored than were recorded."""
+    return damaged_units(spark, path, _stored_schema(), "run_id")
 
 
 def append_log(log: DataFrame, path: str) -> None:
     """Append rows, partitioned by day and clustered within files; never overwrites.
 
-    The rebalance hint lets adaptive execution give a small day one file and split a
-    very large one.
+    A run counts when the record of its append is written, and once: a lost append leaves
+    nothing that readers see. The rebalance hint lets adaptive execution give a small day
+    one file and split a very large one.
     """
     dated = log.withColumn(RUN_DAY, F.to_date("run_finished_at"))
-    (
-        dated.hint("rebalance", RUN_DAY)
-        .sortWithinPartitions(RUN_DAY, "model_name", "test_category")
-        .write.mode("append")
-        .partitionBy(RUN_DAY)
-        .parquet(path)
-    )
+    append_units(dated.hint("rebalance", RUN_DAY), path, "run_id", [RUN_DAY], [RUN_DAY, "model_name", "test_category"])
 
 
 def append_new_runs(log: DataFrame, path: str) -> None:
-    """Append only runs the log does not know, so repeating a backfill adds nothing.
+    """Append only runs that are not recorded, so repeating a backfill adds nothing and
+    completes what an earlier one lost.
 
-    Only the days of the new rows are read: a run keeps its day.
+    Two backfills at once may both store a run; readers take it from the one recorded first.
     """
-    days = [r[0] for r in log.select(F.to_date("run_finished_at")).distinct().collect()]
-    known = read_log(log.sparkSession, path)
-    same_day = F.col(RUN_DAY).isin([d for d in days if d is not None])
-    if None in days:
-        same_day = same_day | F.col(RUN_DAY).isNull()
-    known = known.filter(same_day).select("run_id")
+    known = loaded_runs(log.sparkSession, path)
     append_log(exclude_loaded(log, known, "run_id").select(*log.columns), path)
 
 

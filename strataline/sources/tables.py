@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataline.sources.snapshots import write_once
+
 LOAD_COLUMN = "dwh_create_date"
 
 # Schema per model prefix.
@@ -41,24 +44,70 @@ def stamp_load(df: DataFrame, load_ts: dt.datetime | str | Column) -> DataFrame:
     return df.withColumn(LOAD_COLUMN, value.cast("timestamp"))
 
 
-def full_refresh(df: DataFrame, name: str) -> None:
-    """Replace a table's content and definition."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def _new_location(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one version of a table, beside its schema's tables."""
+    schema_name, _, table = name.rpartition(".")
+    root = spark.catalog.getDatabase(schema_name or spark.catalog.currentDatabase()).locationUri
+    return f"{root.rstrip('/')}/{table}.versions/{uuid.uuid4().hex}"
+
+
+def _plain(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
-def full_refresh_files(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
-    """Replace a Parquet folder; ``order`` only sorts within files, for scan skipping."""
-    ordered = df.sortWithinPartitions(*order) if order else df
-    ordered.write.mode("overwrite").parquet(path)
+def _is_partitioned(spark: SparkSession, name: str) -> bool:
+    return any(c.isPartition or c.isBucket for c in spark.catalog.listColumns(name))
+
+
+def full_refresh(df: DataFrame, name: str, order: Sequence[str] = ()) -> None:
+    """Replace a table's content and definition.
+
+    All rows are stored in a folder of their own first; then the catalog is told that the table
+    lies there, which is one step. A refresh that fails leaves the table as it was, and queries
+    that are running keep the version they began with. Only if the definition changes is the
+    table made anew, over rows that are stored already. Old versions stay until
+    :func:`drop_old_versions`.
+    """
+    spark, location = df.sparkSession, _new_location(df.sparkSession, name)
+    write_once(df, location, order)
+    if spark.catalog.tableExists(name):
+        known = spark.table(name).schema
+        if _plain(known) == _plain(df.schema) and not _is_partitioned(spark, name):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=location, source="parquet", schema=df.schema)
 
 
 def truncate_insert(df: DataFrame, name: str, order: Sequence[str] = ()) -> None:
-    """Empty an existing table and fill it; its definition stays."""
+    """Empty an existing table and fill it; its definition stays.
+
+    As in :func:`full_refresh` the old rows stay readable until all new ones are stored.
+    """
     spark = df.sparkSession
     target = spark.table(name)
+    if _is_partitioned(spark, name):
+        raise ValueError(f"{name} is partitioned; its partitions cannot be replaced at one stroke")
     rows = df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
-    rows = rows.sortWithinPartitions(*order) if order else rows
-    rows.write.mode("overwrite").insertInto(name, overwrite=True)
+    location = _new_location(spark, name)
+    write_once(rows, location, order)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+
+
+def drop_old_versions(spark: SparkSession, name: str) -> int:
+    """Delete the versions of a table that its catalog entry no longer names; returns how many.
+
+    For when no query reads them any more. Needs the JVM's file system, so no Spark Connect.
+    """
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    current = spark._jvm.org.apache.hadoop.fs.Path(details.data_type)
+    if not current.getParent().getName().endswith(".versions"):
+        return 0
+    file_system = current.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in file_system.listStatus(current.getParent()) if s.getPath().getName() != current.getName()]
+    for path in old:
+        file_system.delete(path, True)
+    return len(old)
 
 
 def publish_view(df: DataFrame, name: str) -> None:
@@ -69,7 +118,7 @@ def publish_view(df: DataFrame, name: str) -> None:
 def materialise(df: DataFrame, model: str, layer: str | None = None) -> DataFrame:
     """Write a model to its layer and return the stored table.
 
-    Cuts lineage: later models read files instead of repeating the plan, and a lost
+    The model's table keeps its old rows until the new ones are stored. Cuts lineage: later models read files instead of repeating the plan, and a lost
     executor costs one task of the later model, not the whole chain.
     """
     name = qualified(model, layer)
@@ -94,12 +143,3 @@ def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> Data
     if spark.catalog.tableExists(name):
         return spark.table(name)
     return spark.createDataFrame([], schema)
-
-
-def folder_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The Parquet folder twin of :func:`table_or_empty`."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if file_system.exists(hadoop_path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)

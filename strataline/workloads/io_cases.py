@@ -10,7 +10,7 @@ from strataline.operators import conform, joins
 from strataline.plans import rulebook, warehouse
 from strataline.quality import log, runner
 from strataline.session import scratch_path
-from strataline.sources import files, tables
+from strataline.sources import files, snapshots, tables
 from strataline.sources.schemas import TYPED_BRONZE_DDL, schema
 from strataline.workloads.feeds import AS_OF, LOAD_TS
 from strataline.workloads.quality_cases import _customer_log, _log_sql, counting_sql
@@ -137,10 +137,10 @@ def io7(t):
     """The second refresh replaces what the first one wrote."""
     path = scratch_path(t.spark, "refresh")
     shown = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
-    tables.full_refresh_files(shown, path)
+    snapshots.replace_files(shown, path)
     unfinished = shown.filter(F.col("o_orderstatus") != "F")
-    tables.full_refresh_files(unfinished, path, order=["o_custkey"])
-    return t.spark.read.schema(shown.schema).parquet(path)
+    snapshots.replace_files(unfinished, path, order=["o_custkey"])
+    return snapshots.read_files(t.spark, path, shown.schema)
 
 
 @case(
@@ -236,7 +236,7 @@ def io15(t):
 def io16(t):
     """A log that does not exist yet excludes nothing."""
     runs = t.orders.select(F.col("o_orderkey").alias("run_id"))
-    nothing = tables.folder_or_empty(
+    nothing = snapshots.folder_or_empty(
         t.spark, scratch_path(t.spark, "absent"), schema("run_id bigint")
     )
     return joins.exclude_loaded(runs, nothing, "run_id")
@@ -257,8 +257,15 @@ def io17(t):
     "bronze",
 )
 def io10(t):
-    """Silver and gold written model by model to shared storage, then read back."""
-    star = warehouse.refresh(t.bronze, CTX, store=t.stored)
+    """Silver and gold written model by model to the tables of their layers, then read back."""
+    run = uuid.uuid4().hex  # schemas of this call's own, as queries may run side by side
+    layers = {layer: f"{layer}_{run}" for layer in ("silver", "gold")}
+    tables.create_schemas(t.spark, layers.values())
+
+    def materialise(df, model):
+        return tables.materialise(df, model, layers[tables.layer_of(model)])
+
+    star = warehouse.refresh(t.bronze, CTX, store=materialise)
     return portable(
         star.sales.groupBy("data_source").agg(
             F.count(F.lit(1)).alias("row_count"), F.sum("total_sales_amount").alias("total_sales")
@@ -275,5 +282,5 @@ def k4(t):
     """Sorting on write changes file layout only, never the rows."""
     path = scratch_path(t.spark, "sorted")
     shown = t.events.select("event_id", "user_id", "event_type")
-    tables.full_refresh_files(shown, path, order=["user_id", "event_id"])
-    return conform.align(t.spark.read.schema(shown.schema).parquet(path), shown.schema)
+    snapshots.replace_files(shown, path, order=["user_id", "event_id"])
+    return conform.align(snapshots.read_files(t.spark, path, shown.schema), shown.schema)

@@ -97,7 +97,7 @@ def test_log_schema_and_append(spark, people, tmp_path):
     log.append_new_runs(_log(spark, people, "run-2"), path)
     stored = log.read_log(spark, path)
     assert stored.count() == 2 * first.count()
-    assert (tmp_path / "log" / "run_date=2031-02-03").is_dir()
+    assert list((tmp_path / "log" / "rows").glob("attempt=*/run_date=2031-02-03"))
 
 
 def test_appending_nothing_is_harmless(spark, people, tmp_path):
