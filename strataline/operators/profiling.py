@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from strataline.functions import dates
 from strataline.functions.text import has_outer_whitespace, trim_all
-from strataline.operators.rollup import count_by, repeated_keys, value_counts
+from strataline.operators.fingerprints import repeated_keys
+from strataline.operators.rollup import count_by, value_counts
 
 
 def _any(conditions: Sequence[Column]) -> Column:

@@ -54,11 +54,6 @@ def column_total(df: DataFrame, column: str) -> Column:
     return df.agg(F.sum(column)).scalar()
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[Column | str], name: str = "row_count") -> DataFrame:
-    """Keys that occur more than once; NULL counts as a key."""
-    return count_by(df, *keys, name=name).filter(F.col(name) > 1)
-
-
 def value_counts(df: DataFrame, column: Column | str, name: str = "row_count") -> DataFrame:
     """Occurrences per value, NULL included as a value of its own."""
     return count_by(df, column, name=name)

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from strataline.functions import text
 from strataline.functions.dates import AsOf, day
+from strataline.operators.fingerprints import repeated_keys
 from strataline.operators.joins import orphans
-from strataline.operators.rollup import repeated_keys
 
 ERROR, WARN = "error", "warn"
 

@@ -54,14 +54,14 @@ def current_version(spark: SparkSession, path: str) -> str | None:
     return newest.version if newest else None
 
 
-def replace_files(df: DataFrame, path: str, order: Sequence[str] = ()) -> str:
+def replace_files(df: DataFrame, path: str, order: Sequence[str] = (), partition_by: Sequence[str] = ()) -> str:
     """Replace what ``path`` holds: readers see the old rows until all new ones are stored.
 
     ``order`` only sorts within files, for scan skipping. The table may be read by ``df``
     itself. Returns the new version.
     """
     spark, version = df.sparkSession, uuid.uuid4().hex
-    write_once(df, f"{path}/versions/{version}", order)
+    write_once(df, f"{path}/versions/{version}", order, partition_by)
     last = _pointers(spark, path).agg(F.max("sequence")).first()[0]
     pointer = spark.createDataFrame([((last or 0) + 1, version)], _POINTER)
     pointer.coalesce(1).write.json(f"{path}/pointers/{version}")
@@ -76,10 +76,10 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(f"{path}/versions/{version}")
 
 
-def write_once(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+def write_once(df: DataFrame, path: str, order: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
     """Write to a folder that does not exist yet."""
     ordered = df.sortWithinPartitions(*order) if order else df
-    ordered.write.parquet(path)
+    ordered.write.partitionBy(*partition_by).parquet(path)
 
 
 # --- appends ------------------------------------------------------------------------------------

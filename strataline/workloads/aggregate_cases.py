@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strataline.functions import dates
 from strataline.functions.numbers import safe_ratio
-from strataline.operators import profiling, rollup
+from strataline.operators import fingerprints, profiling, rollup
 from strataline.quality import log
 from strataline.workloads.registry import case, portable
 
@@ -196,7 +196,7 @@ def a15(t):
        GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 )
 def a16(t):
-    return rollup.repeated_keys(t.lineitem, ["l_orderkey", "l_linenumber"])
+    return fingerprints.repeated_keys(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
 @case(

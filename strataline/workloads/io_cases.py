@@ -13,7 +13,8 @@ from strataline.session import scratch_path
 from strataline.sources import files, snapshots, tables
 from strataline.sources.schemas import TYPED_BRONZE_DDL, schema
 from strataline.workloads.feeds import AS_OF, LOAD_TS
-from strataline.workloads.quality_cases import _customer_log, _log_sql, counting_sql
+from strataline.workloads import oracle_stages as sql
+from strataline.workloads.quality_cases import _customer_log, _log_sql
 from strataline.workloads.registry import CTX, case, portable
 
 
@@ -185,26 +186,56 @@ def io11(t):
     return t.spark.sql("SELECT n_name, count(*) AS customers FROM customer_nations GROUP BY n_name")
 
 
-@case(
-    "io13_failing_row_sink",
-    f"""SELECT rule_id, failure_count AS row_count FROM ({" UNION ALL ".join(
-            counting_sql("stg_djapi__product", r) for r in rulebook.STAGING["stg_djapi__product"]
-        )}) AS r WHERE failure_count > 0""",
-    "bronze",
-)
+# What each rule of the API products objects to, written out: column, condition, or repeated key.
+_PRODUCT_FAILURES = {
+    "not_null_id": ("id", "id IS NULL"),
+    "not_null_title": ("title", "title IS NULL"),
+    "not_null_category": ("category", "category IS NULL"),
+    "not_null_pkey": ("pkey", "pkey IS NULL"),
+    "unique_id": ("id", None),
+    "unique_title": ("title", None),
+    "accepted_range_id": ("id", "id <= 0"),
+    "no_whitespace_title": ("title", f"length(title) <> length({sql.trim('title')})"),
+    "no_whitespace_category": ("category", f"length(category) <> length({sql.trim('category')})"),
+    "no_whitespace_pkey": ("pkey", f"length(pkey) <> length({sql.trim('pkey')})"),
+    "assert_case_title_initcap": ("title", f"title <> {sql.words('title')}"),
+    "assert_case_category_initcap": ("category", f"category <> {sql.words('category')}"),
+    "assert_length_pkey": ("pkey", "length(pkey) <> 15"),
+    "not_contains_string_pkey": ("pkey", "strpos(pkey, '_') > 0"),
+}
+_PRODUCT_COLUMNS = ("id", "title", "category", "pkey")
+
+
+def _product_failures_sql() -> str:
+    parts = []
+    for rule_id, (column, condition) in _PRODUCT_FAILURES.items():
+        shown = ", ".join(c if c == column else f"NULL AS {c}" for c in _PRODUCT_COLUMNS)
+        if condition is None:
+            tail = f"count(*) AS n_records FROM stg_djapi__product WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1"
+        else:
+            tail = f"NULL AS n_records FROM stg_djapi__product WHERE {condition}"
+        parts.append(f"SELECT '{rule_id}' AS rule_id, {shown}, {tail}")
+    return "\nUNION ALL ".join(parts)
+
+
+@case("io13_failing_row_sink", _product_failures_sql(), "bronze")
 def io13(t):
-    """Each failed rule leaves its rows in a folder of its own; every folder is read back."""
+    """Each failed rule leaves its rows in a folder of its own; every folder is read back whole."""
     folder = scratch_path(t.spark, "audit")
     model = "stg_djapi__product"
     declared = {model: rulebook.STAGING[model]}
     stored = {model: t.stored(t.silver[model], model)}
     results = runner.check_warehouse(stored, declared, AS_OF)
-    counted = None
-    for path in runner.store_failures(stored, declared, results, AS_OF, folder):
-        rule = F.lit(path.rpartition("/")[2]).alias("rule_id")
-        one = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(rule, "row_count")
-        counted = one if counted is None else counted.unionByName(one)
-    return counted
+    written = runner.store_failures(stored, declared, results, AS_OF, folder)
+    by_id = {rule.rule_id: rule for rule in declared[model]}
+    every = None
+    for (_, rule_id), path in written.items():
+        rows = runner.read_failures(stored[model], by_id[rule_id], path)
+        shown = [F.col(c) if c in rows.columns else F.lit(None).cast(stored[model].schema[c].dataType).alias(c) for c in _PRODUCT_COLUMNS]
+        count = F.col("n_records") if "n_records" in rows.columns else F.lit(None).cast("bigint").alias("n_records")
+        one = rows.select(F.lit(rule_id).alias("rule_id"), *shown, count)
+        every = one if every is None else every.unionByName(one)
+    return every
 
 
 @case(

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from strataline.operators import fingerprints
 from strataline.plans import rulebook
 from strataline.quality import log, rules, runner
 from strataline.sources.schemas import DQ_LOG_DDL, schema
@@ -240,11 +242,64 @@ def test_summary_rates(spark, people):
 
 
 def test_failed_rules_leave_their_rows(spark, people, tmp_path):
-    declared = {"stg_people": RULES[:4]}
-    tables = {"stg_people": people}
-    results = runner.check_warehouse(tables, declared, AS_OF)
+    declared = {"stg_people": RULES}
+    tables = {"stg_people": people, "parents": spark.createDataFrame([(1,)], "key int")}
+    results = runner.check_model("stg_people", people, RULES, AS_OF, tables)
     written = runner.store_failures(tables, declared, results, AS_OF, str(tmp_path))
-    assert [w.rsplit("/", 1)[-1] for w in written] == [
-        "accepted_values_code", "no_whitespace_name", "not_null_name", "unique_id",
-    ]
-    assert spark.read.parquet(written[-1]).collect()[0].asDict() == {"id": 2, "n_records": 2}
+    assert sorted(rule_id for _, rule_id in written) == [
+        "accepted_range_id", "accepted_values_code", "contains_string_name", "no_whitespace_name", "not_null_name",
+        "relationships_id", "unique_id",
+    ]
+    by_id = {rule.rule_id: rule for rule in RULES}
+    for (_, rule_id), path in written.items():
+        stored = runner.read_failures(people, by_id[rule_id], path)
+        expected = rules.failing_rows(people, by_id[rule_id], AS_OF, tables)
+        assert stored.columns == expected.columns
+        assert sorted(map(str, stored.collect())) == sorted(map(str, expected.collect())), rule_id
+
+
+def _scans(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("Relation [") + plan.count("Relation spark_catalog")
+
+
+def test_row_rules_share_one_scan(spark, people, tmp_path):
+    people.write.parquet(str(tmp_path / "people"))
+    stored = spark.read.parquet(str(tmp_path / "people"))
+    row_rules = [r for r in RULES if isinstance(r, rules.RowRule) and not isinstance(r, rules.ValueRule)]
+    assert len(row_rules) == 4
+    assert _scans(runner.model_failures(stored, row_rules, AS_OF)) == 1
+
+
+def test_parent_rules_share_one_scan(spark, people, tmp_path):
+    people.write.parquet(str(tmp_path / "people"))
+    stored = spark.read.parquet(str(tmp_path / "people"))
+    parents = {f"p{i}": spark.createDataFrame([(i,)], "key bigint") for i in range(6)}
+    checks = [rules.relationships("id", f"p{i}", "key") for i in range(5)] + [rules.relationships("code", "p5", "key")]
+    found = runner._offending_values(stored, checks, AS_OF, parents)
+    assert _scans(found) == 1
+    counted = {r.rule_no: r.n for r in found.groupBy("rule_no").agg(F.sum("n").alias("n")).collect()}
+    for number, rule in enumerate(checks[:5]):
+        assert counted.get(number, 0) == rules.failing_rows(people, rule, AS_OF, parents).count()
+
+
+def test_clean_keys_ship_no_rows_in_the_second_pass(spark):
+    clean = spark.range(5000).selectExpr("id", "concat('key-', id) AS name")
+    twice = fingerprints.seen_twice(clean, [F.xxhash64("name")])
+    assert clean.filter(fingerprints.may_hold(twice, F.xxhash64("name"))).isEmpty()
+    dirty = clean.unionByName(clean.filter("id % 1000 = 7"))
+    found = fingerprints.repeated_keys(dirty, ["name", "id"], "n")
+    assert {tuple(r) for r in found.collect()} == {(f"key-{i}", i, 2) for i in range(7, 5000, 1000)}
+    twice = fingerprints.seen_twice(dirty, [F.xxhash64("name")])
+    passed = dirty.filter(fingerprints.may_hold(twice, F.xxhash64("name"))).count()
+    assert 10 <= passed <= 20
+
+
+def test_repeated_keys_are_exact_when_the_filter_is_full(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "FILTER_BITS", 64)
+    rows = [(str(i % 40) if i % 7 else None, float(i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "a string, b double")
+    found = fingerprints.repeated_keys(df, ["a", "b"], "n").collect()
+    expected = {k: n for k, n in Counter(rows).items() if n > 1}
+    assert {(r.a, r.b): r.n for r in found} == expected
+    assert fingerprints.repeated_keys(df.limit(0), ["a", "b"]).isEmpty()
