@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Size of a filter in bits: 128 KB in every plan, whatever the size of the table.
+#: Size of a filter in bits, a power of two: 128 KB in every plan, whatever the size of the table.
 FILTER_BITS = 1 << 20
 _WORD = 64
 
@@ -32,33 +32,34 @@ def is_narrow(df: DataFrame, keys: Sequence[str]) -> bool:
     return width <= 8
 
 
-def _slots(fingerprint: Column) -> list[Column]:
+def _slots(fingerprint: Column, bits: int) -> list[Column]:
     """Two places in the filter, from separate bits of a fingerprint."""
-    mask = F.lit(FILTER_BITS - 1)
+    mask = F.lit(bits - 1)
     return [fingerprint.bitwiseAND(mask), F.shiftrightunsigned(fingerprint, 32).bitwiseAND(mask)]
 
 
-def filter_of(df: DataFrame, fingerprint: str) -> Column:
+def filter_of(df: DataFrame, fingerprint: str, bits: int | None = None) -> Column:
     """The bit filter of a column of fingerprints, as a scalar subquery: an array of 64-bit words.
 
     Words are combined in each task and then by word, so what is gathered is one array of fixed
     length.
     """
-    slots = df.select(F.explode(F.array(*_slots(F.col(fingerprint)))).alias("slot"))
+    bits = bits or FILTER_BITS
+    slots = df.select(F.explode(F.array(*_slots(F.col(fingerprint), bits))).alias("slot"))
     word = F.shiftright("slot", 6).alias("word")
     bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
     words = slots.groupBy(word).agg(F.bit_or(bit).alias("bits"))
-    every = df.sparkSession.range(0, FILTER_BITS // _WORD, 1, 1)
+    every = df.sparkSession.range(0, bits // _WORD, 1, 1)
     dense = every.join(words, every.id == words.word, "left").select("id", F.coalesce("bits", F.lit(0)).alias("bits"))
     ordered = F.array_sort(F.collect_list(F.struct("id", "bits")))
     return dense.agg(F.transform(ordered, lambda w: w["bits"])).scalar()
 
 
-def may_hold(words: Column, fingerprint: Column) -> Column:
-    """False only if the filter was made without this fingerprint."""
+def may_hold(words: Column, fingerprint: Column, bits: int | None = None) -> Column:
+    """False only if the filter, made of as many bits, was made without this fingerprint."""
     tests = [
         F.getbit(F.get(words, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
-        for slot in _slots(fingerprint)
+        for slot in _slots(fingerprint, bits or FILTER_BITS)
     ]
     return tests[0] & tests[1]
 

@@ -13,6 +13,7 @@ from strataline.operators.history import current_versions
 from strataline.operators.ranking import dense_keys
 from strataline.plans.silver import RunContext
 from strataline.sources.schemas import schema
+from strataline.sources.snapshots import stored_once
 
 RAW_ID = "_raw_id"
 
@@ -155,7 +156,7 @@ def _keyed(parts: DataFrame, key: str, natural_id: str, labels: Labels, dense: b
     """Add the surrogate key and the prefixed id, keeping the raw id for fact joins."""
     if dense:
         order = [F.col(RAW_ID).cast("bigint"), F.col("data_source")]
-        keyed = dense_keys(parts, order, key)
+        keyed = dense_keys(stored_once(parts, key), order, key)
     else:
         keyed = parts.withColumn(key, keys.surrogate_key(RAW_ID, "data_source"))
     prefixed = keys.source_id(RAW_ID, "data_source", labels.prefixes)
@@ -249,7 +250,7 @@ def sales_fact(
     if dense:
         ties = [c for c in parts.columns if c != "data_source"]
         order = [F.col("order_number").try_cast("bigint"), F.col("data_source")]
-        keyed = dense_keys(parts, [*order, *[F.col(c) for c in ties]], "order_key")
+        keyed = dense_keys(stored_once(parts, "sales_parts"), [*order, *ties], "order_key")
     else:
         keyed = parts.withColumn(
             "order_key", keys.surrogate_key("order_number", "product_key", "data_source")

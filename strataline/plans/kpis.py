@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from strataline.functions import dates
 from strataline.functions.codes import MISSING
 from strataline.functions.numbers import percentage, safe_ratio
-from strataline.operators.ranking import global_ntile, leader_per_group, top_rows
+from strataline.operators.ranking import Falling, global_ntile, leader_per_group, top_rows
 from strataline.operators.rollup import (
     column_total,
     count_by,
     ratio_of_sum_to_distinct,
     sum_through_dimension,
 )
+from strataline.sources.snapshots import stored_once
 
 
 def ship_lag() -> Column:
@@ -51,7 +52,8 @@ def top_decile_revenue_share(sales: DataFrame) -> DataFrame:
     spending = sales.groupBy("customer_key").agg(
         F.sum("total_sales_amount").alias("customer_total")
     )
-    order = [F.col("customer_total").desc_nulls_last(), F.col("customer_key")]
+    spending = stored_once(spending, "spending")  # a row per customer, read more than once below
+    order = [Falling("customer_total"), "customer_key"]
     ranked = global_ntile(spending, 10, order, "decile")
     best = F.sum(F.when(F.col("decile") == 1, F.col("customer_total")).otherwise(0.0))
     return ranked.agg(

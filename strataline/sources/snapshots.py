@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataline.session import scratch_path
+
 ATTEMPT = "attempt"
 
 
@@ -82,6 +84,13 @@ def write_once(df: DataFrame, path: str, order: Sequence[str] = (), partition_by
     ordered.write.partitionBy(*partition_by).parquet(path)
 
 
+def stored_once(df: DataFrame, name: str) -> DataFrame:
+    """The table as written to a fresh scratch folder: computed once, however often it is read."""
+    path = scratch_path(df.sparkSession, name)
+    write_once(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- appends ------------------------------------------------------------------------------------
 
 

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from strataline.plans import warehouse
 from strataline.plans.silver import RunContext
-from strataline.session import apply_adaptive_settings, scratch_path
-from strataline.sources.snapshots import write_once
+from strataline.session import apply_adaptive_settings
+from strataline.sources.snapshots import stored_once
 from strataline.workloads import feeds
 from strataline.workloads.oracle_stages import GOLD, SILVER
 
@@ -69,9 +69,7 @@ class Inputs:
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         """Write a model to shared storage and read it back, as a refresh would."""
-        path = scratch_path(self.spark, name)
-        write_once(df, path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return stored_once(df, name)
 
     @cached_property
     def bronze(self) -> Mapping[str, DataFrame]:

@@ -521,7 +521,7 @@ def k2(t):
        ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",
 )
 def k3(t):
-    order = [F.col("o_totalprice").desc(), F.col("o_orderkey")]
+    order = [ranking.Falling("o_totalprice"), "o_orderkey"]
     return ranking.top_rows(t.orders.select("o_orderkey", "o_totalprice"), 10, order)
 
 
@@ -600,7 +600,7 @@ def w4(t):
        FROM orders""",
 )
 def w5(t):
-    order = [F.col("o_totalprice").desc(), F.col("o_orderkey")]
+    order = [ranking.Falling("o_totalprice"), "o_orderkey"]
     return ranking.global_ntile(t.orders.select("o_orderkey", "o_totalprice"), 10, order, "decile").select(
         "o_orderkey", "decile"
     )
@@ -652,7 +652,7 @@ def w8(t):
 )
 def o1(t):
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
-    order = [F.col("l_extendedprice").desc(), *[F.col(c) for c in columns]]
+    order = [ranking.Falling("l_extendedprice"), *columns]
     indexed = ranking.global_index(t.lineitem.select(*columns, "l_extendedprice"), order, "place")
     return indexed.select("place", *columns[:4])
 

@@ -37,25 +37,41 @@ def t1(t):
     )
 
 
+_KEYED_CUSTOMERS = f"""(SELECT row_number() OVER (ORDER BY id NULLS FIRST, data_source NULLS FIRST) AS customer_key, id, data_source
+    FROM {_CUSTOMERS})"""
+_KEYED_PRODUCTS = """(SELECT row_number() OVER (ORDER BY id NULLS FIRST, source NULLS FIRST) AS product_key, id, number, source FROM
+    (SELECT CAST(prd_id AS BIGINT) AS id, prd_key AS number, 'erp-csv' AS source FROM stg_crm__prd_info WHERE prd_end_dt IS NULL
+     UNION ALL SELECT id, pkey, 'dummyjson-api' FROM stg_djapi__product) AS x)"""
+_LINES = f"""(SELECT replace(sls_ord_num, 'SO', '') AS order_number, product_key, customer_key, sls_order_dt AS order_date,
+           sls_ship_dt AS shipping_date, sls_due_dt AS due_date, CAST(sls_sales AS DOUBLE) AS total_sales_amount,
+           CAST(sls_quantity AS BIGINT) AS quantity, CAST(sls_price AS DOUBLE) AS unit_price, 'crm-csv' AS data_source
+    FROM stg_crm__sales_details JOIN {_KEYED_PRODUCTS} AS p ON sls_prd_key = p.number
+         JOIN {_KEYED_CUSTOMERS} AS c ON sls_cust_id = c.id AND c.data_source = 'crm-csv'
+    UNION ALL
+    SELECT CAST(o.id AS VARCHAR), product_key, customer_key, CAST(dwh_create_date AS DATE), NULL, NULL,
+           CAST(total_price AS DOUBLE), CAST(quantity AS BIGINT), CAST(unit_price AS DOUBLE), 'dummyjson-api'
+    FROM stg_djapi__order AS o JOIN {_KEYED_PRODUCTS} AS p ON o.prd_id = p.id AND p.source = 'dummyjson-api'
+         JOIN {_KEYED_CUSTOMERS} AS c ON o.cust_id = c.id AND c.data_source = 'dummyjson-api')"""
+_KEY_ORDER = ", ".join(
+    f"{c} NULLS FIRST"
+    for c in (
+        "TRY_CAST(order_number AS BIGINT)", "data_source", "order_number", "product_key", "customer_key", "order_date", "shipping_date",
+        "due_date", "total_sales_amount", "quantity", "unit_price",
+    )
+)
+
+
 @case(
     "t1_dense_fact_keys",
-    f"""SELECT c.customer_key, p.product_key, count(*) AS row_count, sum(sls_quantity) AS quantity
-        FROM stg_crm__sales_details
-             JOIN (SELECT row_number() OVER (ORDER BY id, source) AS product_key, number FROM
-                       (SELECT CAST(prd_id AS BIGINT) AS id, prd_key AS number, 'erp-csv' AS source
-                        FROM stg_crm__prd_info WHERE prd_end_dt IS NULL
-                        UNION ALL SELECT id, pkey, 'dummyjson-api' FROM stg_djapi__product) AS x
-                  ) AS p ON sls_prd_key = p.number
-             JOIN (SELECT row_number() OVER (ORDER BY id, data_source) AS customer_key, id,
-                          data_source FROM {_CUSTOMERS}) AS c
-               ON sls_cust_id = c.id AND c.data_source = 'crm-csv'
-        GROUP BY c.customer_key, p.product_key""",
+    f"""SELECT row_number() OVER (ORDER BY {_KEY_ORDER}) AS order_key,
+               CASE data_source WHEN 'crm-csv' THEN 'CSV-' ELSE 'API-' END || order_number AS order_number,
+               product_key, customer_key, total_sales_amount, quantity, unit_price, data_source FROM {_LINES} AS lines""",
 )
 def t1_fact(t):
-    sales = _v1_star(t, dense=True).sales.filter(F.col("data_source") == "crm-csv")
-    return sales.groupBy("customer_key", "product_key").agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("quantity")
-    )
+    """Every line of both sources with its consecutive key."""
+    sales = _v1_star(t, dense=True).sales
+    shown = ["order_key", "order_number", "product_key", "customer_key", "total_sales_amount", "quantity", "unit_price", "data_source"]
+    return portable(sales.select(*shown))
 
 
 @case(

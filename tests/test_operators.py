@@ -72,25 +72,41 @@ def test_close_versions(spark):
 @pytest.mark.parametrize("count", [0, 1, 9, 10, 11, 1503])
 def test_global_ntile_equals_window(spark, count):
     df = spark.range(count).selectExpr("id", "(id * 7919) % 101 AS v")
-    order = [F.col("v").desc(), F.col("id")]
-    expected = df.withColumn("tile", F.ntile(10).over(Window.orderBy(*order)))
-    actual = ranking.global_ntile(df, 10, order, "tile", partitions=5)
+    expected = df.withColumn("tile", F.ntile(10).over(Window.orderBy(F.col("v").desc(), F.col("id"))))
+    actual = ranking.global_ntile(df, 10, [ranking.Falling("v"), "id"], "tile", cuts=5)
     assert rows(actual.select("id", "tile")) == rows(expected.select("id", "tile"))
 
 
 def test_global_index_is_dense_and_ordered(spark):
     df = spark.range(5000).selectExpr("id", "(id * 7919) % 13 AS v")
-    indexed = ranking.global_index(df, [F.col("v"), F.col("id")], "i", partitions=7)
+    indexed = ranking.global_index(df, [F.col("v"), F.col("id")], "i", cuts=7)
     ordered = [(r.v, r.id) for r in indexed.orderBy("i").collect()]
     assert ordered == sorted(ordered)
     assert rows(indexed.select("i")) == rows(spark.range(1, 5001).toDF("i"))
 
 
 def test_global_index_never_gathers_all_rows(spark):
-    indexed = ranking.global_index(spark.range(100).toDF("v"), [F.col("v")], "i", partitions=3)
+    indexed = ranking.global_index(spark.range(2000).toDF("v"), ["v"], "i", cuts=3)
     plan = plan_of(indexed)
-    # The only single-partition exchange is the one over per-partition counts.
-    assert "RangePartitioning" not in plan and plan.count("Arguments: SinglePartition") == 1
+    assert "SinglePartition" not in plan and "Scan parquet" not in plan  # nothing stored on the way
+
+
+def test_global_index_ranges_are_even_when_first_keys_repeat(spark):
+    """A third of all rows share their first two keys, keys may be NULL, some fall, text is not ASCII."""
+    df = spark.range(30_000).selectExpr(
+        "IF(id % 3 = 0, 'hot', IF(id % 11 = 0, NULL, concat('é', id % 500))) AS s",
+        "IF(id % 3 = 0, 1.5D, IF(id % 7 = 0, NULL, CAST(id % 90 AS DOUBLE))) AS d",
+        "date_add(DATE '2020-01-01', CAST(id % 300 AS INT)) AS day", "id",
+    )
+    order = [ranking.Falling("s"), F.col("d"), ranking.Falling("day"), "id"]
+    ranged, _ = ranking._positions(df, order, "i", 16)
+    plain = Window.orderBy(F.col("s").desc_nulls_last(), F.col("d").asc_nulls_first(), F.col("day").desc_nulls_last(), "id")
+    expected = df.withColumn("i", F.row_number().over(plain))
+    assert rows(ranged.select("id", "i")) == rows(expected.select("id", "i"))
+    points = ranking._cut_points(df, order, 16, 30_000)
+    number = ranking._range_number([ranking._column(k) for k in order], points, [True, False, True, False])
+    sizes = [r[0] for r in df.groupBy(number.alias("n")).agg(F.count(F.lit(1)).alias("c")).select("c").collect()]
+    assert len(sizes) >= 14 and max(sizes) <= 2 * 30_000 / len(sizes)
 
 
 @pytest.mark.parametrize(
