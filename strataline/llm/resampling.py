@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from strataline.llm.licenses import LOWER, UPPER, WORD, words_of
 from strataline.llm.quality import least_kept
 from strataline.llm.storage import bounded_batches, sampled, stored
-from strataline.operators.ranking import global_index
+from strataline.operators.ranking import Falling, global_index
 
 #: Buckets, longest run, and who takes part in the draw.
 BUCKETS = 10_000
@@ -307,7 +307,7 @@ def resample(
     if bound is None:
         return scored.select(*columns, unranked)
     near = (F.col("n_words") >= min_words) & (F.col("score") >= F.lit(bound))
-    ranked = global_index(scored.where(near), [F.desc("score"), F.asc("doc_id"), F.asc("row_id")], "rank")
+    ranked = global_index(scored.where(near), [Falling("score"), "doc_id", "row_id"], "rank")
     ranked = ranked.select(*columns, F.when(F.col("rank") <= drawn, F.col("rank").cast("long")).alias("rank"))
     return ranked.unionByName(scored.where(~near).select(*columns, unranked))
 
