@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from strataline.llm.licenses import LOWER, UPPER
 from strataline.llm.resampling import pieces_of
 from strataline.llm.storage import bounded_batches, stored
+from strataline.operators.fingerprints import filter_of, may_hold
 
 #: What a term is, in how many documents of a language it must be, the scale of a
 #: share, and how many terms of a group are reported.
@@ -30,6 +31,8 @@ HELD_TERMS, OUT_ROWS = 300_000, 20_000
 #: Parts into which the groups of one language are dealt when they are joined.
 SALTS = 32
 DIGEST_BITS = 64
+#: Bits of the filter of kept digests: 2 MB in the plan. With very many kept terms it lets all pass.
+FILTER_BITS = 1 << 24
 
 #: A-Z lower-cased; bytes that are in no term become blanks.
 _AS_TERMS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -102,8 +105,10 @@ def counted_terms(partial: DataFrame, min_documents: int, bits: int) -> tuple[Da
     per_lang = lambda c, by: c.groupBy(*by).agg(F.sum("n").alias("lang_n"), F.sum("df").alias("df")).where(F.col("df") >= min_documents)
     kept = stored(per_lang(counts, keys).drop("df"), "divergence-kept")
 
-    # Only a digest in enough documents can stand for a kept term, so only their strings travel.
-    strings = partial.join(kept, keys, "left_semi").select(*keys, "term").distinct()
+    # Only a digest in enough documents can stand for a kept term, so only their strings travel:
+    # a bit filter sorts out nearly all others before the join does.
+    likely = partial.where(may_hold(filter_of(kept, "digest", FILTER_BITS), F.col("digest"), FILTER_BITS))
+    strings = likely.join(kept, keys, "left_semi").select(*keys, "term").distinct()
     strings = stored(strings.groupBy(*keys).agg(F.min("term").alias("low"), F.max("term").alias("high")), "divergence-strings")
     several = strings.where("low <> high").select(*keys)
     if several.isEmpty():
