@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataline.llm.caches import in_worker
 from strataline.llm.licenses import LOWER, UPPER
 from strataline.llm.resampling import pieces_of
 from strataline.llm.storage import bounded_batches, stored
@@ -72,7 +73,7 @@ def partial_counts(texts: DataFrame) -> DataFrame:
                     held, size = {}, 0
         yield from rows(held)
 
-    return texts.mapInArrow(count, "lang_key long, group_key long, term binary, n long, df long")
+    return texts.mapInArrow(in_worker(count), "lang_key long, group_key long, term binary, n long, df long")
 
 
 def keyed_groups(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -108,8 +109,8 @@ def counted_terms(partial: DataFrame, min_documents: int, bits: int) -> tuple[Da
     # Only a digest in enough documents can stand for a kept term, so only their strings travel:
     # a bit filter sorts out nearly all others before the join does.
     likely = partial.where(may_hold(filter_of(kept, "digest", FILTER_BITS), F.col("digest"), FILTER_BITS))
-    strings = likely.join(kept, keys, "left_semi").select(*keys, "term").distinct()
-    strings = stored(strings.groupBy(*keys).agg(F.min("term").alias("low"), F.max("term").alias("high")), "divergence-strings")
+    strings = likely.select(*keys, "term").distinct().groupBy(*keys).agg(F.min("term").alias("low"), F.max("term").alias("high"))
+    strings = stored(strings.join(kept, keys, "left_semi"), "divergence-strings")
     several = strings.where("low <> high").select(*keys)
     if several.isEmpty():
         kept = kept.select(*keys, none, "lang_n")
