@@ -152,41 +152,63 @@ def scan_licenses(documents: DataFrame, base: dict[str, str] | None = None, noti
 
 
 def oracle() -> str:
-    """The same scan as DuckDB SQL, by equality of the words themselves."""
-    values = ", ".join(
-        f"({k}, {str(b).lower()}, '{label}', {n}, {place}, '{w1}', '{w2}')"
-        for k, b, label, n, place, w1, w2 in template_pairs(BASE_PHRASES, NOTICES)
-    )
+    """The same scan as DuckDB SQL, by equality of the words themselves.
+
+    Templates are split by SQL; places and spots are sets over the neighbouring diagonals, and a
+    gap is judged by the places that are missing.
+    """
+    templates = [(k, str(k < len(BASE_PHRASES)).lower(), label, text) for k, (text, label) in enumerate([*BASE_PHRASES.items(), *NOTICES.items()])]
+    values = ", ".join(f"({k}, {b}, '{label}', '{text}')" for k, b, label, text in templates)
+    key_pairs = ", ".join(f"'{p}'" for p in sorted(KEY_PAIRS))
     return rf"""
-WITH t(template, is_base, label, pairs, place, t1, t2) AS (VALUES {values}),
+WITH phrase(template, is_base, label, words) AS (
+  SELECT template, is_base, label, string_split(text, ' ') FROM (VALUES {values}) AS v(template, is_base, label, text)
+),
+t AS (
+  SELECT template, is_base, label, len(words) - 1 AS pairs, unnest(range(len(words) - 1)) AS place,
+    unnest(words[:len(words) - 1]) AS t1, unnest(words[2:]) AS t2 FROM phrase
+),
+key_places AS (SELECT template, list(place) AS keys FROM t WHERE t1 || ' ' || t2 IN ({key_pairs}) GROUP BY template),
 split AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents
+  SELECT row_number() OVER () AS row_id, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents
 ),
 pair AS (
-  SELECT doc_id, unnest(w[:len(w) - 1]) AS w1, unnest(w[2:]) AS w2, unnest(range(len(w) - 1)) AS spot
+  SELECT row_id, unnest(w[:len(w) - 1]) AS w1, unnest(w[2:]) AS w2, unnest(range(len(w) - 1)) AS spot
   FROM split WHERE len(w) > 1
 ),
 votes AS (
-  SELECT doc_id, template, is_base, label, pairs, spot - place AS diagonal, count(*) AS votes
+  SELECT row_id, template, is_base, label, pairs, spot - place AS diagonal, list(DISTINCT place) AS places
   FROM pair JOIN t ON w1 = t1 AND w2 = t2 GROUP BY ALL
 ),
+united AS (
+  SELECT *, list_distinct(flatten(list(places) OVER near)) AS near_places,
+    list_distinct(flatten(list(list_transform(places, lambda p: p + diagonal)) OVER near)) AS near_spots
+  FROM votes WINDOW near AS (
+    PARTITION BY row_id, template ORDER BY diagonal RANGE BETWEEN {NEIGHBOURS} PRECEDING AND {NEIGHBOURS} FOLLOWING)
+),
 covered AS (
-  SELECT *, least(1.0::DOUBLE, CASE WHEN is_base THEN votes ELSE sum(votes) OVER (
-    PARTITION BY doc_id, template ORDER BY diagonal RANGE BETWEEN {NEIGHBOURS} PRECEDING AND {NEIGHBOURS} FOLLOWING) END::DOUBLE
-    / pairs) AS share
-  FROM votes
+  SELECT united.*, coalesce(keys, []) AS keys,
+    (CASE WHEN is_base THEN len(places) ELSE least(len(near_places), len(near_spots)) END)::DOUBLE / pairs AS share,
+    list_filter(range(pairs), lambda p: NOT list_contains(near_places, p)) AS missed
+  FROM united LEFT JOIN key_places USING (template)
+),
+marked AS (
+  SELECT *, is_base AND share = 1 AS place, NOT is_base AND (share >= {COVERAGE} OR (
+    pairs >= {GAP_FROM} AND len(near_spots) >= len(near_places) AND len(missed) <= {GAP}
+    AND coalesce(list_max(missed) - list_min(missed), 0) < {GAP} AND NOT list_has_any(missed, keys))) AS notice
+  FROM covered
 ),
-marked AS (SELECT *, is_base AND share = 1 AS place, is_base AND share = 1 OR NOT is_base AND share >= {COVERAGE} AS named FROM covered),
-by_doc AS (
-  SELECT doc_id, count(*) FILTER (place) AS n_base, min(diagonal) FILTER (place) AS first_word,
+by_row AS (
+  SELECT row_id, count(*) FILTER (place) AS n_base, min(diagonal) FILTER (place) AS first_word,
     max(diagonal) FILTER (place) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) FILTER (place) AS base_labels,
-    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (named) AS labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (place OR notice) AS labels,
     max(share) FILTER (place OR NOT is_base) AS score
-  FROM marked GROUP BY doc_id
+  FROM marked GROUP BY row_id
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
   last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
   coalesce(score, 0)::DOUBLE AS score
-FROM split LEFT JOIN by_doc USING (doc_id)
+FROM split LEFT JOIN by_row USING (row_id)
 """
