@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataline.llm.caches import in_worker
 from strataline.llm.storage import bounded_batches, free_name, stored
 from strataline.llm.words import window_hashes, word_hashes
 
@@ -96,7 +97,7 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
             )
 
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    return items.mapInArrow(hashed, "item_id long, words binary")
+    return items.mapInArrow(in_worker(hashed, "words"), "item_id long, words binary")
 
 
 def _item_seeds(items: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
@@ -110,7 +111,7 @@ def _item_seeds(items: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
                     names=["seed", "item_position", "item_id"],
                 )
 
-    return items.mapInArrow(seeded, "seed long, item_position int, item_id long").distinct()
+    return items.mapInArrow(in_worker(seeded, "words"), "seed long, item_position int, item_id long").distinct()
 
 
 def _listed(item_seeds: DataFrame) -> np.ndarray | None:
@@ -196,7 +197,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     rows = documents.select(_row_key().alias("row_key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     kind = "row_key long, doc_id long, words binary, seeds array<long>, positions array<int>"
-    hits = stored(rows.mapInArrow(search, kind), "seed-hits")
+    hits = stored(rows.mapInArrow(in_worker(search, "words"), kind), "seed-hits")
     single = hits.select("row_key", F.explode(F.arrays_zip("seeds", "positions")).alias("hit"))
     single = single.select("row_key", F.col("hit.seeds").alias("seed"), F.col("hit.positions").alias("position"))
     diagonals = (
@@ -223,7 +224,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                 )
 
     pairs = pairs.select("row_key", "doc_id", "item_id", "diagonal", "words", "item_words")
-    found = pairs.mapInArrow(verify, "row_key long, doc_id long, item_id long, start_word long, n_words long, n_equal long")
+    found = pairs.mapInArrow(in_worker(verify, "words"), "row_key long, doc_id long, item_id long, start_word long, n_words long, n_equal long")
     best = F.max(F.struct("n_words", "n_equal", (-F.col("start_word")).alias("start"))).alias("best")
     found = found.groupBy("row_key", "doc_id", "item_id").agg(best)
     return found.select(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataline.llm.blocks import by_unit, in_blocks, squares, whole_units
+from strataline.llm.caches import in_worker
 from strataline.llm.components import components, local_roots
 from strataline.llm.storage import bounded_batches, stored
 
@@ -95,7 +96,7 @@ def _search(units: DataFrame, threshold: float) -> DataFrame:
                 schema=schema,
             )
 
-    return units.mapInArrow(search, "a long, b long, n long")
+    return units.mapInArrow(in_worker(search), "a long, b long, n long")
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataline.llm.blocks import by_unit, crosses, in_blocks, squares, whole_units
+from strataline.llm.caches import in_worker
 from strataline.llm.components import components, local_roots
 from strataline.llm.storage import bounded_batches, free_name, stored
 from strataline.llm.words import mixed, shingle_set, word_hashes
@@ -121,7 +122,7 @@ def _sketches(documents: DataFrame, words: int) -> DataFrame:
 
     kind = "doc_id long, row_key long, class binary, size long, signature binary, bands array<long>"
     rows = documents.select(F.col("doc_id").cast("long"), _row_key().alias("row_key"), F.col("text").cast("string"))
-    return rows.mapInArrow(sketch, kind)
+    return rows.mapInArrow(in_worker(sketch, "words"), kind)
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -159,7 +160,7 @@ def _candidate_links(units: DataFrame, least: list[int]) -> DataFrame:
         if found[0]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in found], schema=schema)
 
-    return units.mapInArrow(compare, "a binary, b binary")
+    return units.mapInArrow(in_worker(compare), "a binary, b binary")
 
 
 def _links_in_square(
@@ -246,7 +247,7 @@ def _verified(units: DataFrame, least: list[int], words: int, threshold: float)
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return units.mapInArrow(verify, "a binary, b binary, n long")
+    return units.mapInArrow(in_worker(verify, "words"), "a binary, b binary, n long")
 
 
 def _first() -> Column:

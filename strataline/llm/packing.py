@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataline.llm.caches import in_worker
 from strataline.llm.storage import bounded_batches
 from strataline.llm.tokenization import encoder
 
@@ -178,4 +179,4 @@ def pack_documents(
         if rows:
             yield out()
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(pack, SCHEMA)
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(in_worker(pack, "tokens"), SCHEMA)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataline.llm.caches import in_worker
 from strataline.llm.storage import bounded_batches, sampled
 
 KINDS = ("email", "ip", "card", "phone")
@@ -413,7 +414,7 @@ def find_personal_data(documents: DataFrame, model: SemiMarkov | None = None) ->
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     kind = "doc_id long, text string, base string, spans string, redacted string"
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(search, kind)
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(in_worker(search), kind)
 
 
 
@@ -436,7 +437,7 @@ def redact(documents: DataFrame, model: SemiMarkov | None = None) -> DataFrame:
                 texts.append(redacted(value, spans) if spans else value)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    out = documents.mapInArrow(search, documents.schema)
+    out = documents.mapInArrow(in_worker(search), documents.schema)
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.char_length("text").cast(kind))

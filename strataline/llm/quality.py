@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataline.llm.caches import in_worker, remembers
 from strataline.llm.storage import bounded_batches, sampled, stored
 from strataline.llm.words import WordHashes, window_hashes
 
@@ -27,6 +28,15 @@ SEED = 11
 _KNOWN = WordHashes()
 
 
+def _forget() -> int:
+    known = len(_KNOWN)
+    _KNOWN.clear()
+    return known
+
+
+remembers("units", _forget)
+
+
 def bucket_counts(text: str | None) -> np.ndarray:
     """How often each bucket occurs in a whole text; null and blank texts have no n-grams."""
     units = UNIT.findall(text.lower()) if text else []
@@ -46,7 +56,7 @@ def _model(texts: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
 
-    found = texts.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    found = texts.select("text").mapInArrow(in_worker(count, "units"), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(BUCKETS, np.float64)
     for bucket, n in found:
         out[bucket] = n
@@ -124,7 +134,7 @@ def select_quality(documents: DataFrame, labels: DataFrame, share: float | None
 
     drawn = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(SEED)), 11).cast("double")
     gumbel = -F.log(-F.log((drawn + 0.5) / F.lit(float(1 << 53))))
-    scored = texts.select("doc_id", gumbel.alias("noise"), "text").mapInArrow(weigh, "doc_id long, noise double, log_weight double")
+    scored = texts.select("doc_id", gumbel.alias("noise"), "text").mapInArrow(in_worker(weigh, "units"), "doc_id long, noise double, log_weight double")
     scored = scored.select("doc_id", "log_weight", (F.col("log_weight") + F.col("noise")).alias("key"))
     scored = stored(scored, "quality")
     bound = least_kept(scored, "key", round(share * scored.count()))

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataline.llm.caches import in_worker
 from strataline.llm.licenses import LOWER, UPPER, WORD, words_of
 from strataline.llm.quality import least_kept
 from strataline.llm.storage import bounded_batches, sampled, stored
@@ -231,7 +232,7 @@ def bucket_totals(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
 
-    counted = texts.select(F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(count, "bucket int, n long")
+    counted = texts.select(F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(in_worker(count), "bucket int, n long")
     out = np.zeros(BUCKETS, np.int64)
     for bucket, n in counted.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # a row per bucket
         out[bucket] = n
@@ -263,7 +264,7 @@ def weighed(texts: DataFrame, vocabulary: Vocabulary, gains: np.ndarray) -> Data
             )
 
     binary = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    return binary.mapInArrow(weigh, "doc_id long, n_words long, n_features long, weight long")
+    return binary.mapInArrow(in_worker(weigh), "doc_id long, n_words long, n_features long, weight long")
 
 
 def noise(doc_id: str) -> Column:

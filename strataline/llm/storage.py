@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch; long texts would make the default of 10,000 rows too large.
 BATCH_ROWS = 512
+#: And bytes in one.
+BATCH_BYTES = 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -65,12 +67,20 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def _number(setting: str) -> int:
+    """A count or a size as Spark writes them: 512, 64m, 67108864b."""
+    digits = setting.lower().rstrip("bkmgt")
+    unit = setting.lower().removeprefix(digits).rstrip("b")
+    return int(digits) << (10 * ("kmgt".index(unit) + 1) if unit else 0)
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough for long texts. Lowers a session setting, never raises it."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    rows = int(spark.conf.get(key))
-    if rows <= 0 or rows > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Keep Arrow batches small enough for long texts, in rows and in bytes. Lowers session
+    settings, never raises them. A single text may be longer than a batch."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = _number(spark.conf.get(f"spark.sql.execution.arrow.{key}"))
+        if now <= 0 or now > most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def opened(uri: str):

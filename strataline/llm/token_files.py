@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataline.llm.caches import in_worker
 from strataline.llm.storage import AttemptFile, bounded_batches, new_folder, opened, sampled
 from strataline.llm.tokenization import encoder
 
@@ -73,7 +74,7 @@ def _dictionary(documents: DataFrame, tokenizer_path: str, end: bytes) -> bytes:
             samples += [ids + end for ids in encoder(tokenizer_path, "space_leads").encode(batch[0].to_pylist())]
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([trained(samples)], pa.binary())})
 
-    found = some.coalesce(1).mapInArrow(train, "dictionary binary").collect()
+    found = some.coalesce(1).mapInArrow(in_worker(train, "tokens"), "dictionary binary").collect()
     return max((bytes(row[0]) for row in found), key=len, default=b"")
 
 
@@ -136,7 +137,7 @@ def write_token_files(documents: DataFrame, tokenizer_path: str, end_id: int = 2
     rows = (
         documents.repartitionByRange(F.col("doc_id").asc_nulls_first(), order.asc())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), order.asc())
-        .mapInArrow(write, MANIFEST)
+        .mapInArrow(in_worker(write, "tokens"), MANIFEST)
         .collect()  # one row per shard
     )
     return TokenFiles(folder, dictionary_uri, sorted(tuple(r) for r in rows))
@@ -205,7 +206,7 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
                 file.close()
 
     listed = spark.createDataFrame(rows, "path string, before long").repartition(max(1, len(rows)))
-    return listed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return listed.mapInArrow(in_worker(read), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def read_document(files: TokenFiles, doc_id: int) -> list[np.ndarray]:

@@ -15,10 +15,12 @@ from functools import lru_cache
 
 import numpy as np
 
+from strataline.llm.caches import remembers
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Distinct chunks in one generation of a worker's cache, by style; the one before it is kept too.
-CACHE_ENTRIES = {"spaces_dropped": 1_000_000, "space_leads": 400_000}
+CACHE_ENTRIES = {"spaces_dropped": 600_000, "space_leads": 400_000}
 #: Chunks longer than this are encoded whenever they occur and are not kept.
 CACHED_CHARS = 64
 #: Texts are encoded in groups of about so many characters.
@@ -67,11 +69,11 @@ class ChunkEncoder:
         for k in range(0, len(chunks), 300):
             some = chunks[k : k + 300]
             ids = np.array(self.tokenizer.encode("\n".join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.line_break)
+            cuts = (4 * np.flatnonzero(ids == self.line_break)).tolist()
             if len(cuts) != len(some) - 1:
                 raise ValueError("a chunk holds a line break")
-            out += [part.tobytes() for part in (np.split(ids, cuts + 1) if len(cuts) else [ids])]
-            out[-len(some) : -1] = [b[:-4] for b in out[-len(some) : -1]]
+            joined = ids.tobytes()
+            out += [joined[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(joined)], strict=True)]
         return out
 
     def _learn(self, chunks: set[str]) -> None:
@@ -163,7 +165,16 @@ def _groups(texts: Iterable[str | None]) -> Iterator[list[str]]:
         yield group
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str, style: str) -> ChunkEncoder:
     """The encoder that a Python worker keeps from task to task."""
     return ChunkEncoder(path, style)
+
+
+def _forget() -> int:
+    kept = encoder.cache_info().currsize
+    encoder.cache_clear()
+    return kept
+
+
+remembers("tokens", _forget)

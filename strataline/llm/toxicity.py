@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from strataline.llm.caches import in_worker
 from strataline.llm.storage import bounded_batches, free_name, sampled, stored
 from strataline.llm.words import KNOWN_WORDS, split_words
 
@@ -158,7 +159,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     drawn = stored(texts.join(F.broadcast(some), "doc_id").select("doc_id", "text", "toxic").distinct(), "toxicity-rows")
     if drawn.count() > 2 * rows:
         drawn = sampled(drawn, rows, "doc_id", "text")
-    rows_of = drawn.select("toxic", "text").mapInArrow(hashed, "toxic int, terms binary")
+    rows_of = drawn.select("toxic", "text").mapInArrow(in_worker(hashed), "toxic int, terms binary")
     found = sorted((bytes(r[1]), r[0]) for r in rows_of.collect())
     return fit([np.frombuffer(t, np.int32) for t, _ in found], np.array([y for _, y in found], np.int32))
 
@@ -195,4 +196,4 @@ def with_scores(documents: DataFrame, labels: DataFrame, rows: int, name: str) -
             scores = [machine.score(terms.of(t)) for t in batch[at].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
 
-    return documents.mapInArrow(score, kind)
+    return documents.mapInArrow(in_worker(score), kind)

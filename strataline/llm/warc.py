@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataline.llm.caches import in_worker
 from strataline.llm.storage import AttemptFile, bounded_batches, new_folder, opened, sampled
 
 #: Fixed values of the zstandard and WARC formats.
@@ -153,7 +154,7 @@ def _trained(payloads: DataFrame) -> bytes:
             found = b""
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([found], pa.binary())})
 
-    return max((bytes(r[0]) for r in some.coalesce(1).mapInArrow(train, "dictionary binary").collect()), key=len, default=b"")
+    return max((bytes(r[0]) for r in some.coalesce(1).mapInArrow(in_worker(train), "dictionary binary").collect()), key=len, default=b"")
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, revisit_bytes: int = 0) -> list[str]:
@@ -197,7 +198,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_bytes: i
         if file is not None:
             yield pa.RecordBatch.from_pydict({"path": pa.array([file.commit()], pa.string())})
 
-    return sorted(r[0] for r in typed.mapInArrow(write, "path string").collect())  # one row per archive
+    return sorted(r[0] for r in typed.mapInArrow(in_worker(write), "path string").collect())  # one row per archive
 
 
 def read_archives(spark: SparkSession, archives: list[str]) -> DataFrame:
@@ -224,7 +225,7 @@ def read_archives(spark: SparkSession, archives: list[str]) -> DataFrame:
                     yield _table(some, schema)
 
     listed = spark.createDataFrame([(p,) for p in archives], "path string").repartition(max(1, len(archives)))
-    return listed.mapInArrow(read, ROWS)
+    return listed.mapInArrow(in_worker(read), ROWS)
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -7,8 +7,10 @@ import re
 import numpy as np
 import xxhash
 
+from strataline.llm.caches import remembers
+
 #: Distinct words a worker remembers; the memory starts anew beyond this.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 300_000
 WORD = re.compile(r"\w+")
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -29,6 +31,15 @@ class WordHashes(dict):
 _KNOWN = WordHashes()
 
 
+def _forget() -> int:
+    known = len(_KNOWN)
+    _KNOWN.clear()
+    return known
+
+
+remembers("words", _forget)
+
+
 def split_words(text: str | None) -> list[str]:
     """Lower-cased runs of letters, digits and underscores. Null has no words."""
     return WORD.findall(text.lower()) if text else []

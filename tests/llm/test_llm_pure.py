@@ -363,3 +363,22 @@ def test_license_templates_are_words():
     assert licenses.template_pairs({"mit license": "mit"}, {}) == [(0, True, "mit", 1, 0, "mit", "license")]
     with pytest.raises(ValueError):
         licenses.template_pairs({"mit": "mit"}, {})
+
+
+def test_a_worker_keeps_the_memories_of_one_operator():
+    from strataline.llm import caches, tokenization, words
+
+    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    assert list(caches.in_worker(lambda batches: batches, "words", "tokens")(iter([1]))) == [1]
+    words.word_hashes("some words")
+    kept = tokenization.encoder(path, "spaces_dropped")
+    list(caches.in_worker(lambda batches: batches, "tokens")(iter(())))
+    assert not words._KNOWN and tokenization.encoder(path, "spaces_dropped") is kept
+    list(caches.in_worker(lambda batches: batches)(iter(())))
+    assert tokenization.encoder.cache_info().currsize == 0
+
+
+def test_sizes_as_spark_writes_them():
+    from strataline.llm.storage import _number
+
+    assert [_number(s) for s in ("512", "67108864b", "64m", "64MB", "1g", "-1")] == [512, 1 << 26, 1 << 26, 1 << 26, 1 << 30, -1]
