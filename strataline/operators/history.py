@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataline.operators.ranges import even_ranges, sorted_by
+
 _RANK = "_row_rank"
+_RANGE, _AHEAD = "_range_no", "_ahead"
 
 
 def first_per_key(
@@ -34,53 +37,38 @@ def newest_per_key(
 
 
 def next_start(
-    df: DataFrame,
-    key: str,
-    start: str,
-    tie_break: str,
-    result: str,
-    bucket: Column | None = None,
+    df: DataFrame, key: str, start: str, tie_break: str, result: str, cuts: int | None = None
 ) -> DataFrame:
     """Add the start of the following version of the same key (NULL for the last).
 
     Equivalent to ``lead(start) over (partition by key order by start, tie_break)``
-    but safe when one key holds a large part of all rows: a window would bring all
-    of them into one task. Here the rows are first aggregated to distinct
-    (key, start) pairs, which map-side combining shrinks before the shuffle. The
-    pairs are chained inside calendar buckets, and a bucket's last pair takes the
-    first start of the key's next bucket. Only then are the rows joined back, which
-    adaptive execution can split when a pair is hot. Rows of one pair follow each
-    other, so all but the greatest ``tie_break`` see their own start again. Rows
-    without a start come first, and ``tie_break`` must be unique within a pair.
-
-    ``bucket`` defaults to the month of ``start``; pass the day for timestamps.
+    but safe when one key, or one month of it, holds a large part of all rows: a window
+    over the key would bring all of them into one task. Here the table is cut into even
+    ranges of (key, start, tie_break); a window looks ahead inside each range, and the last
+    row of a range looks at the first row of the next one. Those first rows, one per range,
+    are found in one narrow pass and are literals in the plan. One shuffle, no join.
+
+    Rows without a start come first; NULL is a key like any other. ``df`` must give the
+    same rows each time it is read, and ``tie_break`` be unique within a key and start.
     """
-    moment = F.col(start)
-    span = F.trunc(moment.cast("date"), "month") if bucket is None else bucket
-    # Packed values are never NULL themselves, so plain equality joins NULL keys and starts.
-    own_key, own_start = F.struct(F.col(key).alias("v")), F.struct(moment.alias("v"))
-    pairs = df.groupBy(
-        own_key.alias("_key"), F.struct(span.alias("v")).alias("_bucket"), own_start.alias("_start")
-    ).agg(F.max(tie_break).alias("_last"))
-    in_bucket = Window.partitionBy("_key", "_bucket").orderBy("_start")
-    placed = pairs.withColumn("_next", F.lead("_start").over(in_bucket)).withColumn(
-        "_place", F.row_number().over(in_bucket)
-    )
-    by_key = Window.partitionBy("_key").orderBy("_bucket")
-    heads = placed.filter("_place = 1").select(
-        "_key", "_bucket", F.lead("_start").over(by_key).alias("_next_head")
-    )
-    chained = placed.join(heads, ["_key", "_bucket"]).select(
-        F.col("_key").alias("_pair_key"),
-        F.col("_start").alias("_pair_start"),
-        "_last",
-        F.coalesce("_next", "_next_head").getField("v").alias("_next"),
-    )
-    matches = (own_key == F.col("_pair_key")) & (own_start == F.col("_pair_start"))
-    joined = df.join(chained, matches, "left")
-    is_last = F.col(tie_break).eqNullSafe(F.col("_last"))
-    follows = F.when(is_last, F.col("_next")).otherwise(moment)
-    return joined.withColumn(result, follows).drop("_pair_key", "_pair_start", "_last", "_next")
+    order = [key, start, tie_break]
+    ranges = even_ranges(df, order, cuts)
+    ranged = df.withColumn(_RANGE, ranges.number)
+    own = F.struct(F.col(key).alias("k"), F.col(start).alias("s"))
+    kind = f"struct<k:{df.schema[key].dataType.simpleString()},s:{df.schema[start].dataType.simpleString()}>"
+    heads: list[Column] = [F.lit(None).cast(kind)] * ranges.count
+    if ranges.count > 1:
+        found = ranged.groupBy(_RANGE).agg(F.min(own).alias("head")).collect()  # a row per range
+        first = {row[_RANGE]: row["head"] for row in found}
+        following = None
+        for number in reversed(range(ranges.count)):
+            if following is not None:
+                heads[number] = F.struct(F.lit(following.k).alias("k"), F.lit(following.s).alias("s")).cast(kind)
+            following = first.get(number, following)
+    ahead = F.lead(own).over(Window.partitionBy(_RANGE).orderBy(*map(sorted_by, order)))
+    looked = ranged.withColumn(_AHEAD, F.coalesce(ahead, F.get(F.array(*heads), F.col(_RANGE))))
+    same_key = F.col(_AHEAD).isNotNull() & F.col(key).eqNullSafe(F.col(f"{_AHEAD}.k"))
+    return looked.withColumn(result, F.when(same_key, F.col(f"{_AHEAD}.s"))).drop(_RANGE, _AHEAD)
 
 
 def close_versions(

@@ -1,8 +1,6 @@
 """Global order without a single-task window, and per-group leaders.
 
-Positions in a total order over a whole table come from cut points: a small uniform sample of the
-order's keys gives tuples that split the table into ranges of about the same size. The cut points
-are literals in the plan, so a row's range follows from the row alone; one pass counts the rows of
+Positions in a total order over a whole table come from even ranges: one pass counts the rows of
 each range, and a window numbers rows within their range. Nothing is stored, and no task holds
 more than a range.
 """
@@ -10,95 +8,31 @@ more than a range.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataline.operators.history import first_per_key
+from strataline.operators.ranges import Falling, Key, even_ranges, sorted_by
 
-_CUT = "_range_no"
-
-#: Smaller tables are one range.
-ROWS_PER_CUT = 50_000
-#: Ranges per shuffle partition, so that those dealt to one partition even out; and at most, as
-#: cut points are part of the plan.
-CUTS_PER_PARTITION, MOST_CUTS = 4, 1024
-#: Sampled rows per range: the size of a range then varies by about a tenth.
-SAMPLED_PER_CUT = 100
-SAMPLE_SEED = 17
-
-
-@dataclass(frozen=True)
-class Falling:
-    """A descending key of an order. NULL counts as smallest, in rising and falling keys."""
-
-    column: Column | str
-
-
-Key = Column | str | Falling
-
-
-def _column(key: Key) -> Column:
-    inner = key.column if isinstance(key, Falling) else key
-    return F.col(inner) if isinstance(inner, str) else inner
+__all__ = ["Falling", "dense_keys", "global_index", "global_ntile", "leader_per_group", "top_rows"]
 
-
-def _sorted_by(key: Key) -> Column:
-    return _column(key).desc_nulls_last() if isinstance(key, Falling) else _column(key).asc_nulls_first()
-
-
-def _precedes(row: Sequence[Column], cut: Sequence[Column], falling: Sequence[bool]) -> Column:
-    """Whether a row comes before a cut point, key by key."""
-    out = F.lit(False)
-    for value, edge, is_falling in reversed(list(zip(row, cut, falling, strict=True))):
-        smaller = F.coalesce(value < edge, value.isNull() & edge.isNotNull())
-        larger = F.coalesce(value > edge, value.isNotNull() & edge.isNull())
-        before, after = (larger, smaller) if is_falling else (smaller, larger)
-        out = F.when(before, True).when(after, False).otherwise(out)
-    return out
-
-
-def _range_number(row: Sequence[Column], cuts: Sequence[Sequence[Column]], falling: Sequence[bool], first: int = 0) -> Column:
-    """How many cut points a row does not come before, found by halving."""
-    if not cuts:
-        return F.lit(first)
-    middle = len(cuts) // 2
-    left = _range_number(row, cuts[:middle], falling, first)
-    right = _range_number(row, cuts[middle + 1 :], falling, first + middle + 1)
-    return F.when(_precedes(row, cuts[middle], falling), left).otherwise(right)
-
-
-def _cut_points(df: DataFrame, order: Sequence[Key], cuts: int, total: int) -> list[list[Column]]:
-    """Tuples of key values that split the table evenly, from a sample of bounded size."""
-    names = [f"_k{i}" for i in range(len(order))]
-    share = min(1.0, SAMPLED_PER_CUT * cuts / total)
-    keys = df.select(*[_column(k).alias(n) for k, n in zip(order, names, strict=True)])
-    drawn = keys.where(F.rand(SAMPLE_SEED) < share).limit(4 * SAMPLED_PER_CUT * cuts)
-    ordered = drawn.orderBy(*[_sorted_by(Falling(n) if isinstance(k, Falling) else n) for k, n in zip(order, names, strict=True)])
-    rows = list(dict.fromkeys(tuple(r) for r in ordered.collect()[:: SAMPLED_PER_CUT][1:]))
-    kinds = [f.dataType for f in keys.schema.fields]
-    return [[F.lit(v).cast(t) for v, t in zip(row, kinds, strict=True)] for row in rows]
+_CUT = "_range_no"
 
 
 def _positions(df: DataFrame, order: Sequence[Key], index: str, cuts: int | None) -> tuple[DataFrame, int]:
     """The table with each row's position, and how many rows there are."""
-    total = df.count()
-    if cuts is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cuts = max(1, min(total // ROWS_PER_CUT, CUTS_PER_PARTITION * partitions, MOST_CUTS))
-    points = _cut_points(df, order, cuts, total) if cuts > 1 and total else []
-    number = _range_number([_column(k) for k in order], points, [isinstance(k, Falling) for k in order])
-    ranged = df.withColumn(_CUT, number.cast("int"))
-    before = [0] * (len(points) + 1)
-    if points:
+    ranges = even_ranges(df, order, cuts)
+    ranged = df.withColumn(_CUT, ranges.number)
+    before = [0] * ranges.count
+    if ranges.count > 1:
         counts = dict(map(tuple, ranged.groupBy(_CUT).agg(F.count(F.lit(1))).collect()))  # a row per range
-        for i in range(len(points)):
+        for i in range(ranges.count - 1):
             before[i + 1] = before[i] + counts.get(i, 0)
-    window = Window.partitionBy(_CUT).orderBy(*map(_sorted_by, order))
+    window = Window.partitionBy(_CUT).orderBy(*map(sorted_by, order))
     offsets = F.array(*[F.lit(n).cast("bigint") for n in before])
     place = F.row_number().over(window) + F.get(offsets, F.col(_CUT))
-    return ranged.withColumn(index, place).drop(_CUT), total
+    return ranged.withColumn(index, place).drop(_CUT), ranges.total
 
 
 def global_index(df: DataFrame, order: Sequence[Key], index: str, cuts: int | None = None) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,19 +47,19 @@ def scan_csv_text(
     path: str | Sequence[str],
     columns: Sequence[str],
     na_tokens: Sequence[str] = NA_TOKENS,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Header CSV with every column as string and lower-case names.
 
     Fields may be quoted, with doubled quotes, commas and line breaks inside. The schema
     is declared, so there is no inference pass, and the header must agree with it. A row
     with too many or too few fields fails the load; :func:`csv_rejects` lists such rows.
-    A file is read by one task unless ``multi_line`` is off, which is right for files
-    without line breaks inside quotes and lets them split.
+
+    A file with line breaks inside quotes is read by one task, any other is split. By default
+    a pass over the lines finds out which files have some; ``multi_line`` says it for all.
     """
-    raw = lower_names(
-        _csv_reader(spark, columns, multi_line).option("mode", "FAILFAST").csv(_paths(path))
-    )
+    reader = lambda whole: _csv_reader(spark, columns, whole).option("mode", "FAILFAST")
+    raw = lower_names(_csv_files(spark, path, reader, multi_line))
     return raw.select(*[null_tokens(F.col(c), na_tokens).alias(c) for c in raw.columns])
 
 
@@ -64,7 +67,33 @@ def _paths(path: str | Sequence[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
-def _csv_reader(spark: SparkSession, columns: Sequence[str], multi_line: bool):
+def open_quoted_files(spark: SparkSession, path: str | Sequence[str]) -> dict[str, bool]:
+    """For each file whether some line of it has an odd number of quotes.
+
+    A quote that is open at the end of a line makes its count odd, since quotes inside quotes
+    are doubled. One row per file comes back, as many as Spark lists for the scan itself.
+    """
+    lines = spark.read.text(_paths(path))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    per_file = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max(quotes % 2 == 1).alias("is_open"))
+    # The name comes encoded, and would be read as a pattern.
+    return {re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(r.file)): r.is_open for r in per_file.collect()}
+
+
+def _csv_files(
+    spark: SparkSession, path: str | Sequence[str], reader: Callable[[bool], DataFrameReader], multi_line: bool | None
+) -> DataFrame:
+    """The files of a path, each read whole or split."""
+    if multi_line is not None:
+        return reader(multi_line).csv(_paths(path))
+    files = open_quoted_files(spark, path)
+    if len(set(files.values())) < 2:
+        return reader(any(files.values())).csv(_paths(path))
+    split, whole = ([f for f, is_open in files.items() if is_open is wanted] for wanted in (False, True))
+    return reader(False).csv(split).unionByName(reader(True).csv(whole))
+
+
+def _csv_reader(spark: SparkSession, columns: Sequence[str], multi_line: bool) -> DataFrameReader:
     return (
         spark.read.schema(text_schema(columns))
         .option("header", True)
@@ -76,15 +105,18 @@ def _csv_reader(spark: SparkSession, columns: Sequence[str], multi_line: bool):
 
 
 def csv_rejects(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], multi_line: bool = True
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], multi_line: bool | None = None
 ) -> DataFrame:
     """The rows of a header CSV that do not have one field per column, as one text each."""
-    with_text = [*columns, "_corrupt_record"]
-    reader = _csv_reader(spark, columns, multi_line).schema(text_schema(with_text))
-    rows = reader.option("columnNameOfCorruptRecord", "_corrupt_record").option(
-        "enforceSchema", True
+    with_text = text_schema([*columns, "_corrupt_record"])
+    reader = lambda whole: (
+        _csv_reader(spark, columns, whole)
+        .schema(with_text)
+        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .option("enforceSchema", True)
+        .option("mode", "PERMISSIVE")
     )
-    read = rows.option("mode", "PERMISSIVE").csv(_paths(path))
+    read = _csv_files(spark, path, reader, multi_line)
     # Every column is asked for: Spark checks only the fields it parses.
     kept = read.filter(F.length(F.concat_ws("", *[F.col(c) for c in columns])) >= 0)
     return kept.filter(F.col("_corrupt_record").isNotNull()).select(
@@ -112,16 +144,81 @@ def scan_json_documents(
     schema: str,
     main_tag: str,
     one_per_line: bool = False,
+    fail_fast: bool = True,
 ) -> DataFrame:
     """Landed API documents; one row per element of the ``main_tag`` array.
 
     By default a file is one document and so one task's work: feeds that page their
     responses into many files spread over the cluster. With ``one_per_line`` each
     line is a document and large files are split.
+
+    A document that is no JSON or has no such array, and an element with a value that its field
+    cannot hold, fail the load; without ``fail_fast`` they are left out. :func:`json_rejects`
+    lists them. Fields that are absent or null are NULL, unknown ones are not read.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    reader = spark.read.schema(schema).option("multiLine", not one_per_line)
-    return elements(reader.json(paths), main_tag)
+    documents, listed, element, value, fits = _json_elements(spark, path, schema, main_tag, one_per_line)
+    if fail_fast:
+        broken = F.raise_error(F.concat(F.lit(f"a document without an array {main_tag}: "), "file")).cast(_ELEMENTS)
+        unfit = F.raise_error(F.concat(F.lit("an element that does not fit: "), F.to_json("e"))).cast(element)
+        listed, value = F.coalesce(listed, broken), F.when(fits, value).otherwise(unfit)
+    rows = documents.select("file", F.explode(listed).alias("e")).select(value.alias("element"), fits.alias("fits"))
+    return (rows if fail_fast else rows.filter("fits")).select("element.*")
+
+
+def json_rejects(
+    spark: SparkSession, path: str | Sequence[str], schema: str, main_tag: str, one_per_line: bool = False
+) -> DataFrame:
+    """(file, reason, text): documents without the array, and elements that do not fit its type."""
+    documents, listed, _, _, fits = _json_elements(spark, path, schema, main_tag, one_per_line)
+    broken = documents.filter(listed.isNull()).select("file", F.lit("document").alias("reason"), F.col("value").alias("text"))
+    elements_of = documents.select("file", F.explode(listed).alias("e")).filter(~fits)
+    return broken.unionByName(elements_of.select("file", F.lit("element").alias("reason"), F.to_json("e").alias("text")))
+
+
+_ELEMENTS = "array<variant>"
+
+
+def json_texts(spark: SparkSession, path: str | Sequence[str], one_per_line: bool) -> DataFrame:
+    """(file, value): whole files, or the lines that are not blank, with partition columns of the path."""
+    texts = spark.read.text(_paths(path), wholetext=not one_per_line)
+    named = texts.withColumn("file", F.col("_metadata.file_path"))
+    return named.filter(F.trim("value") != "") if one_per_line else named
+
+
+def _json_elements(
+    spark: SparkSession, path: str | Sequence[str], schema: str, main_tag: str, one_per_line: bool
+) -> tuple[DataFrame, Column, T.DataType, Column, Column]:
+    """The documents; their array, NULL for broken ones; and the type, value and fit of an element ``e``."""
+    documents = json_texts(spark, path, one_per_line).select("file", "value", F.try_parse_json("value").alias("document"))
+    listed = F.try_variant_get("document", f"$.{main_tag}", _ELEMENTS)
+    element = T.StructType.fromDDL(schema)[main_tag].dataType.elementType
+    return documents, listed, element, *typed_variant(F.col("e"), element)
+
+
+def typed_variant(value: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """A variant as a declared type, and whether it fits: null where the declaration has a value
+    is fit, text in place of a number, or a fraction in place of a whole number, is not."""
+    absent = value.isNull() | F.is_variant_null(value)
+    if isinstance(kind, T.StructType):
+        # Asking for the fields' types would read text as an object; a map takes objects only.
+        is_object = F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+        parts = {f.name: typed_variant(F.try_variant_get(value, f'$["{f.name}"]', "variant"), f.dataType) for f in kind.fields}
+        fits = reduce(Column.__and__, [fit for _, fit in parts.values()], is_object)
+        return F.when(~absent, F.struct(*[v.alias(n) for n, (v, _) in parts.items()])), absent | fits
+    if isinstance(kind, T.ArrayType):
+        items = F.try_variant_get(value, "$", _ELEMENTS)
+        typed = F.transform(items, lambda e: typed_variant(e, kind.elementType)[0])
+        return typed, absent | (items.isNotNull() & F.forall(items, lambda e: typed_variant(e, kind.elementType)[1]))
+    if isinstance(kind, T.MapType):
+        entries = F.try_variant_get(value, "$", "map<string,variant>")
+        typed = F.transform_values(entries, lambda _, e: typed_variant(e, kind.valueType)[0])
+        every = F.forall(F.map_values(entries), lambda e: typed_variant(e, kind.valueType)[1])
+        return typed, absent | (entries.isNotNull() & every)
+    typed = F.try_variant_get(value, "$", kind.simpleString())
+    fits = typed.isNotNull()
+    if isinstance(kind, T.IntegralType):
+        fits = fits & (typed == F.try_variant_get(value, "$", "decimal(38,9)")) & ~F.schema_of_variant(value).isin("STRING", "BOOLEAN")
+    return F.when(fits, typed), absent | fits
 
 
 def elements(documents: DataFrame, main_tag: str) -> DataFrame:
@@ -180,16 +277,30 @@ def flatten(data_type: str, records: DataFrame) -> DataFrame:
 
 
 def scan_feed(
-    spark: SparkSession, data_type: str, path: str | Sequence[str], one_per_line: bool = False
+    spark: SparkSession,
+    data_type: str,
+    path: str | Sequence[str],
+    one_per_line: bool = False,
+    fail_fast: bool = True,
 ) -> DataFrame:
     """Landed API documents of one feed as a flat table."""
     if data_type not in FEEDS:
         raise ValueError(f"unknown data type: {data_type!r}")
     schema, main_tag, _ = FEEDS[data_type]
-    records = scan_json_documents(spark, path, schema, main_tag, one_per_line)
+    records = scan_json_documents(spark, path, schema, main_tag, one_per_line, fail_fast)
     return flatten(data_type, records)
 
 
+def feed_rejects(
+    spark: SparkSession, data_type: str, path: str | Sequence[str], one_per_line: bool = False
+) -> DataFrame:
+    """What :func:`scan_feed` fails on or leaves out."""
+    if data_type not in FEEDS:
+        raise ValueError(f"unknown data type: {data_type!r}")
+    schema, main_tag, _ = FEEDS[data_type]
+    return json_rejects(spark, path, schema, main_tag, one_per_line)
+
+
 def bronze_text(df: DataFrame) -> DataFrame:
     """Bronze keeps everything as string, NULL as NULL."""
     return as_text(df)

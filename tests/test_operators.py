@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strataline.operators import conform, history, joins, profiling, ranking, rollup
+from strataline.operators import conform, history, joins, profiling, ranges, ranking, rollup
 from strataline.sources.schemas import schema
 
 D = dt.date
@@ -57,8 +57,23 @@ def test_next_start_equals_window(spark, seed):
         data.append((key, start if rng.random() > 0.05 else None, i))
     df = spark.createDataFrame(data, "k string, s date, t int").repartition(5)
     expected = _plain_lead(df)
-    actual = history.next_start(df, "k", "s", "t", "n")
-    assert rows(actual.select("k", "s", "t", "n")) == rows(expected.select("k", "s", "t", "n"))
+    for cuts in (None, 2, 9):
+        actual = history.next_start(df, "k", "s", "t", "n", cuts)
+        assert rows(actual.select("k", "s", "t", "n")) == rows(expected.select("k", "s", "t", "n"))
+
+
+def test_next_start_splits_one_key_in_one_month(spark):
+    """A third of all rows on one key and one month: ranges stay even, rows unchanged."""
+    df = spark.range(20_000).selectExpr(
+        "IF(id % 3 = 0, 'hot', concat('k', id % 2000)) AS k",
+        "date_add(DATE '2020-01-01', CAST(IF(id % 3 = 0, id % 30, id % 900) AS INT)) AS s", "id AS t",
+    )
+    actual = history.next_start(df, "k", "s", "t", "n", cuts=12)
+    assert rows(actual.select("k", "s", "t", "n")) == rows(_plain_lead(df).select("k", "s", "t", "n"))
+    number = ranges.even_ranges(df, ["k", "s", "t"], 12).number
+    sizes = [r[0] for r in df.groupBy(number.alias("r")).agg(F.count(F.lit(1)).alias("c")).select("c").collect()]
+    assert len(sizes) >= 11 and max(sizes) <= 2 * 20_000 / len(sizes)
+    assert "Join" not in plan_of(actual)
 
 
 def test_close_versions(spark):
@@ -103,8 +118,7 @@ def test_global_index_ranges_are_even_when_first_keys_repeat(spark):
     plain = Window.orderBy(F.col("s").desc_nulls_last(), F.col("d").asc_nulls_first(), F.col("day").desc_nulls_last(), "id")
     expected = df.withColumn("i", F.row_number().over(plain))
     assert rows(ranged.select("id", "i")) == rows(expected.select("id", "i"))
-    points = ranking._cut_points(df, order, 16, 30_000)
-    number = ranking._range_number([ranking._column(k) for k in order], points, [True, False, True, False])
+    number = ranges.even_ranges(df, order, 16).number
     sizes = [r[0] for r in df.groupBy(number.alias("n")).agg(F.count(F.lit(1)).alias("c")).select("c").collect()]
     assert len(sizes) >= 14 and max(sizes) <= 2 * 30_000 / len(sizes)
 

@@ -135,3 +135,78 @@ def test_ragged_csv_rows_fail_or_are_listed(spark, tmp_path):
         files.scan_csv_text(spark, str(tmp_path), ["ID", "NAME"]).collect()
     rejects = files.csv_rejects(spark, str(tmp_path), ["ID", "NAME"]).collect()
     assert sorted(r.row for r in rejects) == ["2,b,EXTRA", "3"]
+
+
+# --- files that are split or read whole, documents that do not fit --------------------------------
+
+
+def test_plain_csv_is_split_and_quoted_breaks_are_read_whole(spark, tmp_path):
+    plain = tmp_path / "in" / "a b+[1].csv"
+    plain.parent.mkdir()
+    plain.write_text("ID,NAME\n" + "".join(f'{i},"say ""{i}"""\n' for i in range(20_000)))
+    (tmp_path / "in" / "b.csv").write_text('ID,NAME\n1,"two\nlines"\n2,"a ""quote\n"" more"\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert sorted(files.open_quoted_files(spark, str(tmp_path / "in")).values()) == [False, True]
+        only = files.scan_csv_text(spark, str(plain).replace("[", "\\[").replace("]", "\\]"), ["ID", "NAME"])
+        assert only.rdd.getNumPartitions() > 3
+        both = files.scan_csv_text(spark, str(tmp_path / "in"), ["ID", "NAME"])
+        assert both.rdd.getNumPartitions() > 4
+        found = {tuple(r) for r in both.collect()}
+        assert len(found) == 20_002 and ("1", "two\nlines") in found and ("2", 'a "quote\n" more') in found
+        assert ("7", 'say "7"') in found
+        assert files.csv_rejects(spark, str(tmp_path / "in"), ["ID", "NAME"]).isEmpty()
+        with pytest.raises(Exception, match="(?i)malformed"):  # split by mistake
+            files.scan_csv_text(spark, str(tmp_path / "in" / "b.csv"), ["ID", "NAME"], multi_line=False).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_of_header_only(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ID,NAME\n")
+    assert files.scan_csv_text(spark, str(tmp_path), ["ID", "NAME"]).isEmpty()
+
+
+GOOD = {"id": 1, "title": "T", "category": None, "sku": "S", "meta": {"createdAt": "2024-01-01"}, "unknown": [1]}
+
+
+def _landed(tmp_path, lines):
+    path = tmp_path / "feed.json"
+    path.write_text("\n".join(line if isinstance(line, str) else json.dumps(line) for line in lines) + "\n")
+    return str(path)
+
+
+def test_broken_documents_and_unfit_elements_are_listed(spark, tmp_path):
+    bad = [{**GOOD, "id": "abc"}, {**GOOD, "id": "12"}, {**GOOD, "id": 1.5}, {**GOOD, "meta": "text"}, {**GOOD, "id": True}, 7, "x"]
+    good = [GOOD, {"id": None}, {}, {**GOOD, "id": 3.0, "meta": None}]
+    lines = [{"products": good + bad}, '{"products": [{"id": 1}', {"products": {"id": 1}}, {"total": 0}, "", "   ", {"products": []}]
+    path = _landed(tmp_path, lines)
+    kept = files.scan_feed(spark, "product", path, one_per_line=True, fail_fast=False)
+    assert sorted(map(str, kept.collect())) == sorted(
+        map(str, spark.createDataFrame([(1, "T", None, "S", "2024-01-01"), (None,) * 5, (None,) * 5, (3, "T", None, "S", None)], kept.schema).collect())
+    )
+    rejects = files.feed_rejects(spark, "product", path, one_per_line=True).collect()
+    assert sorted(r.reason for r in rejects) == ["document"] * 3 + ["element"] * len(bad)
+    assert {json.dumps(json.loads(r.text), sort_keys=True) for r in rejects if r.reason == "element"} == {json.dumps(b, sort_keys=True) for b in bad}
+    assert all(r.file.endswith("feed.json") for r in rejects)
+
+
+@pytest.mark.parametrize(
+    "line, message", [('{"products": [{"id": 1}', "a document without an array"), ({"products": [{"id": "abc"}]}, "does not fit")]
+)
+def test_a_bad_document_fails_the_load(spark, tmp_path, line, message):
+    path = _landed(tmp_path, [{"products": [GOOD]}, line])
+    with pytest.raises(Exception, match=message):
+        files.scan_feed(spark, "product", path, one_per_line=True).select("title").collect()
+
+
+def test_nested_lines_are_checked_too(spark, tmp_path):
+    line = {"id": 1, "price": 2, "quantity": 3, "total": 6.0}
+    carts = [{"id": 5, "userId": 3, "products": [line, {**line, "quantity": "many"}]}, {"id": 6, "userId": 3, "products": [line]}]
+    path = _landed(tmp_path, [{"carts": carts}])
+    kept = files.scan_feed(spark, "order", path, one_per_line=True, fail_fast=False)
+    assert [tuple(r) for r in kept.collect()] == [(6, 3, 1, 2.0, 3, 6.0)]
+    assert files.feed_rejects(spark, "order", path, one_per_line=True).count() == 1
