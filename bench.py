@@ -44,6 +44,7 @@ HEADLINE = (
     "q21_top_categories",
     "q22_sales_by_country",
     "q23_sales_by_source",
+    "kpi_all",
     "q25_quality_summary",
     "w2_max_per_composite_key",
     "w3_version_intervals",

@@ -6,6 +6,8 @@ floating point as stored and rounded only at the end.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -255,3 +257,115 @@ def sales_by_source(sales: DataFrame) -> DataFrame:
     return sales.groupBy("data_source").agg(
         F.sum("total_sales_amount").alias("total_sales"), F.count(F.lit(1)).alias("order_count")
     )
+
+
+# All sales figures at once
+
+# Grains by the keys they group by; "order" is only counted.
+_GRAINS = {
+    "total": (),
+    "order_month": ("order_month",),
+    "ship_month": ("ship_month",),
+    "product": ("product_key", "data_source"),
+    "customer": ("customer_key", "data_source"),
+    "source": ("data_source",),
+    "order": ("order_number",),
+}
+_GRAIN_KEYS = tuple(dict.fromkeys(k for keys in _GRAINS.values() for k in keys))
+
+
+def sales_grains(sales: DataFrame) -> DataFrame:
+    """One row per group of every grain of the sales figures, from one scan of the fact.
+
+    Each line is expanded into the grains and aggregated once, map-side first. Orders, as many
+    as there are, are only counted: a second aggregation makes one row of them.
+    """
+    lag = F.when(F.col("order_date").isNotNull() & F.col("shipping_date").isNotNull(), ship_lag())
+    lines = sales.select(
+        *[c for c in _GRAIN_KEYS if c in sales.columns],
+        dates.month_label("order_date").alias("order_month"),
+        dates.month_label("shipping_date").alias("ship_month"),
+        "total_sales_amount",
+        lag.alias("lag"),
+    )
+    # grouping_id has a bit per key, the first key's the highest, set where the grain drops it.
+    ids = {
+        sum(1 << i for i, key in enumerate(reversed(_GRAIN_KEYS)) if key not in keys): grain
+        for grain, keys in _GRAINS.items()
+    }
+    grain = F.lit(None).cast("string")
+    for number, name in ids.items():
+        grain = F.when(F.col("_id") == number, name).otherwise(grain)
+    amount = F.col("total_sales_amount")
+    grouped = (
+        lines.groupingSets([list(keys) for keys in _GRAINS.values()], *_GRAIN_KEYS)
+        .agg(
+            F.grouping_id().alias("_id"),
+            F.sum(amount).alias("total_sales"),
+            F.avg(amount).alias("mean_sales"),
+            F.count(F.lit(1)).alias("line_count"),
+            F.sum("lag").alias("lag_sum"),
+            F.count("lag").alias("lag_count"),
+            F.min("lag").alias("lag_min"),
+            F.max("lag").alias("lag_max"),
+        )
+        .withColumn("grain", grain)
+    )
+    is_order = F.col("grain") == "order"
+    orders = F.count(F.when(is_order & F.col("order_number").isNotNull(), 1)).alias("order_count")
+    kept = [k for k in _GRAIN_KEYS if k != "order_number"]
+    figures = ["total_sales", "mean_sales", "line_count", "lag_sum", "lag_count", "lag_min", "lag_max"]
+    return grouped.groupBy("grain", *kept).agg(
+        orders, *[F.max(F.when(~is_order, F.col(c))).alias(c) for c in figures]
+    )
+
+
+def all_sales_figures(
+    sales: DataFrame, products: DataFrame, customers: DataFrame, limit: int = 10
+) -> DataFrame:
+    """The eleven sales figures as one table: (kpi, item, data_source, amount, whole).
+
+    The grains are stored once, small as they are; every figure is read from them, the ones by
+    category and country through the dimension of their key.
+    """
+    grains = stored_once(sales_grains(sales), "sales_grains")
+
+    def of(grain: str) -> DataFrame:
+        return grains.filter(F.col("grain") == grain)
+
+    mean_lag = F.try_divide(F.col("lag_sum"), F.col("lag_count")).cast("bigint")
+    amount = F.col("total_sales")
+
+    def shown(df: DataFrame, kpi: str, item=None, source=None, value=None, whole=None) -> DataFrame:
+        cell = lambda c, kind: (F.lit(None) if c is None else c).cast(kind)
+        return df.select(
+            F.lit(kpi).alias("kpi"),
+            cell(item, "string").alias("item"),
+            cell(source, "string").alias("data_source"),
+            cell(value, "double").alias("amount"),
+            cell(whole, "bigint").alias("whole"),
+        )
+
+    def through(grain: str, dimension: DataFrame, key: str, attribute: str) -> DataFrame:
+        known = dimension.filter(is_known(attribute)).select(key, attribute)
+        joined = of(grain).select(key, "data_source", "total_sales").join(known, key)
+        return joined.groupBy(attribute, "data_source").agg(F.sum("total_sales").alias("total_sales"))
+
+    total = of("total")
+    order = [F.col("total_sales").desc(), F.col("category"), F.col("data_source")]
+    best = top_rows(through("product", products, "product_key", "category"), limit, order)
+    by_country = through("customer", customers, "customer_key", "country")
+    parts = [
+        shown(total, "total_sales", value=amount),
+        shown(of("order"), "total_orders", whole=F.col("order_count")),
+        shown(total, "avg_order_value", value=F.col("mean_sales").cast("decimal(10,2)")),
+        shown(of("order_month").filter("order_month IS NOT NULL"), "monthly_sales", F.col("order_month"), value=amount),
+        shown(of("ship_month").filter("lag_count > 0"), "monthly_ship_lag", F.col("ship_month"), whole=mean_lag),
+        shown(total, "min_ship_lag", whole=F.col("lag_min")),
+        shown(total, "avg_ship_lag", whole=mean_lag),
+        shown(total, "max_ship_lag", whole=F.col("lag_max")),
+        shown(best, "top_categories", F.col("category"), F.col("data_source"), amount),
+        shown(by_country, "sales_by_country", F.col("country"), F.col("data_source"), amount),
+        shown(of("source"), "sales_by_source", None, F.col("data_source"), amount, F.col("line_count")),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -239,3 +239,29 @@ def q24(t):
     return kpis.mean_profit_margin(t.star.sales, t.star.products).withColumn(
         "avg_profit_margin_pct", F.round("avg_profit_margin_pct", 2)
     )
+
+
+@case(
+    "kpi_all",
+    f"""SELECT 'total_sales' AS kpi, NULL AS item, NULL AS data_source, round(sum(total_sales_amount), 2) AS amount, NULL AS whole
+        FROM fact_sales
+        UNION ALL SELECT 'total_orders', NULL, NULL, NULL, count(DISTINCT order_number) FROM fact_sales
+        UNION ALL SELECT 'avg_order_value', NULL, NULL, round(avg(total_sales_amount), 2), NULL FROM fact_sales
+        UNION ALL SELECT 'monthly_sales', strftime(order_date, '%Y-%m'), NULL, round(sum(total_sales_amount), 2), NULL
+        FROM fact_sales WHERE order_date IS NOT NULL GROUP BY 2
+        UNION ALL SELECT 'monthly_ship_lag', strftime(shipping_date, '%Y-%m'), NULL, NULL, CAST(trunc(sum({LAG}) / count(*)) AS BIGINT)
+        FROM fact_sales WHERE {SHIPPED} GROUP BY 2
+        UNION ALL SELECT 'min_ship_lag', NULL, NULL, NULL, min({LAG}) FROM fact_sales WHERE {SHIPPED}
+        UNION ALL SELECT 'avg_ship_lag', NULL, NULL, NULL, CAST(trunc(sum({LAG}) / count(*)) AS BIGINT) FROM fact_sales WHERE {SHIPPED}
+        UNION ALL SELECT 'max_ship_lag', NULL, NULL, NULL, max({LAG}) FROM fact_sales WHERE {SHIPPED}
+        UNION ALL (SELECT 'top_categories', category, f.data_source, round(sum(total_sales_amount), 2), NULL
+        FROM fact_sales AS f JOIN dim_products AS p ON f.product_key = p.product_key
+        WHERE lower(category) <> 'n/a' GROUP BY category, f.data_source ORDER BY sum(total_sales_amount) DESC LIMIT 10)
+        UNION ALL SELECT 'sales_by_country', country, f.data_source, round(sum(total_sales_amount), 2), NULL
+        FROM fact_sales AS f JOIN dim_customers AS c ON f.customer_key = c.customer_key
+        WHERE lower(country) <> 'n/a' GROUP BY country, f.data_source
+        UNION ALL SELECT 'sales_by_source', NULL, data_source, round(sum(total_sales_amount), 2), count(*) FROM fact_sales GROUP BY 3""",
+)
+def kpi_all(t):
+    """All eleven sales figures from one scan of the fact."""
+    return portable(kpis.all_sales_figures(t.star.sales, t.star.products, t.star.customers), 2)
