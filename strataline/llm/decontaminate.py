@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataline.llm.caches import in_worker
-from strataline.llm.storage import bounded_batches, free_name, stored
+from strataline.llm.storage import bounded_batches, free_name, row_key, stored
 from strataline.llm.words import window_hashes, word_hashes
 
 #: Word offsets that each fixed mask looks at; the positions between are ignored. One of them meets
@@ -81,10 +81,6 @@ def overlap(document: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int,
     return low + diagonal + first, end - first, int(equal[first:end].sum())
 
 
-def _row_key() -> Column:
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """(item_id, words): word hashes of each item; items without words are left out."""
 
@@ -161,7 +157,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     listed = _listed(item_seeds)
     packed = None if listed is None else spark.sparkContext.broadcast(listed)
     schema = pa.schema(
-        [("row_key", pa.int64()), ("doc_id", pa.int64()), ("words", pa.binary()), ("seeds", pa.list_(pa.int64())), ("positions", pa.list_(pa.int32()))]
+        [("row_key", pa.binary()), ("doc_id", pa.int64()), ("words", pa.binary()), ("seeds", pa.list_(pa.int64())), ("positions", pa.list_(pa.int32()))]
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,36 +191,37 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    rows = documents.select(_row_key().alias("row_key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    kind = "row_key long, doc_id long, words binary, seeds array<long>, positions array<int>"
+    rows = documents.select(row_key().alias("row_key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    kind = "row_key binary, doc_id long, words binary, seeds array<long>, positions array<int>"
     hits = stored(rows.mapInArrow(in_worker(search, "words"), kind), "seed-hits")
     single = hits.select("row_key", F.explode(F.arrays_zip("seeds", "positions")).alias("hit"))
     single = single.select("row_key", F.col("hit.seeds").alias("seed"), F.col("hit.positions").alias("position"))
+    # One row per document and item, with all diagonals that hit: neither text travels twice.
     diagonals = (
         single.join(item_seeds, "seed")
-        .select("row_key", "item_id", (F.col("position") - F.col("item_position")).alias("diagonal"))
-        .distinct()
+        .groupBy("row_key", "item_id")
+        .agg(F.collect_set(F.col("position") - F.col("item_position")).alias("diagonals"))
     )
     texts = hits.select("row_key", "doc_id", "words").groupBy("row_key").agg(F.first("doc_id").alias("doc_id"), F.first("words").alias("words"))
     pairs = diagonals.join(items.withColumnRenamed("words", "item_words"), "item_id").join(texts, "row_key")
-    verified_schema = pa.schema([(c, pa.int64()) for c in ("row_key", "doc_id", "item_id", "start_word", "n_words", "n_equal")])
+    verified_schema = pa.schema([("row_key", pa.binary()), *((c, pa.int64()) for c in ("doc_id", "item_id", "start_word", "n_words", "n_equal"))])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for row_key, doc_id, item_id, diagonal, words, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                item = np.frombuffer(item, np.uint64)
-                start, n, equal = overlap(np.frombuffer(words, np.uint64), item, diagonal)
+            for k in range(batch.num_rows):  # a row at a time: words and diagonals may be long
+                key, doc_id, item_id, places, words, item = (c[k] for c in batch.columns)
+                words, item = (np.frombuffer(w.as_py(), np.uint64) for w in (words, item))
+                tried = (overlap(words, item, d) for d in places.values.to_numpy().tolist())
+                start, n, equal = max(tried, key=lambda o: (o[1], o[2], -o[0]))
                 if n >= min(MIN_WORDS, len(item)):
-                    rows.append((row_key, doc_id, item_id, start, n, equal))
+                    rows.append((key.as_py(), doc_id.as_py(), item_id.as_py(), start, n, equal))
             if rows:
                 columns = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], schema=verified_schema
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, verified_schema, strict=True)], schema=verified_schema)
 
-    pairs = pairs.select("row_key", "doc_id", "item_id", "diagonal", "words", "item_words")
-    found = pairs.mapInArrow(in_worker(verify, "words"), "row_key long, doc_id long, item_id long, start_word long, n_words long, n_equal long")
+    pairs = pairs.select("row_key", "doc_id", "item_id", "diagonals", "words", "item_words")
+    found = pairs.mapInArrow(in_worker(verify, "words"), "row_key binary, doc_id long, item_id long, start_word long, n_words long, n_equal long")
     best = F.max(F.struct("n_words", "n_equal", (-F.col("start_word")).alias("start"))).alias("best")
     found = found.groupBy("row_key", "doc_id", "item_id").agg(best)
     return found.select(
@@ -234,7 +231,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `documents` that overlap with no benchmark item, with all their columns."""
-    key = _row_key()
+    key = row_key()
     name = free_name(documents, "row_key")
     found = contaminated(documents, benchmark).select(F.col("row_key").alias(name)).distinct()
     return documents.withColumn(name, key).join(found, name, "left_anti").drop(name)

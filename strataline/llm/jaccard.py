@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from strataline.llm.blocks import by_unit, crosses, in_blocks, squares, whole_units
 from strataline.llm.caches import in_worker
 from strataline.llm.components import components, local_roots
-from strataline.llm.storage import bounded_batches, free_name, stored
+from strataline.llm.storage import bounded_batches, free_name, row_key, stored
 from strataline.llm.words import mixed, shingle_set, word_hashes
 
 WORDS = 5
@@ -94,34 +94,29 @@ def surviving(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray,
     return kept
 
 
-def _row_key() -> Column:
-    """The same for rows with equal id and text only."""
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-
 def _sketches(documents: DataFrame, words: int) -> DataFrame:
     """(doc_id, row_key, class, size, signature, bands): class is a digest of the words, null without any."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("row_key", pa.int64()), ("class", pa.binary()), ("size", pa.int64()), ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))]
+        [("doc_id", pa.int64()), ("row_key", pa.binary()), ("class", pa.binary()), ("size", pa.int64()), ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))]
     )
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, row_key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc_id, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 hashes = word_hashes(text)
                 if not len(hashes):
-                    rows.append((doc_id, row_key, None, 0, None, None))
+                    rows.append((doc_id, key, None, 0, None, None))
                     continue
                 shingles = shingle_set(hashes, words)
                 signature = minhash(shingles)
                 digest = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-                rows.append((doc_id, row_key, digest, len(shingles), signature.tobytes(), band_keys(signature)))
+                rows.append((doc_id, key, digest, len(shingles), signature.tobytes(), band_keys(signature)))
             columns = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    kind = "doc_id long, row_key long, class binary, size long, signature binary, bands array<long>"
-    rows = documents.select(F.col("doc_id").cast("long"), _row_key().alias("row_key"), F.col("text").cast("string"))
+    kind = "doc_id long, row_key binary, class binary, size long, signature binary, bands array<long>"
+    rows = documents.select(F.col("doc_id").cast("long"), row_key().alias("row_key"), F.col("text").cast("string"))
     return rows.mapInArrow(in_worker(sketch, "words"), kind)
 
 
@@ -309,7 +304,7 @@ def linked(documents: DataFrame, threshold: float = THRESHOLD, words: int = WORD
     splits = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("weight") / BLOCK_SHINGLES))
     units = in_blocks(involved, "root", "class", splits, "class", "copies", "signature", "row_key")
     # One row's text stands for a class. Only texts of classes with a candidate are kept.
-    texts = documents.select(_row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
+    texts = documents.select(row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
     texts = texts.join(involved.select("row_key"), "row_key", "left_semi").groupBy("row_key").agg(F.first("text").alias("text"))
     found = stored(_verified(by_unit(units.join(texts, "row_key")), least, words, threshold), "links")
     joined = components(found.where("b is not null").select("a", "b"), "links")
@@ -341,5 +336,5 @@ def one_of_each(documents: DataFrame, threshold: float = THRESHOLD, words: int =
     """
     name = free_name(documents, "row_key")
     staying = linked(documents, threshold, words).where("stays").select(F.col("row_key").alias(name))
-    keyed = documents.withColumn(name, _row_key()).dropDuplicates([name])
+    keyed = documents.withColumn(name, row_key()).dropDuplicates([name])
     return keyed.join(staying, name, "left_semi").select(*documents.columns)

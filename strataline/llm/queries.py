@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +10,17 @@ from pyspark.sql import functions as F
 from strataline.llm import divergence, licenses, resampling, url_filter
 from strataline.sources.tables import literal_table
 
-#: The folder of the public tokenizers' files.
-TOKENIZERS = os.environ.get("STRATALINE_TOKENIZERS", "/opt/tokenizers")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op1_packing(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+def op1_packing(spark: SparkSession, sf_dir: str, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
     """Every piece of every document with its place in a packed sequence."""
     from strataline.llm.packing import pack_documents
 
-    pieces = pack_documents(table(spark, sf_dir, "documents"), f"{tokenizers}/word_bpe_49k.json", end_id=1)
+    pieces = pack_documents(table(spark, sf_dir, "documents"), tokenizer, end_id=1)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
@@ -36,11 +33,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
-def op3_token_files(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+def op3_token_files(spark: SparkSession, sf_dir: str, tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
     """Every document as read back from the written token files."""
     from strataline.llm.token_files import read_token_files, write_token_files
 
-    files = write_token_files(table(spark, sf_dir, "documents"), f"{tokenizers}/byte_bpe_50k.json", end_id=2)
+    files = write_token_files(table(spark, sf_dir, "documents"), tokenizer, end_id=2)
     return read_token_files(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch; long texts would make the default of 10,000 rows too large.
@@ -59,6 +59,12 @@ def sampled(df: DataFrame, rows: int, *columns: str) -> DataFrame:
     return df.where(F.xxhash64(*columns) < F.lit(bound)).limit(2 * rows)
 
 
+def row_key() -> Column:
+    """128 bits that only rows with equal id and text share; null is no text, nor an empty one."""
+    part = lambda c, kind: F.coalesce(F.concat(F.lit("="), F.col(c).cast(kind).cast("string")), F.lit("0"))
+    return F.unhex(F.md5(F.concat(part("doc_id", "long"), F.lit("|"), part("text", "string"))))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the table does not have, whatever the case of its letters."""
     taken = {c.lower() for c in df.columns}

@@ -37,15 +37,17 @@ class ChunkEncoder:
     `style` says where the vocabulary's pre-tokenizer always cuts:
     "spaces_dropped": white space separates and vanishes, any space is a boundary;
     "space_leads": a space followed by a non-space always starts a new piece and stays
-    part of it. A null text is treated as empty.
+    part of it. A null text is treated as empty. `path` is a tokenizer file, or the bare name of
+    one of the public tokenizers, whose place each machine finds for itself.
     """
 
     def __init__(self, path: str, style: str) -> None:
+        import public_tokenizers
         from tokenizers import Tokenizer
 
         if style not in ("spaces_dropped", "space_leads"):
             raise ValueError(f"unknown style: {style}")
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path if "/" in path else public_tokenizers.path(path))
         self.style = style
         # Where the vocabulary lower-cases, doing it first makes fewer distinct chunks. In Latin-1
         # every letter has one lower-case form, whatever stands around it.

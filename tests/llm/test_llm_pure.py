@@ -19,7 +19,6 @@ from hypothesis import strategies as st
 
 from strataline.llm import decontaminate, embeddings, jaccard, licenses, packing, pii, quality, token_files, toxicity, warc
 from strataline.llm.components import local_roots
-from strataline.llm.queries import TOKENIZERS
 from strataline.llm.tokenization import ChunkEncoder
 from strataline.llm.words import shingle_set, window_hashes, word_hashes
 
@@ -32,7 +31,7 @@ ODD_TEXTS = [
 @pytest.fixture(scope="module", params=[("byte_bpe_50k.json", "space_leads"), ("word_bpe_49k.json", "spaces_dropped")])
 def chunked(request):
     name, style = request.param
-    return ChunkEncoder(f"{TOKENIZERS}/{name}", style)
+    return ChunkEncoder(name, style)
 
 
 def whole(encoder: ChunkEncoder, text: str) -> bytes:
@@ -49,7 +48,7 @@ def test_chunks_encode_as_whole_texts(chunked):
 @given(st.text(alphabet=st.sampled_from("aB é.\n\t'1ñ中 "), max_size=60))
 def test_any_text_encodes_as_a_whole(text):
     for name, style in (("byte_bpe_50k.json", "space_leads"), ("word_bpe_49k.json", "spaces_dropped")):
-        encoder = _encoders.setdefault(name, ChunkEncoder(f"{TOKENIZERS}/{name}", style))
+        encoder = _encoders.setdefault(name, ChunkEncoder(name, style))
         assert encoder.encode([text]) == [whole(encoder, text)]
 
 
@@ -58,7 +57,7 @@ _encoders: dict[str, ChunkEncoder] = {}
 
 def test_a_full_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr("strataline.llm.tokenization.CACHE_ENTRIES", {"space_leads": 3})
-    encoder = ChunkEncoder(f"{TOKENIZERS}/byte_bpe_50k.json", "space_leads")
+    encoder = ChunkEncoder("byte_bpe_50k.json", "space_leads")
     texts = ["one two three four five", "six one two seven", "eight nine one"] * 3
     assert encoder.encode(texts) == [whole(encoder, t) for t in texts]
 
@@ -368,7 +367,7 @@ def test_license_templates_are_words():
 def test_a_worker_keeps_the_memories_of_one_operator():
     from strataline.llm import caches, tokenization, words
 
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    path = "word_bpe_49k.json"
     assert list(caches.in_worker(lambda batches: batches, "words", "tokens")(iter([1]))) == [1]
     words.word_hashes("some words")
     kept = tokenization.encoder(path, "spaces_dropped")

@@ -14,6 +14,7 @@ from itertools import combinations
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
 from test_llm_pure import naive_base
 from tokenizers import Tokenizer
@@ -23,7 +24,6 @@ from strataline.llm import decontaminate, embeddings, jaccard, licenses, packing
 from strataline.llm.components import components
 from strataline.llm.words import split_words
 
-TOKENIZERS = queries.TOKENIZERS
 LONG = " ".join(f"word{k % 977}" for k in range(30_000))
 #: Names that the operators use inside, as columns of the input.
 CLASH = "row_key long, class string, score double, toxicity double, n long, start long, ids string"
@@ -62,7 +62,7 @@ def crc(ids) -> int:
 
 
 def test_packing_edges(spark, edge, nothing):
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
     pieces = packing.pack_documents(edge, path).collect()
     expected = Counter((i, len(ids := tokenizer.encode(t or "", add_special_tokens=False).ids + [1]), crc(ids)) for i, t in EDGE)
@@ -88,7 +88,7 @@ def test_packing_fills_windows(spark, data_folder):
 
 
 def test_token_files_round_trip(spark, edge, nothing):
-    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
     files = token_files.write_token_files(edge, path)
     back = token_files.read_token_files(spark, files).collect()
@@ -107,7 +107,7 @@ def test_token_files_round_trip(spark, edge, nothing):
 
 
 def test_token_files_check_their_dictionary(spark, edge):
-    files = token_files.write_token_files(edge.where("doc_id = 2"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    files = token_files.write_token_files(edge.where("doc_id = 2"), public_tokenizers.path("byte_bpe_50k.json"))
     with pytest.raises(ValueError):
         token_files._open_shard(files.shards[0][1], b"another")
 
