@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from strataline.operators import joins, profiling
@@ -11,6 +9,7 @@ from strataline.plans import rulebook
 from strataline.quality import log, rules, runner
 from strataline.session import scratch_path
 from strataline.sources.tables import literal_table
+from strataline.workloads import declared_checks
 from strataline.workloads import oracle_stages as sql
 from strataline.workloads.feeds import AS_OF
 from strataline.workloads.registry import case, portable
@@ -132,83 +131,15 @@ _rule_case(
 )
 
 
-# All declared rules at once, against one counting query per rule
-
-
-def _literal(value: object) -> str:
-    if isinstance(value, rules.Horizon):
-        return f"CAST(DATE '{AS_OF}' - INTERVAL {value.years_back} YEAR AS DATE)"
-    if isinstance(value, dt.date):
-        return f"DATE '{value}'"
-    return str(value) if isinstance(value, (int, float)) else "'" + str(value) + "'"
-
-
-def _range_sql(column: str, low: object, high: object, inclusive: bool) -> str:
-    parts = []
-    if low is not None:
-        parts.append(f"{column} {'<' if inclusive else '<='} {_literal(low)}")
-    if high is not None:
-        parts.append(f"{column} {'>' if inclusive else '>='} {_literal(high)}")
-    return " OR ".join(parts)
-
-
-def _formula_sql(column: str, left: str, right: str, op: str) -> str:
-    sign = {"multiply": "*", "divide": "/", "add": "+", "subtract": "-"}[op]
-    return f"{column} <> {left} {sign} {right}"
-
-
-def _case_sql(column: str, case_name: str) -> str:
-    shaped = {"upper": sql.upper(column), "lower": f"lower({column})", "initcap": sql.words(column)}
-    return f"{column} <> {shaped[case_name]}"
-
-
-ROW_SQL = {
-    "not_null": lambda c: f"{c} IS NULL",
-    "accepted_values": lambda c, *v: f"{c} NOT IN ({', '.join(map(_literal, v))})",
-    "dbt_utils.accepted_range": _range_sql,
-    "matches_pattern": lambda c, p: f"NOT regexp_matches({c}, '{p}')",
-    "assert_case": _case_sql,
-    "no_whitespace": lambda c: f"length({c}) <> length({sql.trim(c)})",
-    "assert_length": lambda c, n: f"length({c}) <> {n}",
-    "contains_string": lambda c, part: f"strpos({c}, '{part}') = 0",
-    "not_contains_string": lambda c, part: f"strpos({c}, '{part}') > 0",
-    "assert_formula": _formula_sql,
-    "assert_less_than": lambda c, other: f"{c} >= {other}",
-}
-
-
-def counting_sql(model: str, rule: rules.Rule) -> str:
-    columns = ", ".join(rule.columns)
-    if isinstance(rule, rules.ParentRule):
-        column = rule.columns[0]
-        failing = (
-            f"SELECT 1 FROM {model} AS child WHERE {column} IS NOT NULL AND NOT EXISTS "
-            f"(SELECT 1 FROM {rule.parent} AS parent WHERE parent.{rule.parent_column} = "
-            f"child.{column})"
-        )
-    elif isinstance(rule, rules.KeyRule):
-        known = "" if rule.count_nulls else f"WHERE {columns} IS NOT NULL"
-        failing = f"SELECT 1 FROM {model} {known} GROUP BY {columns} HAVING count(*) > 1"
-    else:
-        condition = ROW_SQL[rule.test](rule.columns[0], *rule.params)
-        what = f"DISTINCT {columns}" if isinstance(rule, rules.ValueRule) else "1"
-        failing = f"SELECT {what} FROM {model} WHERE {condition}"
-    status = f"CASE WHEN n = 0 THEN 'pass' WHEN '{rule.severity}' = 'warn' THEN 'warn' ELSE 'fail' END"
-    return (
-        f"SELECT '{model}' AS model_name, '{rule.rule_id}' AS rule_id, n AS failure_count, "
-        f"{status} AS status, (SELECT count(*) FROM {model}) AS evaluated_rows "
-        f"FROM (SELECT count(*) AS n FROM ({failing}) AS f) AS c"
-    )
-
+# All declared rules at once, against one counting query per check
 
 SHOWN = ("model_name", "rule_id", "failure_count", "status", "evaluated_rows")
 
 
 def _model_rules_case(model: str, declared: list[rules.Rule], stage: str) -> None:
     name = f"dq18_rules_{model}" + ("" if stage == "bronze" else "_clean")
-    oracle = "\nUNION ALL ".join(counting_sql(model, rule) for rule in declared)
 
-    @case(name, oracle, stage)
+    @case(name, declared_checks.results_sql(model), stage)
     def build(t):
         """Rules run on stored tables, so the model is computed once."""
         source = t.silver if stage == "bronze" else t.clean_silver
@@ -240,21 +171,33 @@ _RUN = {
     "started_at": "1999-12-31 08:00:00",
     "finished_at": "1999-12-31 08:05:00",
     "trigger_type": "schedule",
+    "invocation_id": "inv-1",
 }
 
 
+# Test name and quality dimension by the start of a check's id.
+_LOGGED_AS = (
+    ("not_null_", "not_null", "completeness"),
+    ("unique_", "unique", "uniqueness"),
+    ("accepted_range_", "dbt_utils.accepted_range", "validity"),
+    ("no_whitespace_", "no_whitespace", "validity"),
+    ("accepted_values_", "accepted_values", "validity"),
+    ("assert_case_", "assert_case", "validity"),
+)
+
+
 def _log_sql() -> str:
-    parts = []
-    for rule in _CUSTOMER_RULES:
-        if rule.category:
-            parts.append(
-                f"SELECT 'run-1' AS run_id, '{_RUN['finished_at']}' AS run_finished_at, "
-                f"'schedule' AS trigger_type, false AS is_backfilled, 'staging' AS schema_layer, "
-                f"model_name, '{rule.category}' AS test_category, '{rule.severity}' AS severity, "
-                f"'{rule.columns[0]}' AS column_name, '{rule.test}' AS test_name, status, "
-                f"failure_count, evaluated_rows FROM ({counting_sql('stg_djapi__customer', rule)}) AS r"
-            )
-    return "\nUNION ALL ".join(parts)
+    """The log of the customer checks: all 16 columns."""
+    model = "stg_djapi__customer"
+    named = ", ".join(f"('{prefix}', '{test}', '{category}')" for prefix, test, category in _LOGGED_AS)
+    severities = ", ".join(f"('{rule_id}', '{severity}')" for rule_id, severity, _ in declared_checks.failing_sql(model))
+    return f"""SELECT 'run-1' AS run_id, 'inv-1' AS invocation_id, '{_RUN['started_at']}' AS run_started_at,
+           '{_RUN['finished_at']}' AS run_finished_at, 'schedule' AS trigger_type, model_name, 'staging' AS schema_layer,
+           regexp_replace(substr(rule_id, length(prefix) + 1), '_(initcap|upper|lower)$', '') AS column_name, test AS test_name,
+           category AS test_category, severity, status, failure_count, evaluated_rows,
+           'test.' || model_name || '.' || rule_id AS unique_id, false AS is_backfilled
+    FROM ({declared_checks.results_sql(model)}) AS r JOIN (VALUES {severities}) AS s(id, severity) ON rule_id = id
+         JOIN (VALUES {named}) AS known(prefix, test, category) ON starts_with(rule_id, prefix)"""
 
 
 def _customer_log(t):
@@ -265,12 +208,8 @@ def _customer_log(t):
 
 @case("dq19_log_rows", _log_sql(), "bronze")
 def dq19(t):
-    shown = [
-        "run_id", "run_finished_at", "trigger_type", "is_backfilled", "schema_layer",
-        "model_name", "test_category", "severity", "column_name", "test_name", "status",
-        "failure_count", "evaluated_rows",
-    ]
-    return portable(_customer_log(t).select(*shown))
+    """Every column of the log."""
+    return portable(_customer_log(t))
 
 
 @case(
@@ -402,9 +341,7 @@ def io14(t):
 @case(
     "dq15_severity_statuses",
     f"""SELECT status, count(*) AS rule_count, CAST(sum(failure_count) AS BIGINT) AS failures
-        FROM ({" UNION ALL ".join(
-            counting_sql("stg_crm__prd_info", r) for r in rulebook.STAGING["stg_crm__prd_info"]
-        )}) AS r GROUP BY status""",
+        FROM ({declared_checks.results_sql("stg_crm__prd_info")}) AS r GROUP BY status""",
     "bronze",
 )
 def dq15(t):

@@ -551,6 +551,19 @@ def c8(t):
     return t.orders.select("o_orderkey", kept.cast("string").alias("day"))
 
 
+@case(
+    "c8_strict_bounds_v1",
+    """SELECT o_orderkey, CAST(CASE WHEN CAST(o_orderdate AS DATE) > DATE '1900-01-01'
+                                     AND CAST(o_orderdate AS DATE) < TIMESTAMP '1996-03-04 12:00:00'
+                               THEN CAST(o_orderdate AS DATE) END AS VARCHAR) AS day FROM orders""",
+)
+def c8_v1(t):
+    """The first generation compares with the moment of the load: that day's own orders stay."""
+    day = F.col("o_orderdate").cast("date")
+    kept = dates.strictly_between_horizons(day, "1996-03-04", "1996-03-04 12:00:00")
+    return t.orders.select("o_orderkey", kept.cast("string").alias("day"))
+
+
 @case(
     "c9_c11_sales_repair",
     """SELECT sls_ord_num, sls_prd_key, round(CAST(sls_sales AS DOUBLE), 4) AS sls_sales,
