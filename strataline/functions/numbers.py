@@ -99,6 +99,23 @@ def repair_price(price: Column, sales: Column, quantity: Column, keep_sign: bool
     )
 
 
+def consistent_line(sales: Column, quantity: Column, price: Column) -> Column:
+    """The strict repair: a struct of sales, quantity and price in which sales = price x quantity.
+
+    The ladders above repair each column by itself, from the stated values, so a line may end
+    with a total that its price and quantity do not give, or with a negative one. Here quantity
+    comes first (missing or zero is 1, negative turns positive), then price (without its sign; a
+    missing or zero one is the total spread over the quantity, to nine decimals), and the total
+    is their product. Without a price and a total both are NULL; a product that does not fit is
+    NULL too.
+    """
+    count = at_least_one(quantity)
+    stated = F.nullif(F.abs(price), F.lit(0).cast(AMOUNT))
+    derived = F.try_divide(F.abs(sales), count.cast(COUNT)).try_cast(AMOUNT)
+    unit = F.coalesce(stated, derived, F.abs(price)).try_cast(AMOUNT)
+    return F.struct(product(unit, count).alias("sales"), count.alias("quantity"), unit.alias("price"))
+
+
 def at_least_one(quantity: Column) -> Column:
     """API quantity: missing or zero becomes 1, negative becomes positive."""
     return F.coalesce(F.nullif(F.abs(quantity), F.lit(0)), F.lit(1)).cast("bigint")

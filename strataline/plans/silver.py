@@ -23,11 +23,16 @@ CURRENT, V1 = "current", "v1"
 
 @dataclass(frozen=True)
 class RunContext:
-    """What a run must know besides its data: the horizon, the load time, the rules."""
+    """What a run must know besides its data: the horizon, the load time, the rules.
+
+    ``strict`` repairs sales lines so that total, quantity and price agree with each other; by
+    default each is repaired by itself, as the rules were first written.
+    """
 
     as_of: dt.date | str
     load_ts: dt.datetime | str
     generation: str = CURRENT
+    strict: bool = False
 
     def __post_init__(self) -> None:
         if self.generation not in (CURRENT, V1):
@@ -101,6 +106,13 @@ def crm_sales(bronze: DataFrame, ctx: RunContext) -> DataFrame:
         F.col("sls_price").try_cast(numbers.AMOUNT).alias("sls_price"),
     )
     sales, quantity, price = (F.col(c) for c in ("sls_sales", "sls_quantity", "sls_price"))
+    if ctx.strict:
+        # One projection for the line, so that price and quantity are repaired once.
+        line = numbers.consistent_line(sales, quantity, price)
+        typed = typed.withColumn("_line", line).withColumns({f"sls_{c}": F.col(f"_line.{c}") for c in ("sales", "quantity", "price")})
+        kept = [dates.within_horizon(c, ctx.as_of, include_as_of=not ctx.is_v1).alias(c) for c in day_columns]
+        cleaned = typed.select("sls_ord_num", "sls_prd_key", "sls_cust_id", *kept, "sls_sales", "sls_quantity", "sls_price")
+        return stamp_load(cleaned, ctx.load_ts)
     if ctx.is_v1:
         total = numbers.repair_sales_when_not_positive(sales, quantity, price)
     else:
@@ -240,17 +252,13 @@ def api_orders(
         known = newest_per_key(
             known, ["id", "prd_id"], "total_price", ["cust_id", "unit_price", "quantity"]
         )
+    quantity = numbers.at_least_one(F.col("quantity"))
+    total = numbers.repair_total(
+        F.col("total_price"), F.col("unit_price"), F.col("quantity"), rebuild_missing=not ctx.is_v1
+    )
+    if ctx.strict:
+        total = F.col("unit_price") * quantity
     cleaned = known.select(
-        "id",
-        "prd_id",
-        "cust_id",
-        "unit_price",
-        numbers.at_least_one(F.col("quantity")).alias("quantity"),
-        numbers.repair_total(
-            F.col("total_price"),
-            F.col("unit_price"),
-            F.col("quantity"),
-            rebuild_missing=not ctx.is_v1,
-        ).alias("total_price"),
+        "id", "prd_id", "cust_id", "unit_price", quantity.alias("quantity"), total.alias("total_price")
     )
     return stamp_load(cleaned, ctx.load_ts)

@@ -29,15 +29,26 @@ def apply_adaptive_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster; beside the warehouse where
-    the cluster names none."""
+    """Folder every executor can reach, as named by the cluster.
+
+    Where none is named it lies beside the warehouse; on a cluster whose warehouse is a folder of
+    one machine that would lose rows, so it is an error there.
+    """
     configured = spark.conf.get(CHECKPOINT_KEY, None)
     if not configured:
-        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if is_one_machine(warehouse) and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder all machines share; {warehouse} is on one of them")
+        configured = warehouse.rstrip("/") + "/_shared"
         spark.conf.set(CHECKPOINT_KEY, configured)
     return configured.rstrip("/")
 
 
+def is_one_machine(path: str) -> bool:
+    """Whether a path names a folder of the machine that reads it."""
+    return path.startswith("file:") or "://" not in path and not path.startswith("hdfs:")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, never reused between runs."""
     return f"{shared_folder(spark)}/strataline/{name}-{uuid.uuid4().hex}"

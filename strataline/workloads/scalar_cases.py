@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from strataline.functions import codes, dates, keys, numbers, text
 from strataline.operators.conform import lower_names
+from strataline.plans import silver
 from strataline.workloads import oracle_stages as sql
-from strataline.workloads.feeds import AS_OF
+from strataline.workloads.feeds import AS_OF, LOAD_TS
 from strataline.workloads.registry import case, portable
 
 STOP_WORDS = "('and', 'or', 'at', 'the', 'a', 'an', 'in', 'of', 'to')"
@@ -590,6 +591,45 @@ def c9(t):
     return portable(repaired, 4)
 
 
+@case(
+    "c9_c11_strict_repair",
+    """SELECT sls_ord_num, sls_prd_key, sls_cust_id, round(price * quantity, 4) AS sls_sales, quantity AS sls_quantity, round(price, 4) AS sls_price
+       FROM (SELECT *, coalesce(nullif(abs(p), 0), abs(s) / quantity, abs(p)) AS price
+             FROM (SELECT sls_ord_num, sls_prd_key, TRY_CAST(sls_cust_id AS BIGINT) AS sls_cust_id,
+                          TRY_CAST(sls_sales AS DOUBLE) AS s, TRY_CAST(sls_price AS DOUBLE) AS p,
+                          coalesce(nullif(abs(TRY_CAST(sls_quantity AS BIGINT)), 0), 1) AS quantity
+                   FROM crm_sales_details) AS typed) AS priced""",
+    "bronze",
+)
+def c9_strict(t):
+    """With the strict repair a line's total is its price times its quantity."""
+    strict = silver.RunContext(as_of=AS_OF, load_ts=LOAD_TS, strict=True)
+    lines = silver.crm_sales(t.bronze["crm_sales_details"], strict)
+    return portable(lines.select("sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_sales", "sls_quantity", "sls_price"), 4)
+
+
+_WIDE_LINE = """CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 10000000000 AS DECIMAL(37,9)) AS price,
+    CAST(l_quantity * 10000000000 AS BIGINT) AS quantity"""
+
+
+@case(
+    "c9_c11_wide_amounts",
+    f"""SELECT l_orderkey, l_linenumber, CAST(price AS VARCHAR) AS price, quantity,
+               split_part(CAST(CAST(price AS DECIMAL(28,2)) * CAST(quantity / 10000000000 AS DECIMAL(9,0)) AS VARCHAR), '.', 1)
+                   || '0000000000' AS total
+        FROM (SELECT l_orderkey, l_linenumber, {_WIDE_LINE} FROM lineitem) AS wide""",
+)
+def c9_wide(t):
+    """Amounts of up to 26 digits, quantities of 12: the repaired total has every digit of them.
+
+    The oracle multiplies a quantity without its ten zeros and adds them as text.
+    """
+    wide = t.spark.sql("SELECT l_orderkey, l_linenumber, " + _WIDE_LINE + " FROM {lineitem}", lineitem=t.lineitem)
+    total = numbers.repair_sales(F.lit(None).cast(numbers.AMOUNT), F.col("quantity"), F.col("price"))
+    units = total.cast("decimal(28,0)").cast("string")  # prices are whole here
+    return wide.select("l_orderkey", "l_linenumber", F.col("price").cast("string").alias("price"), "quantity", units.alias("total"))
+
+
 @case(
     "c10_c12_total_repair",
     f"""SELECT unit_price, {sql.AT_LEAST_ONE} AS quantity,

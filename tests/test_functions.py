@@ -353,3 +353,28 @@ def test_first_generation_price_keeps_its_sign(evaluate):
     shown = lambda sign: [None if v is None else float(v) for v in evaluate(numbers.repair_price(price, *columns, keep_sign=sign), rows, "s string, q bigint, p string")]
     assert shown(True) == [2.5, -2.5, 3.0, None]
     assert shown(False) == [-2.5, -2.5, 3.0, None]
+
+
+@pytest.mark.parametrize(
+    "sales, quantity, price, expected",
+    [
+        ("10", 2, "0", ("10", 2, "5")),  # a zero price is the total spread over the quantity
+        ("-6", 2, "-3", ("6", 2, "3")),  # both negative
+        (None, None, "4", ("4", 1, "4")),
+        ("9", 0, "4", ("4", 1, "4")),
+        ("0", 0, None, ("0", 1, "0")),
+        (None, 3, None, (None, 3, None)),
+        (None, 3, "0", ("0", 3, "0")),
+        ("10", 3, None, ("9.999999999", 3, "3.333333333")),
+        ("1", -2, "7", ("14", 2, "7")),
+        (None, 10**18, "9" * 20, (None, 10**18, "9" * 20)),  # does not fit
+    ],
+)
+def test_strict_lines_agree_with_themselves(spark, sales, quantity, price, expected):
+    row = [(sales and Decimal(sales), quantity, price and Decimal(price))]
+    line = spark.createDataFrame(row, f"s {numbers.AMOUNT}, q bigint, p {numbers.AMOUNT}").select(
+        numbers.consistent_line(F.col("s"), F.col("q"), F.col("p")).alias("line")
+    ).first().line
+    assert tuple(line) == tuple(Decimal(v) if isinstance(v, str) else v for v in expected)
+    if line.sales is not None:
+        assert line.sales == line.price * line.quantity
