@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataline.llm.caches import in_worker
@@ -56,6 +56,28 @@ def seeds(words: np.ndarray, masks: list[tuple[int, ...]]) -> tuple[np.ndarray,
     return np.concatenate(found), np.concatenate([np.arange(len(f)) for f in found])
 
 
+def shared_diagonals(document: np.ndarray, item: np.ndarray, masks: list[tuple[int, ...]]) -> np.ndarray:
+    """The diagonals (document position less item position) on which some mask meets equal words.
+
+    Memory is a byte per word of both, however often the words repeat.
+    """
+    marks = np.zeros(len(document) + len(item) + 1, bool)
+    for mask in item_masks(masks, len(item)):
+        theirs = window_hashes(item, mask)
+        if not len(theirs):
+            continue
+        ours = window_hashes(document, mask)
+        order = np.argsort(theirs, kind="stable")
+        first = np.searchsorted(theirs[order], ours, side="left")
+        places = np.searchsorted(theirs[order], ours, side="right") - first
+        at, step = np.flatnonzero(places), 0
+        while len(at):
+            marks[at - order[first[at] + step] + len(item)] = True
+            step += 1
+            at = at[places[at] > step]
+    return np.flatnonzero(marks) - len(item)
+
+
 def overlap(document: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int]:
     """(start in the document, aligned words, equal words) of the longest stretch on a diagonal
     (document position less item position) of which MIN_EQUAL is equal; starts and ends equal."""
@@ -101,13 +123,10 @@ def _item_seeds(items: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
         for batch in batches:
             for item_id, data in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 words = np.frombuffer(data, np.uint64)
-                found, position = seeds(words, item_masks(masks, len(words)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.view(np.int64)), pa.array(position.astype(np.int32)), pa.array([item_id] * len(found), pa.int64())],
-                    names=["seed", "item_position", "item_id"],
-                )
+                found = np.unique(seeds(words, item_masks(masks, len(words)))[0]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array([item_id] * len(found), pa.int64())], names=["seed", "item_id"])
 
-    return items.mapInArrow(in_worker(seeded, "words"), "seed long, item_position int, item_id long").distinct()
+    return items.mapInArrow(in_worker(seeded, "words"), "seed long, item_id long").distinct()
 
 
 def _listed(item_seeds: DataFrame) -> np.ndarray | None:
@@ -156,9 +175,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_seeds = stored(_item_seeds(items, masks), "item-seeds")
     listed = _listed(item_seeds)
     packed = None if listed is None else spark.sparkContext.broadcast(listed)
-    schema = pa.schema(
-        [("row_key", pa.binary()), ("doc_id", pa.int64()), ("words", pa.binary()), ("seeds", pa.list_(pa.int64())), ("positions", pa.list_(pa.int32()))]
-    )
+    schema = pa.schema([("row_key", pa.binary()), ("doc_id", pa.int64()), ("words", pa.binary()), ("seeds", pa.list_(pa.int64()))])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if packed is None else SeedSet(packed.value)
@@ -181,46 +198,41 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             found = np.concatenate([h[1] for h in hits]).view(np.int64)
             owner = np.searchsorted(ends, at, side="right")
             order = np.argsort(owner, kind="stable")
-            at, found, owner = at[order], found[order], owner[order]
+            found, owner = found[order], owner[order]
             keys, doc_ids = batch[0].to_pylist(), batch[1].to_pylist()
             for d in np.unique(owner):
                 own = slice(*np.searchsorted(owner, [d, d + 1]))
-                first = int(ends[d] - sizes[d])
-                rows.append((keys[d], doc_ids[d], texts[d].tobytes(), found[own], (at[own] - first).astype(np.int32)))
+                rows.append((keys[d], doc_ids[d], texts[d].tobytes(), np.unique(found[own])))
             if rows:
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     rows = documents.select(row_key().alias("row_key"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    kind = "row_key binary, doc_id long, words binary, seeds array<long>, positions array<int>"
+    kind = "row_key binary, doc_id long, words binary, seeds array<long>"
     hits = stored(rows.mapInArrow(in_worker(search, "words"), kind), "seed-hits")
-    single = hits.select("row_key", F.explode(F.arrays_zip("seeds", "positions")).alias("hit"))
-    single = single.select("row_key", F.col("hit.seeds").alias("seed"), F.col("hit.positions").alias("position"))
-    # One row per document and item, with all diagonals that hit: neither text travels twice.
-    diagonals = (
-        single.join(item_seeds, "seed")
-        .groupBy("row_key", "item_id")
-        .agg(F.collect_set(F.col("position") - F.col("item_position")).alias("diagonals"))
-    )
+    # A pair of a document and an item is a candidate once, however many of its seeds it shares; where
+    # they lie is worked out again from the words of both, which travel once per pair.
+    single = hits.select("row_key", F.explode("seeds").alias("seed"))
+    candidates = single.join(item_seeds, "seed").select("row_key", "item_id").distinct()
     texts = hits.select("row_key", "doc_id", "words").groupBy("row_key").agg(F.first("doc_id").alias("doc_id"), F.first("words").alias("words"))
-    pairs = diagonals.join(items.withColumnRenamed("words", "item_words"), "item_id").join(texts, "row_key")
+    pairs = candidates.join(items.withColumnRenamed("words", "item_words"), "item_id").join(texts, "row_key")
     verified_schema = pa.schema([("row_key", pa.binary()), *((c, pa.int64()) for c in ("doc_id", "item_id", "start_word", "n_words", "n_equal"))])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for k in range(batch.num_rows):  # a row at a time: words and diagonals may be long
-                key, doc_id, item_id, places, words, item = (c[k] for c in batch.columns)
+            for k in range(batch.num_rows):  # a row at a time: words may be long
+                key, doc_id, item_id, words, item = (c[k] for c in batch.columns)
                 words, item = (np.frombuffer(w.as_py(), np.uint64) for w in (words, item))
-                tried = (overlap(words, item, d) for d in places.values.to_numpy().tolist())
-                start, n, equal = max(tried, key=lambda o: (o[1], o[2], -o[0]))
+                tried = (overlap(words, item, d) for d in shared_diagonals(words, item, masks).tolist())
+                start, n, equal = max(tried, key=lambda o: (o[1], o[2], -o[0]), default=(0, 0, 0))
                 if n >= min(MIN_WORDS, len(item)):
                     rows.append((key.as_py(), doc_id.as_py(), item_id.as_py(), start, n, equal))
             if rows:
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, verified_schema, strict=True)], schema=verified_schema)
 
-    pairs = pairs.select("row_key", "doc_id", "item_id", "diagonals", "words", "item_words")
+    pairs = pairs.select("row_key", "doc_id", "item_id", "words", "item_words")
     found = pairs.mapInArrow(in_worker(verify, "words"), "row_key binary, doc_id long, item_id long, start_word long, n_words long, n_equal long")
     best = F.max(F.struct("n_words", "n_equal", (-F.col("start_word")).alias("start"))).alias("best")
     found = found.groupBy("row_key", "doc_id", "item_id").agg(best)

@@ -86,10 +86,11 @@ def write_token_files(documents: DataFrame, tokenizer_path: str, end_id: int = 2
     """Encode every whole text, append the end id, and write shards in ascending doc_id order.
 
     Takes `doc_id` and `text`; other columns are not read. A null text counts as empty, null
-    ids come first, rows that share an id stay together in order of their text's hash (which
-    also splits an id that many rows share over several shards). An empty table gives no shard.
-    Shards are range partitions of (doc_id, hash of the text), as many as the session has
-    shuffle partitions; a task streams its rows and holds one batch.
+    ids come first, rows that share an id follow each other in order of their text's hash, equal
+    rows in any order. An empty table gives no shard. Shards are range partitions of (doc_id, hash
+    of the text, place in the input), as many as the session has shuffle partitions, so neither an
+    id nor a row that repeats very often fills one shard; a task streams its rows and holds one
+    batch.
     """
     spark = documents.sparkSession
     bounded_batches(spark)
@@ -133,10 +134,13 @@ def write_token_files(documents: DataFrame, tokenizer_path: str, end_id: int = 2
             [pa.array([v], f.type) for v, f in zip(row, MANIFEST_ARROW, strict=True)], schema=MANIFEST_ARROW
         )
 
-    order = F.xxhash64("text")
+    # Equal rows differ in their place in the input alone, which spreads them over shards as well.
+    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc(), F.col("at").asc()]
     rows = (
-        documents.repartitionByRange(F.col("doc_id").asc_nulls_first(), order.asc())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), order.asc())
+        documents.withColumn("at", F.monotonically_increasing_id())
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .select("doc_id", "text")
         .mapInArrow(in_worker(write, "tokens"), MANIFEST)
         .collect()  # one row per shard
     )
