@@ -73,7 +73,8 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = find_personal_data(table(spark, sf_dir, "documents"))
     count = lambda kind: F.regexp_count("base", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *(count(k) for k in KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+    n_spans = F.when(F.col("spans") == "", 0).otherwise(F.regexp_count("spans", F.lit(",")) + 1).cast("long").alias("n_spans")
+    return found.select("doc_id", *(count(k) for k in KINDS), F.sha2("base", 256).alias("base_sha256"), "spans", n_spans)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -357,6 +357,7 @@ def test_personal_data_edges(spark, edge, nothing, data_folder):
     for r in queries.op8_personal_data(spark, data_folder).join(spark.read.parquet(f"{data_folder}/documents.parquet"), "doc_id").collect():
         base = naive_base(r.text)
         assert r.base_sha256 == hashlib.sha256(pii.joined(base).encode()).hexdigest()
+        assert r.n_spans == len([x for x in r.spans.split(",") if x]) >= len(base)
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in pii.KINDS]
 
 
@@ -466,8 +467,11 @@ def test_registered_queries_have_the_contract_columns(spark, data_folder):
         "op4_toxicity": "doc_id held_out score predicted",
         "op6_near_embeddings": "vec_id n_links component_id kept",
         "op7_licenses": "doc_id n_words n_base first_word last_word base_labels labels score",
-        "op8_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+        "op8_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans n_spans",
         "op9_warc": "page_id payload_bytes payload_digest record_type refers_to",
+        "op11_divergence_audit": "lang source part item value rank",
+        "op12_url_filters": "page_id host path rule verdict",
+        "op13_target_resampling": "doc_id n_features weight score rank",
     }
     for name, expected in columns.items():
         assert queries.QUERIES[name](spark, data_folder).columns == expected.split()
