@@ -70,7 +70,7 @@ class ChunkEncoder:
         out: list[bytes] = []
         for k in range(0, len(chunks), 300):
             some = chunks[k : k + 300]
-            ids = np.array(self.tokenizer.encode("\n".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
             cuts = (4 * np.flatnonzero(ids == self.line_break)).tolist()
             if len(cuts) != len(some) - 1:
                 raise ValueError("a chunk holds a line break")
