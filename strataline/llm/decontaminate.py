@@ -174,11 +174,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     masks = masks_for([r[0] for r in short])  # under MIN_WORDS lengths
     item_seeds = stored(_item_seeds(items, masks), "item-seeds")
     listed = _listed(item_seeds)
-    packed = None if listed is None else spark.sparkContext.broadcast(listed)
     schema = pa.schema([("row_key", pa.binary()), ("doc_id", pa.int64()), ("words", pa.binary()), ("seeds", pa.list_(pa.int64()))])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None if packed is None else SeedSet(packed.value)
+        known = None if listed is None else SeedSet(listed)
         for batch in batches:
             rows = []
             texts = [word_hashes(t) for t in batch[2].to_pylist()]
@@ -242,7 +241,11 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `documents` that overlap with no benchmark item, with all their columns."""
+    """The rows of `documents` that overlap with no benchmark item, with all their columns.
+
+    Null, empty and wordless texts stay, repeated rows stay or go together; with an empty
+    benchmark all rows stay, and an empty table stays empty.
+    """
     key = row_key()
     name = free_name(documents, "row_key")
     found = contaminated(documents, benchmark).select(F.col("row_key").alias(name)).distinct()

@@ -422,7 +422,8 @@ def find_personal_data(documents: DataFrame, model: SemiMarkov | None = None) ->
 def redact(documents: DataFrame, model: SemiMarkov | None = None) -> DataFrame:
     """`documents` with every span of personal data in `text` replaced by its kind in brackets.
 
-    All columns stay; `n_chars`, if there is one, is counted anew. A null text stays null.
+    All columns stay; `n_chars`, if there is one, is counted anew. A null text stays null, an empty
+    one empty, repeated rows are replaced alike; an empty table stays empty.
     """
     bounded_batches(documents.sparkSession)
     weights = (model or trained_model(documents)).weights

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataline import session
+
 #: Rows in one Arrow batch; long texts would make the default of 10,000 rows too large.
 BATCH_ROWS = 512
 #: And bytes in one.
@@ -15,12 +17,9 @@ BATCH_BYTES = 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset, one beside the warehouse."""
-    setting = spark.conf.get("spark.checkpoint.dir", None)
-    if not setting:
-        setting = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-        spark.conf.set("spark.checkpoint.dir", setting)
-    return as_uri(setting)
+    """The folder in spark.checkpoint.dir; where that is unset, one beside the warehouse, unless
+    that is a folder of one machine on a cluster."""
+    return as_uri(session.shared_folder(spark))
 
 
 def as_uri(path: str) -> str:

@@ -172,25 +172,30 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, threshold: float = T
     other columns are not read; an empty table gives an empty result. One scan, no shuffle of
     texts; the model (2 MB) goes to every task.
     """
-    scored = with_scores(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), labels, rows, "score")
+    texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    scored = with_scores(texts, train(texts, labels, rows), "score")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = TRAINING_ROWS) -> DataFrame:
-    """The rows of `documents` that score below the threshold, with all their columns."""
+    """The rows of `documents` that score below the threshold, with all their columns.
+
+    Equal texts stay or go together, null and wordless ones by the score of no terms. Without
+    usable labels nothing can be told toxic, and all rows stay; an empty table stays empty.
+    """
+    machine = train(documents, labels, rows)
+    if machine.bias == 0 and not len(machine.weights):
+        return documents
     name = free_name(documents, "toxicity")
-    return with_scores(documents, labels, rows, name).where(F.col(name) < threshold).drop(name)
+    return with_scores(documents, machine, name).where(F.col(name) < threshold).drop(name)
 
 
-def with_scores(documents: DataFrame, labels: DataFrame, rows: int, name: str) -> DataFrame:
+def with_scores(documents: DataFrame, machine: FactorizationMachine, name: str) -> DataFrame:
     """`documents` with the score as a last column of this name."""
-    machine = train(documents, labels, rows)
-    packed = documents.sparkSession.sparkContext.broadcast(machine)
     at = documents.columns.index("text")
     kind = StructType([*documents.schema.fields, StructField(name, DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = packed.value
         terms = WordTerms(machine.column)
         for batch in batches:
             scores = [machine.score(terms.of(t)) for t in batch[at].to_pylist()]

@@ -164,7 +164,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_bytes: i
     least `revisit_bytes` bytes, those with the largest page_id are responses and the others
     revisit it; rows that repeat the largest id are responses too, and so are rows of a payload
     that has no id at all. A null id beside others revisits. Other columns are not read; an empty
-    table gives no archive. Equal payloads are found by SHA-1 and length: one narrow grouping
+    table gives no archive. Equal payloads are found by SHA-1: one narrow grouping
     with map-side combining, joined back on the digest, where adaptive execution splits a payload
     that a third of the pages share. One archive per partition.
     """

@@ -196,6 +196,7 @@ def test_toxicity_edges(spark, edge, nothing, labels):
     assert toxicity.score_toxicity(nothing, labels).count() == 0
     assert {r.score for r in toxicity.score_toxicity(edge, labels.limit(0)).collect()} == {0.5}
     assert toxicity.without_toxic(edge, labels).columns == edge.columns
+    assert toxicity.without_toxic(edge, labels.limit(0)).count() == len(EDGE)
 
 
 def test_toxicity_on_held_out_rows(spark, data_folder, labels):
