@@ -27,9 +27,10 @@ _FIXED_BYTES: dict[type[T.DataType], int] = {
 
 
 def is_narrow(df: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether a key is no wider than its fingerprint, so that nothing is gained by one."""
+    """Whether a key is at most twice as wide as its fingerprint: a second scan costs more than
+    the few bytes a row that one would save."""
     width = sum(_FIXED_BYTES.get(type(df.schema[k].dataType), 99) for k in keys)
-    return width <= 8
+    return width <= 16
 
 
 def _slots(fingerprint: Column, bits: int) -> list[Column]:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Smaller tables are one range.
-ROWS_PER_CUT = 50_000
+ROWS_PER_CUT = 1_000_000
 #: Ranges per shuffle partition, so that those dealt to one partition even out; and at most, as
 #: cut points are part of the plan.
 CUTS_PER_PARTITION, MOST_CUTS = 4, 1024
