@@ -13,7 +13,7 @@ from strataline.functions.numbers import safe_ratio
 from strataline.functions.text import as_column
 from strataline.operators.joins import exclude_loaded
 from strataline.quality.rules import TEST_CATEGORIES
-from strataline.sources.files import json_texts, typed_variant
+from strataline.sources.files import json_texts, typed_document
 from strataline.sources.schemas import DQ_LOG_DDL, schema
 from strataline.sources.snapshots import append_units, damaged_units, read_units, recorded_units
 from strataline.sources.tables import literal_table
@@ -89,11 +89,10 @@ def read_artifacts(
     """
     kind = schema(f"{ddl}, run_id string")
     texts = json_texts(spark, path, one_per_line)
-    value, fits = typed_variant(F.col("document"), kind)
     broken = F.raise_error(F.concat(F.lit("an artifact that does not fit: "), "file")).cast(kind)
     folder = [F.col("run_id").cast("string").alias("run")] if "run_id" in texts.columns else []
-    parsed = texts.select("file", *folder, F.try_parse_json("value").alias("document"))
-    whole = F.when(F.col("document").isNotNull() & fits, value).otherwise(broken)
+    parsed = texts.select("file", *folder, "value", F.try_parse_json("value").alias("document"))
+    whole = typed_document("value", F.col("document"), kind, broken)
     parsed = parsed.select(*(["run"] if folder else []), whole.alias("artifact"))
     run = F.coalesce("run", "artifact.run_id") if folder else F.col("artifact.run_id")
     shown = [F.col(f"artifact.{f.name}").alias(f.name) for f in kind.fields if f.name != "run_id"]

@@ -195,30 +195,86 @@ def _json_elements(
     return documents, listed, element, *typed_variant(F.col("e"), element)
 
 
-def typed_variant(value: Column, kind: T.DataType) -> tuple[Column, Column]:
-    """A variant as a declared type, and whether it fits: null where the declaration has a value
-    is fit, text in place of a number, or a fraction in place of a whole number, is not."""
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """An expression over a value that it uses more than once, and that is evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def read_variant(value: Column, kind: T.DataType) -> Column:
+    """A variant as a declared type, with whether it fits, as struct<value, fits>: null where the
+    declaration has a value is fit, text in place of a number, or a fraction in place of a whole
+    number, is not. Each level is taken apart once; ``value`` itself should be a plain column."""
     absent = value.isNull() | F.is_variant_null(value)
+
+    def part(typed: T.DataType) -> str:
+        return "string" if isinstance(typed, T.StringType) else "variant"  # any value has a text
+
+    def pair(shown: Column, fits: Column) -> Column:
+        return F.struct(shown.alias("value"), (absent | fits).alias("fits"))
+
     if isinstance(kind, T.StructType):
-        # Asking for the fields' types would read text as an object; a map takes objects only.
-        is_object = F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
-        parts = {f.name: typed_variant(F.try_variant_get(value, f'$["{f.name}"]', "variant"), f.dataType) for f in kind.fields}
-        fits = reduce(Column.__and__, [fit for _, fit in parts.values()], is_object)
-        return F.when(~absent, F.struct(*[v.alias(n) for n, (v, _) in parts.items()])), absent | fits
+        taken = F.try_variant_get(value, "$", f"struct<{','.join(f'`{f.name}`:{part(f.dataType)}' for f in kind.fields)}>")
+        nested = [f for f in kind.fields if part(f.dataType) == "variant"]
+
+        def whole(row: Column, parts: Column | None) -> Column:
+            shown = [(parts[f.name]["value"] if f in nested else row[f.name]).alias(f.name) for f in kind.fields]
+            fits = reduce(Column.__and__, [parts[f.name]["fits"] for f in nested], row.isNotNull())
+            return pair(F.when(row.isNotNull(), F.struct(*shown)), fits)
+
+        def read(row: Column) -> Column:
+            if not nested:
+                return whole(row, None)
+            parts = F.struct(*[read_variant(row[f.name], f.dataType).alias(f.name) for f in nested])
+            return bound(parts, lambda p: whole(row, p))
+
+        return bound(taken, read)
     if isinstance(kind, T.ArrayType):
-        items = F.try_variant_get(value, "$", _ELEMENTS)
-        typed = F.transform(items, lambda e: typed_variant(e, kind.elementType)[0])
-        return typed, absent | (items.isNotNull() & F.forall(items, lambda e: typed_variant(e, kind.elementType)[1]))
+        items = F.try_variant_get(value, "$", f"array<{part(kind.elementType)}>")
+        if part(kind.elementType) == "string":
+            return bound(items, lambda i: pair(i, i.isNotNull()))
+        pairs = F.transform(items, lambda e: read_variant(e, kind.elementType))
+        return bound(pairs, lambda p: pair(F.transform(p, lambda e: e["value"]), p.isNotNull() & F.forall(p, lambda e: e["fits"])))
     if isinstance(kind, T.MapType):
-        entries = F.try_variant_get(value, "$", "map<string,variant>")
-        typed = F.transform_values(entries, lambda _, e: typed_variant(e, kind.valueType)[0])
-        every = F.forall(F.map_values(entries), lambda e: typed_variant(e, kind.valueType)[1])
-        return typed, absent | (entries.isNotNull() & every)
+        entries = F.try_variant_get(value, "$", f"map<string,{part(kind.valueType)}>")
+        if part(kind.valueType) == "string":
+            return bound(entries, lambda e: pair(e, e.isNotNull()))
+        pairs = F.transform_values(entries, lambda _, e: read_variant(e, kind.valueType))
+        every = lambda p: F.forall(F.map_values(p), lambda e: e["fits"])
+        return bound(pairs, lambda p: pair(F.transform_values(p, lambda _, e: e["value"]), p.isNotNull() & every(p)))
     typed = F.try_variant_get(value, "$", kind.simpleString())
     fits = typed.isNotNull()
     if isinstance(kind, T.IntegralType):
         fits = fits & (typed == F.try_variant_get(value, "$", "decimal(38,9)")) & ~F.schema_of_variant(value).isin("STRING", "BOOLEAN")
-    return F.when(fits, typed), absent | fits
+    return pair(F.when(fits, typed), fits)
+
+
+def plainly_fits(text: Column | str, kind: T.StructType) -> Column:
+    """Whether Spark's JSON parser finds every object, array and whole number of the declared type in
+    its place. True is certain, except that it does not look for repeated names; false is not:
+    :func:`read_variant` also takes 2.0 for a whole number."""
+    corrupt = "_corrupt_record"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    read = F.from_json(text, T.StructType([*kind.fields, T.StructField(corrupt, T.StringType())]), options)
+    return read.isNotNull() & read[corrupt].isNull()
+
+
+def typed_document(text: Column | str, document: Column, kind: T.StructType, broken: Column) -> Column:
+    """A parsed document as a declared type, or ``broken`` if it is none or does not fit.
+
+    Documents that plainly fit are cast as a whole; only others are taken apart level by level.
+    """
+    checked = lambda r: F.when(r["fits"], r["value"]).otherwise(broken)
+    return (
+        F.when(document.isNull(), broken)
+        .when(plainly_fits(text, kind), F.try_variant_get(document, "$", kind.simpleString()))
+        .otherwise(bound(read_variant(document, kind), checked))
+    )
+
+
+def typed_variant(value: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """The two parts of :func:`read_variant`, for where only one of them is used."""
+    both = read_variant(value, kind)
+    return both["value"], both["fits"]
 
 
 def elements(documents: DataFrame, main_tag: str) -> DataFrame:

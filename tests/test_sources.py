@@ -4,11 +4,14 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from strataline import session
 from strataline.plans import warehouse
 from strataline.plans.silver import RunContext
+from strataline.quality import log
 from strataline.sources import files, schemas, tables
+from strataline.sources.schemas import schema
 from strataline.workloads.registry import CTX, Inputs
 
 
@@ -210,3 +213,27 @@ def test_nested_lines_are_checked_too(spark, tmp_path):
     kept = files.scan_feed(spark, "order", path, one_per_line=True, fail_fast=False)
     assert [tuple(r) for r in kept.collect()] == [(6, 3, 1, 2.0, 3, 6.0)]
     assert files.feed_rejects(spark, "order", path, one_per_line=True).count() == 1
+
+
+def test_artifact_documents_are_taken_apart_once_a_level(spark):
+    kind = schema(f"{log.RUN_RESULTS_DDL}, run_id string")
+    fits = {
+        '{"results":[{"unique_id":"u","failures":2},null,{}],"run_id":7}': [2, None, None],
+        '{"results":[{"failures":2.0}]}': [2],
+        '{"results":[{"failures":"3"}]}': "broken",
+        '{"results":[{"failures":1.5}]}': "broken",
+        '{"results":{}}': "broken",
+        '{"run_id":"a","run_id":"b"}': "broken",
+        '[]': "broken",
+        "no document": "broken",
+    }
+    rows = spark.createDataFrame([(text,) for text in fits], "value string").withColumn("document", F.try_parse_json("value"))
+    broken = F.struct(F.lit(None).cast(kind["results"].dataType).alias("results"), F.lit("broken").alias("run_id"))
+    read = rows.select("value", files.typed_document("value", F.col("document"), kind, broken).alias("d"))
+    found = {
+        r.value: "broken" if r.d.run_id == "broken" else [None if e is None else e.failures for e in r.d.results]
+        for r in read.collect()
+    }
+    assert found == fits
+    # The nested shape of a manifest once repeated its parts a thousand times over.
+    assert str(files.typed_variant(F.col("document"), schema(log.MANIFEST_DDL))[1]).count("try_variant_get") < 60
