@@ -93,10 +93,10 @@ def read_artifacts(
     folder = [F.col("run_id").cast("string").alias("run")] if "run_id" in texts.columns else []
     parsed = texts.select("file", *folder, "value", F.try_parse_json("value").alias("document"))
     whole = typed_document("value", F.col("document"), kind, broken)
-    parsed = parsed.select(*(["run"] if folder else []), whole.alias("artifact"))
-    run = F.coalesce("run", "artifact.run_id") if folder else F.col("artifact.run_id")
-    shown = [F.col(f"artifact.{f.name}").alias(f.name) for f in kind.fields if f.name != "run_id"]
-    return parsed.select(*shown, run.alias("run_id"))
+    # A generator, as a filter on a column would be pushed below a projection and read each document again.
+    parsed = parsed.select(*(["run"] if folder else []), F.inline(F.array(whole)))
+    run = F.coalesce("run", "run_id") if folder else F.col("run_id")
+    return parsed.select(*[f.name for f in kind.fields if f.name != "run_id"], run.alias("run_id"))
 
 
 def parse_artifacts(
