@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataline.functions import codes, dates, keys
 from strataline.operators.conform import union_sources
@@ -200,29 +202,43 @@ def sales_fact(
     ctx: RunContext,
     labels: Labels = CURRENT_LABELS,
     dense: bool = False,
+    product_columns: Sequence[str] = (),
+    customer_columns: Sequence[str] = (),
 ) -> DataFrame:
     """Order lines with the keys of both dimensions.
 
     Customers and API products are found by the raw id the dimensions carry, so the
     join keys are plain columns instead of text surgery on the prefixed ids. A CRM
     line finds its product by number in whatever source offers it.
+
+    Lines travel with the short raw ids; the hashed keys, which do not compress, are made of
+    them at the end. With ``product_columns`` and ``customer_columns`` the lines also carry
+    those columns, as if the fact were joined with the dimensions by their keys: the dimensions
+    are joined with themselves, and the lines are shuffled no further.
     """
-    buyers = customers.select(
-        F.col(RAW_ID).alias("_buyer"), "customer_key", F.col("data_source").alias("_buyer_source")
-    )
-    crm_buyers = buyers.filter(F.col("_buyer_source") == labels.crm)
-    api_buyers = buyers.filter(F.col("_buyer_source") == labels.api)
-    by_number = products.select(F.col("product_number").alias("_number"), "product_key")
-    api_goods = products.filter(F.col("data_source") == labels.api).select(
-        F.col(RAW_ID).alias("_goods"), "product_key"
-    )
+
+    def found(dimension: DataFrame, key: str, shown: str, name: str, columns: Sequence[str]) -> DataFrame:
+        made_of = [] if dense else [F.col(RAW_ID).alias(f"_{key}_id"), F.col("data_source").alias(f"_{key}_source")]
+        rows = dimension.select(F.col(shown).alias(name), key, *made_of)
+        joined = rows.join(dimension.select(key, *columns), key) if columns else rows
+        return joined if dense else joined.drop(key)
+
+    def key_of(key: str) -> Column:
+        return F.col(key) if dense else keys.surrogate_key(f"_{key}_id", f"_{key}_source").alias(key)
+
+    def buyers(source: str) -> DataFrame:
+        return found(customers.filter(F.col("data_source") == source), "customer_key", RAW_ID, "_buyer", customer_columns)
+
+    by_number = found(products, "product_key", "product_number", "_number", product_columns)
+    api_goods = found(products.filter(F.col("data_source") == labels.api), "product_key", RAW_ID, "_goods", product_columns)
+    attached = [*product_columns, *customer_columns]
     csv_part = (
         crm_sales.join(by_number, F.col("sls_prd_key") == F.col("_number"))
-        .join(crm_buyers, F.col("sls_cust_id").cast("string") == F.col("_buyer"))
+        .join(buyers(labels.crm), F.col("sls_cust_id").cast("string") == F.col("_buyer"))
         .select(
             F.replace("sls_ord_num", F.lit("SO"), F.lit("")).alias("order_number"),
-            "product_key",
-            "customer_key",
+            key_of("product_key"),
+            key_of("customer_key"),
             F.col("sls_order_dt").alias("order_date"),
             F.col("sls_ship_dt").alias("shipping_date"),
             F.col("sls_due_dt").alias("due_date"),
@@ -230,23 +246,27 @@ def sales_fact(
             F.col("sls_quantity").alias("quantity"),
             F.col("sls_price").alias("unit_price"),
             F.lit(labels.crm).alias("data_source"),
+            *attached,
         )
     )
     api_part = (
         api_orders.join(api_goods, F.col("prd_id").cast("string") == F.col("_goods"))
-        .join(api_buyers, F.col("cust_id").cast("string") == F.col("_buyer"))
+        .join(buyers(labels.api), F.col("cust_id").cast("string") == F.col("_buyer"))
         .select(
             F.col("id").alias("order_number"),
-            "product_key",
-            "customer_key",
+            key_of("product_key"),
+            key_of("customer_key"),
             F.to_date("dwh_create_date").alias("order_date"),
             F.col("total_price").alias("total_sales_amount"),
             "quantity",
             "unit_price",
             F.lit(labels.api).alias("data_source"),
+            *attached,
         )
     )
-    parts = union_sources([csv_part, api_part], _sales_parts("bigint" if dense else "string"))
+    shape = _sales_parts("bigint" if dense else "string")
+    extra = [*(products.schema[c] for c in product_columns), *(customers.schema[c] for c in customer_columns)]
+    parts = union_sources([csv_part, api_part], T.StructType([*shape.fields, *extra]))
     if dense:
         ties = [c for c in parts.columns if c != "data_source"]
         order = [F.col("order_number").try_cast("bigint"), F.col("data_source")]
@@ -268,4 +288,5 @@ def sales_fact(
         "quantity",
         "unit_price",
         "data_source",
+        *attached,
     )

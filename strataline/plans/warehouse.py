@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,6 +103,7 @@ class Star:
         self._labels = gold.labels_for(ctx)
         self._store = store or _planned
         self._store_late = store_late or _planned
+        self._stored_late = False
 
     @cached_property
     def keyed_customers(self) -> DataFrame:
@@ -137,8 +138,14 @@ class Star:
 
     @cached_property
     def sales(self) -> DataFrame:
-        self.keyed_customers = self._store_late(self.keyed_customers, "dim_customers_keyed")
-        self.keyed_products = self._store_late(self.keyed_products, "dim_products_keyed")
+        return self.sales_with()
+
+    def sales_with(self, product_columns: Sequence[str] = (), customer_columns: Sequence[str] = ()) -> DataFrame:
+        """The fact joined with columns of its dimensions, at no shuffle of the fact more."""
+        if not self._stored_late:
+            self.keyed_customers = self._store_late(self.keyed_customers, "dim_customers_keyed")
+            self.keyed_products = self._store_late(self.keyed_products, "dim_products_keyed")
+            self._stored_late = True
         return gold.sales_fact(
             self._stage["stg_crm__sales_details"],
             self._stage[API_ORDERS],
@@ -147,6 +154,8 @@ class Star:
             self._ctx,
             self._labels,
             self._dense,
+            product_columns,
+            customer_columns,
         )
 
 

@@ -277,10 +277,8 @@ def j4(t):
        GROUP BY c.country, p.category""",
 )
 def j5(t):
-    lines = t.star.sales.select("product_key", "customer_key", "quantity")
-    joined = lines.join(t.star.products.select("product_key", "category"), "product_key").join(
-        t.star.customers.select("customer_key", "country"), "customer_key"
-    )
+    """Each line is joined with both dimensions while the fact finds its keys there."""
+    joined = t.star.sales_with(["category"], ["country"])
     return joined.groupBy("country", "category").agg(
         F.count(F.lit(1)).alias("line_count"), F.sum("quantity").alias("quantity")
     )

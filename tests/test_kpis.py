@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from strataline.plans import kpis
-from strataline.workloads.registry import Inputs
+from strataline.plans import kpis, warehouse
+from strataline.workloads.registry import CTX, Inputs
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +54,18 @@ def test_figures_of_no_sales(star):
     sales, products, customers = star
     found = kpis.all_sales_figures(sales.limit(0), products, customers).collect()
     assert {r.kpi for r in found} <= {"total_sales", "total_orders", "avg_order_value", "min_ship_lag", "avg_ship_lag", "max_ship_lag"}
+
+
+def test_lines_carry_dimension_columns_as_if_joined(spark, data_folder):
+    """Also where customers and products repeat."""
+    inputs = Inputs(spark, data_folder)
+    feeds = inputs.clean_silver
+    twice = {n: feeds[n].unionByName(feeds[n].limit(50)) if n in ("stg_crm__cust_info", "stg_djapi__product") else feeds[n] for n in feeds}
+    star = warehouse.Star(twice, CTX, store_late=inputs.stored)
+    carried = star.sales_with(["category"], ["country"])
+    plain = star.sales.join(star.products.select("product_key", "category"), "product_key")
+    plain = plain.join(star.customers.select("customer_key", "country"), "customer_key").select(*carried.columns)
+    assert carried.exceptAll(plain).count() == plain.exceptAll(carried).count() == 0
+    assert carried.count() > star.sales.count()
+    # Lines that need no hashed key are not given one.
+    assert "md5" not in carried.select("category", "country", "quantity")._jdf.queryExecution().optimizedPlan().toString()
