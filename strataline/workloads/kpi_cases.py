@@ -138,7 +138,8 @@ def q11(t):
        WHERE place = 1 AND lower(country) <> 'n/a'""",
 )
 def q12(t):
-    return kpis.favourite_category_by_country(t.star.sales, t.star.products, t.star.customers)
+    lines = t.star.sales_with(["category"], ["country"])
+    return kpis.favourite_category_by_country(lines, t.star.products, t.star.customers)
 
 
 @case(
