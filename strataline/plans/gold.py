@@ -202,8 +202,8 @@ def sales_fact(
     ctx: RunContext,
     labels: Labels = CURRENT_LABELS,
     dense: bool = False,
-    product_columns: Sequence[str] = (),
-    customer_columns: Sequence[str] = (),
+    product_columns: Sequence[str] | DataFrame = (),
+    customer_columns: Sequence[str] | DataFrame = (),
 ) -> DataFrame:
     """Order lines with the keys of both dimensions.
 
@@ -214,15 +214,24 @@ def sales_fact(
     Lines travel with the short raw ids; the hashed keys, which do not compress, are made of
     them at the end. With ``product_columns`` and ``customer_columns`` the lines also carry
     those columns, as if the fact were joined with the dimensions by their keys: the dimensions
-    are joined with themselves, and the lines are shuffled no further.
+    are joined with themselves, and the lines are shuffled no further. A table with one row per
+    key may be given instead of names: its columns are added, and no line repeats or is lost.
     """
 
-    def found(dimension: DataFrame, key: str, shown: str, name: str, columns: Sequence[str]) -> DataFrame:
+    def found(dimension: DataFrame, key: str, shown: str, name: str, columns: Sequence[str] | DataFrame) -> DataFrame:
         made_of = [] if dense else [F.col(RAW_ID).alias(f"_{key}_id"), F.col("data_source").alias(f"_{key}_source")]
-        rows = dimension.select(F.col(shown).alias(name), key, *made_of)
-        joined = rows.join(dimension.select(key, *columns), key) if columns else rows
+        joined = dimension.select(F.col(shown).alias(name), key, *made_of)
+        if isinstance(columns, DataFrame):
+            joined = joined.join(columns, key, "left")
+        elif columns:
+            joined = joined.join(dimension.select(key, *columns), key)
         return joined if dense else joined.drop(key)
 
+    def added(dimension: DataFrame, key: str, columns: Sequence[str] | DataFrame) -> list[T.StructField]:
+        if isinstance(columns, DataFrame):
+            return [f for f in columns.schema.fields if f.name != key]
+        return [dimension.schema[c] for c in columns]
+
     def key_of(key: str) -> Column:
         return F.col(key) if dense else keys.surrogate_key(f"_{key}_id", f"_{key}_source").alias(key)
 
@@ -231,7 +240,8 @@ def sales_fact(
 
     by_number = found(products, "product_key", "product_number", "_number", product_columns)
     api_goods = found(products.filter(F.col("data_source") == labels.api), "product_key", RAW_ID, "_goods", product_columns)
-    attached = [*product_columns, *customer_columns]
+    extra = [*added(products, "product_key", product_columns), *added(customers, "customer_key", customer_columns)]
+    attached = [f.name for f in extra]
     csv_part = (
         crm_sales.join(by_number, F.col("sls_prd_key") == F.col("_number"))
         .join(buyers(labels.crm), F.col("sls_cust_id").cast("string") == F.col("_buyer"))
@@ -265,7 +275,6 @@ def sales_fact(
         )
     )
     shape = _sales_parts("bigint" if dense else "string")
-    extra = [*(products.schema[c] for c in product_columns), *(customers.schema[c] for c in customer_columns)]
     parts = union_sources([csv_part, api_part], T.StructType([*shape.fields, *extra]))
     if dense:
         ties = [c for c in parts.columns if c != "data_source"]

@@ -262,28 +262,48 @@ def sales_by_source(sales: DataFrame) -> DataFrame:
 
 # All sales figures at once
 
-# Grains by the keys they group by; "order" is only counted.
-_GRAINS = {
-    "total": (),
-    "order_month": ("order_month",),
-    "ship_month": ("ship_month",),
-    "product": ("product_key", "data_source"),
-    "customer": ("customer_key", "data_source"),
-    "source": ("data_source",),
-    "order": ("order_number",),
-}
-_GRAIN_KEYS = tuple(dict.fromkeys(k for keys in _GRAINS.values() for k in keys))
+#: Columns of lines that carry the known values of their dimensions, as :func:`known_values` gives them.
+CATEGORIES, COUNTRIES = "categories", "countries"
+
+
+def known_values(dimension: DataFrame, key: str, attribute: str, name: str) -> DataFrame:
+    """One row per key: (value, n) of each known value of the attribute, n being its rows.
+
+    Lines that carry this column can be added up as if joined with the dimension, without
+    repeating a line whose key repeats there.
+    """
+    counted = dimension.filter(is_known(attribute)).groupBy(key, F.col(attribute).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("value", "n"))).alias(name))
+
+
+def _grains(sales: DataFrame) -> dict[str, tuple[str, ...]]:
+    """Grains by the keys they group by; "order" is only counted."""
+    product = CATEGORIES if CATEGORIES in sales.columns else "product_key"
+    customer = COUNTRIES if COUNTRIES in sales.columns else "customer_key"
+    return {
+        "total": (),
+        "order_month": ("order_month",),
+        "ship_month": ("ship_month",),
+        "product": (product, "data_source"),
+        "customer": (customer, "data_source"),
+        "source": ("data_source",),
+        "order": ("order_number",),
+    }
 
 
 def sales_grains(sales: DataFrame) -> DataFrame:
     """One row per group of every grain of the sales figures, from one scan of the fact.
 
-    Each line is expanded into the grains and aggregated once, map-side first. Orders, as many
-    as there are, are only counted: a second aggregation makes one row of them.
+    Each line is expanded into the grains and aggregated once, map-side first. Lines that carry
+    categories and countries are grouped by these, of which each task sends few, others by the
+    keys of products and customers. Orders, as many as there are, are only counted: a second
+    aggregation makes one row of them.
     """
+    grains = _grains(sales)
+    grain_keys = tuple(dict.fromkeys(k for keys in grains.values() for k in keys))
     lag = F.when(F.col("order_date").isNotNull() & F.col("shipping_date").isNotNull(), ship_lag())
     lines = sales.select(
-        *[c for c in _GRAIN_KEYS if c in sales.columns],
+        *[c for c in grain_keys if c in sales.columns],
         dates.month_label("order_date").alias("order_month"),
         dates.month_label("shipping_date").alias("ship_month"),
         "total_sales_amount",
@@ -291,15 +311,15 @@ def sales_grains(sales: DataFrame) -> DataFrame:
     )
     # grouping_id has a bit per key, the first key's the highest, set where the grain drops it.
     ids = {
-        sum(1 << i for i, key in enumerate(reversed(_GRAIN_KEYS)) if key not in keys): grain
-        for grain, keys in _GRAINS.items()
+        sum(1 << i for i, key in enumerate(reversed(grain_keys)) if key not in keys): grain
+        for grain, keys in grains.items()
     }
     grain = F.lit(None).cast("string")
     for number, name in ids.items():
         grain = F.when(F.col("_id") == number, name).otherwise(grain)
     amount = F.col("total_sales_amount")
     grouped = (
-        lines.groupingSets([list(keys) for keys in _GRAINS.values()], *_GRAIN_KEYS)
+        lines.groupingSets([list(keys) for keys in grains.values()], *grain_keys)
         .agg(
             F.grouping_id().alias("_id"),
             F.sum(amount).alias("total_sales"),
@@ -314,7 +334,7 @@ def sales_grains(sales: DataFrame) -> DataFrame:
     )
     is_order = F.col("grain") == "order"
     orders = F.count(F.when(is_order & F.col("order_number").isNotNull(), 1)).alias("order_count")
-    kept = [k for k in _GRAIN_KEYS if k != "order_number"]
+    kept = [k for k in grain_keys if k != "order_number"]
     figures = ["total_sales", "mean_sales", "line_count", "lag_sum", "lag_count", "lag_min", "lag_max"]
     return grouped.groupBy("grain", *kept).agg(
         orders, *[F.max(F.when(~is_order, F.col(c))).alias(c) for c in figures]
@@ -327,7 +347,7 @@ def all_sales_figures(
     """The eleven sales figures as one table: (kpi, item, data_source, amount, whole).
 
     The grains are stored once, small as they are; every figure is read from them, the ones by
-    category and country through the dimension of their key.
+    category and country through the dimension of their key, unless the lines carry these.
     """
     grains = stored_once(sales_grains(sales), "sales_grains")
 
@@ -347,15 +367,19 @@ def all_sales_figures(
             cell(whole, "bigint").alias("whole"),
         )
 
-    def through(grain: str, dimension: DataFrame, key: str, attribute: str) -> DataFrame:
-        known = dimension.filter(is_known(attribute)).select(key, attribute)
-        joined = of(grain).select(key, "data_source", "total_sales").join(known, key)
+    def through(grain: str, dimension: DataFrame, key: str, attribute: str, carried: str) -> DataFrame:
+        if carried in grains.columns:
+            each = of(grain).select("data_source", "total_sales", F.inline(carried).alias(attribute, "n"))
+            joined = each.withColumn("total_sales", F.col("total_sales") * F.col("n"))
+        else:
+            known = dimension.filter(is_known(attribute)).select(key, attribute)
+            joined = of(grain).select(key, "data_source", "total_sales").join(known, key)
         return joined.groupBy(attribute, "data_source").agg(F.sum("total_sales").alias("total_sales"))
 
     total = of("total")
     order = [F.col("total_sales").desc(), F.col("category"), F.col("data_source")]
-    best = top_rows(through("product", products, "product_key", "category"), limit, order)
-    by_country = through("customer", customers, "customer_key", "country")
+    best = top_rows(through("product", products, "product_key", "category", CATEGORIES), limit, order)
+    by_country = through("customer", customers, "customer_key", "country", COUNTRIES)
     parts = [
         shown(total, "total_sales", value=amount),
         shown(of("order"), "total_orders", whole=F.col("order_count")),

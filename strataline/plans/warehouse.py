@@ -140,12 +140,20 @@ class Star:
     def sales(self) -> DataFrame:
         return self.sales_with()
 
-    def sales_with(self, product_columns: Sequence[str] = (), customer_columns: Sequence[str] = ()) -> DataFrame:
-        """The fact joined with columns of its dimensions, at no shuffle of the fact more."""
+    def store_dimensions(self) -> Star:
+        """Store the dimensions that the fact would store, for readers that come before it."""
         if not self._stored_late:
             self.keyed_customers = self._store_late(self.keyed_customers, "dim_customers_keyed")
             self.keyed_products = self._store_late(self.keyed_products, "dim_products_keyed")
             self._stored_late = True
+        return self
+
+    def sales_with(
+        self, product_columns: Sequence[str] | DataFrame = (), customer_columns: Sequence[str] | DataFrame = ()
+    ) -> DataFrame:
+        """The fact joined with columns of its dimensions, or with tables of one row per key, at no
+        shuffle of the fact more."""
+        self.store_dimensions()
         return gold.sales_fact(
             self._stage["stg_crm__sales_details"],
             self._stage[API_ORDERS],
