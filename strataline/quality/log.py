@@ -111,6 +111,9 @@ def parse_artifacts(
     results, ``runs`` run_id, run_started_at, run_finished_at and trigger_type. Nodes
     and results are exploded and joined on (run, node), so any number of runs is
     handled at once. The model of a test is the first node it depends on.
+
+    Spark takes exploded rows to be as large as the documents' files and would broadcast them, so
+    these joins are asked to sort and merge.
     """
     nodes = manifests.select(
         "run_id",
@@ -134,8 +137,8 @@ def parse_artifacts(
     )
     recognised = tests.join(category_table(manifests.sparkSession), "test_name")
     parsed = (
-        outcomes.join(recognised, ["run_id", "unique_id"])
-        .join(names, ["run_id", "model_id"], "left")
+        outcomes.join(recognised.hint("merge"), ["run_id", "unique_id"])
+        .join(names.hint("merge"), ["run_id", "model_id"], "left")
         .join(runs, "run_id", "left")
         .withColumn("evaluated_rows", F.lit(None).cast("bigint"))
         .withColumn("is_backfilled", F.lit(is_backfilled))

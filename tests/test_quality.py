@@ -193,6 +193,15 @@ def test_artifacts_give_one_row_per_known_test(spark, artifacts):
     ]
 
 
+def test_exploded_artifacts_are_not_broadcast(spark, artifacts):
+    """However small Spark takes them to be: only the names of the categories are."""
+    manifests, results = artifacts
+    runs = spark.createDataFrame([("1", "", "", "")], "run_id string, run_started_at string, run_finished_at string, trigger_type string")
+    plan = log.parse_artifacts(manifests, results, runs)._jdf.queryExecution().sparkPlan().toString()
+    merged = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert sum("unique_id" in line for line in merged) == sum("model_id" in line for line in merged) == 1
+
+
 def test_every_category_is_known_with_and_without_package(spark):
     known = {r.test_name: r.test_category for r in log.category_table(spark).collect()}
     for name, category in rules.TEST_CATEGORIES.items():
