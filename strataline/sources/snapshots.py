@@ -79,9 +79,13 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def write_once(df: DataFrame, path: str, order: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
-    """Write to a folder that does not exist yet."""
+    """Write to a folder that does not exist yet.
+
+    Zstandard also shortens hashed keys: their hex digits, which repeat no longer text, are stored in
+    full by the default codec.
+    """
     ordered = df.sortWithinPartitions(*order) if order else df
-    ordered.write.partitionBy(*partition_by).parquet(path)
+    ordered.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
 
 
 def stored_once(df: DataFrame, name: str) -> DataFrame:

@@ -169,3 +169,12 @@ def test_stored_log_has_the_declared_columns(spark, run_log, tmp_path):
     path = str(tmp_path / "log")
     log.append_log(run_log("run-1"), path)
     assert log.read_log(spark, path).drop(log.RUN_DAY).schema.simpleString() == schema(schemas.DQ_LOG_DDL).simpleString()
+
+
+def test_stored_hashed_keys_take_less_than_their_text(spark, tmp_path):
+    """32 hex digits hold 16 bytes."""
+    path = str(tmp_path / "keys")
+    keys = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("key"))
+    snapshots.write_once(keys, path)
+    assert sum(f.stat().st_size for f in (tmp_path / "keys").glob("*.parquet")) < 20_000 * 24
+    assert spark.read.parquet(path).exceptAll(keys).count() == 0
