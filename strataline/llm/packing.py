@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strataline.llm.caches import in_worker
 from strataline.llm.storage import bounded_batches
-from strataline.llm.tokenization import encoder
+from strataline.llm.tokenization import encoder, in_groups
 
 #: Tokens in a sequence.
 CAPACITY = 2048
@@ -158,7 +158,7 @@ def pack_documents(
             waiting.clear()
             waiting_tokens = 0
 
-        for batch in batches:
+        for batch in in_groups(batches):
             for doc_id, ids in zip(batch[0].to_pylist(), tokens.encode(batch[1].to_pylist()), strict=True):
                 ids += end
                 n = len(ids) // 4

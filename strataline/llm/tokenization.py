@@ -12,8 +12,11 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from strataline.llm.caches import remembers
 
@@ -23,14 +26,26 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CACHE_ENTRIES = {"spaces_dropped": 600_000, "space_leads": 400_000}
 #: Chunks longer than this are encoded whenever they occur and are not kept.
 CACHED_CHARS = 64
-#: Texts are encoded in groups of about so many characters.
-GROUP_CHARS = 2_000_000
-
-#: Lower-case Latin-1 letters, then ASCII marks other than the apostrophe of contractions.
-_MARKS_AFTER = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
+#: Texts are encoded in groups of about so many characters; what a group repeats is looked up once.
+GROUP_CHARS = 4_000_000
+
+#: ASCII marks other than the apostrophe of contractions. Behind a letter they start a new piece.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Latin-1 letters that are a piece of their own: only lower-case ones where a vocabulary may lower
+#: them, and perhaps behind a line break where that is part of a chunk.
+_LETTERS = {
+    "spaces_dropped": re.compile(r"[a-zß-öø-ÿ]+").fullmatch,
+    "space_leads": re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch,
+}
+#: Distinct runs of marks that are remembered.
+MARK_ENTRIES = 10_000
 _AFTER_SPACE = re.compile(r" (?=\S)")
 
 
+#: What the cache answers for chunks that it does not have; None is an answer.
+_UNKNOWN = object()
+
+
 class ChunkEncoder:
     """Encodes texts to bytes of ids, the same ids as one `encode` of the whole text.
 
@@ -44,6 +59,7 @@ class ChunkEncoder:
     def __init__(self, path: str, style: str) -> None:
         import public_tokenizers
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         if style not in ("spaces_dropped", "space_leads"):
             raise ValueError(f"unknown style: {style}")
@@ -54,8 +70,21 @@ class ChunkEncoder:
         self.lowers = self.tokenizer.encode("ABC", add_special_tokens=False).ids == self.tokenizer.encode("abc", add_special_tokens=False).ids
         self.known: dict[str, bytes | None] = {}
         self.older: dict[str, bytes | None] = {}
+        self.marks: dict[str, bytes] = {}
         self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1:]
         self.line_break = self.line_break[0] if self.line_break else None
+        # A run of letters is one piece, which the model takes without the steps before it, as
+        # long as those do no more than spell letters and the space as the byte alphabet does.
+        self.model = self.tokenizer.model
+        bytes_of = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        letters = [c for c in map(chr, range(0x41, 0x100)) if _LETTERS[style](c)]
+        self.spelled = {ord(c): bytes_of(c)[0][0] for c in letters}
+        self.lead = bytes_of(" ")[0][0] if style == "space_leads" else ""
+        tried = [*letters, "".join(letters), "".join(letters[::-1])]
+        tried += [f"\n{t}" for t in tried if style == "space_leads"]
+        as_cut = [t if t[0] == "\n" or not self.lead else f" {t}" for t in tried]
+        self.direct = [self._letters(t) for t in tried] == self._bytes(as_cut)
+        self.direct &= not any(t.content.isalpha() for t in self.tokenizer.get_added_tokens_decoder().values())
 
     def _bytes(self, chunks: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
@@ -78,18 +107,67 @@ class ChunkEncoder:
             out += [joined[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(joined)], strict=True)]
         return out
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Encode chunks that are not known yet. None marks one that is no valid cut."""
+    def _letters(self, chunk: str) -> bytes:
+        """Ids of a chunk of letters, with its space or line break if it has one before it."""
+        before = self.lead
+        if chunk[0] == "\n":
+            before, chunk = "", chunk[1:]
+        spelled = before + (chunk if chunk.isascii() else chunk.translate(self.spelled))
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        if self.lead and not before:
+            ids.insert(0, self.line_break)
+        return array("I", ids).tobytes()
+
+    def _of_marks(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) >= MARK_ENTRIES:
+                self.marks.clear()
+            self.marks[marks] = self._bytes([marks])[0]
+        return self.marks[marks]
+
+    def _learn(self, chunks: list[str]) -> list[bytes | None]:
+        """Ids of distinct chunks; new ones are encoded. None marks one that is no valid cut."""
+        found = list(map(self.known.get, chunks, repeat(_UNKNOWN)))
+        places = [k for k, ids in enumerate(found) if ids is _UNKNOWN]
+        if len(self.known) + len(places) > CACHE_ENTRIES[self.style]:
+            # The others were found in what is now the older generation, and are taken over.
+            self.known, self.older, places = {}, self.known, range(len(chunks))
         known, older = self.known, self.older
-        new = [c for c in chunks if c not in known]
-        if len(known) + len(new) > CACHE_ENTRIES[self.style]:
-            self.known, self.older, new = {}, known, list(chunks)
-            known, older = self.known, self.older
-        known.update((c, older[c]) for c in new if c in older)
-        new = [c for c in new if c not in known]
+        if older:
+            for k in places:
+                found[k] = older.get(chunks[k], _UNKNOWN)
+                if found[k] is not _UNKNOWN:
+                    known[chunks[k]] = found[k]
+            places = [k for k in places if found[k] is _UNKNOWN]
+        if self.direct:
+            places = self._learn_letters(chunks, places, found)
+        new = [chunks[k] for k in places]
         if self.style == "spaces_dropped":
-            self._learn_words(new)
-            return
+            known.update(zip(new, self._bytes(new), strict=True))
+        else:
+            self._learn_after_space(new)
+        for k in places:
+            found[k] = known[chunks[k]]
+        return found
+
+    def _learn_letters(self, chunks: list[str], places: Iterable[int], found: list) -> list[int]:
+        """Learn chunks of letters, and of letters and marks behind them; the other places are returned."""
+        known, is_letters, others = self.known, _LETTERS[self.style], []
+        for k in places:
+            chunk = chunks[k]
+            word = chunk.rstrip(_MARKS)
+            if not is_letters(word):
+                others.append(k)
+                continue
+            ids = known.get(word)
+            if ids is None:
+                known[word] = ids = self._letters(word)
+            if len(word) < len(chunk):
+                known[chunk] = ids = ids + self._of_marks(chunk[len(word) :])
+            found[k] = ids
+        return others
+
+    def _learn_after_space(self, new: list[str]) -> None:
         # A chunk that was cut off after a space gets it back; one that starts with a line
         # break was cut off before it. Any other start with white space, or none at all, means
         # that the cut was inside a run of white space.
@@ -100,20 +178,11 @@ class ChunkEncoder:
         plain = [c for c in words if "\n" not in c]
         self.known.update(zip(plain, self._bytes_joined([f" {c}" for c in plain]), strict=True))
 
-    def _learn_words(self, new: list[str]) -> None:
-        """Learn chunks without spaces; letters and the marks behind them are pieces of their own."""
-        parts = {c: m.groups() for c in new if (m := _MARKS_AFTER(c))}
-        known = self.known
-        wanted = {p for pair in parts.values() for p in pair}
-        wanted.update(c for c in new if c not in parts)
-        wanted = [c for c in wanted if c not in known]
-        known.update(zip(wanted, self._bytes(wanted), strict=True))
-        known.update((c, known[a] + known[b]) for c, (a, b) in parts.items())
-
-    def _chunks(self, text: str) -> list[str]:
+    def _spaced(self, text: str) -> str:
+        """The text with a space before every boundary that is used."""
         if self.style == "spaces_dropped":
-            return (text.lower() if self.lowers and _is_latin_1(text) else text).replace("\n", " ").split(" ")
-        return text.replace("\n", " \n").split(" ")
+            return (text.lower() if self.lowers and _is_latin_1(text) else text).replace("\n", " ")
+        return text.replace("\n", " \n")
 
     def _slowly(self, text: str) -> bytes:
         """For texts with runs of white space: cut only before a space that a non-space follows."""
@@ -128,22 +197,37 @@ class ChunkEncoder:
         return out
 
     def _encode_group(self, texts: list[str]) -> list[bytes]:
-        cut = [self._chunks(t) for t in texts]
-        first = [""] * len(texts)
+        spaced = list(map(self._spaced, texts))
+        edges = np.cumsum([0, *(t.count(" ") + 1 for t in spaced)])
+        cut = pc.split_pattern(pa.array([" ".join(spaced).encode()], pa.large_binary()).view(pa.large_string()), " ")
+        coded = cut.values.dictionary_encode()
+        place = coded.indices.to_numpy()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = self._learn(chunks)
         if self.style == "space_leads":
             # The first chunk has no space before it, so it is encoded as it stands.
-            first = [c.pop(0) for c in cut]
-        wanted = set().union(*cut)
-        self._learn(wanted)
-        heads = self._bytes(first)
-        get, out = self.known.__getitem__, []
-        for text, head, chunks in zip(texts, heads, cut, strict=True):
-            try:
-                out.append(head + b"".join(map(get, chunks)))
-            except (KeyError, TypeError):  # an irregular cut, or the cache was emptied in between
-                out.append(self._slowly(text))
-        for chunk in [c for c in wanted if len(c) > CACHED_CHARS]:
+            heads = self._bytes([chunks[k] for k in place[edges[:-1]].tolist()])
+            place = place.copy()
+            place[edges[:-1]] = np.arange(len(ids), len(ids) + len(heads))
+            ids += heads
+
+        slow = set()
+        if None in ids:
+            irregular = np.flatnonzero(np.array([i is None for i in ids])[place])
+            slow = set((np.searchsorted(edges, irregular, "right") - 1).tolist())
+            ids = [i or b"" for i in ids]
+        every = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(size) - size
+        # Where each id of the group lies among the ids of the distinct chunks.
+        sizes = size[place]
+        ends = np.cumsum(sizes)
+        joined = every[np.repeat(start[place] - ends + sizes, sizes) + np.arange(ends[-1])].tobytes()
+        at = (4 * np.concatenate([[0], ends])[edges]).tolist()
+        out = [self._slowly(t) if k in slow else joined[at[k] : at[k + 1]] for k, t in enumerate(texts)]
+        for chunk in [c for c in chunks if len(c) > CACHED_CHARS]:
             self.known.pop(chunk, None)
+            self.known.pop(chunk.rstrip(_MARKS), None)
         return out
 
 
@@ -167,6 +251,19 @@ def _groups(texts: Iterable[str | None]) -> Iterator[list[str]]:
         yield group
 
 
+def in_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows in order, as tables of about as many bytes as a group has characters."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GROUP_CHARS:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str, style: str) -> ChunkEncoder:
     """The encoder that a Python worker keeps from task to task."""

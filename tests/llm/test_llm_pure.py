@@ -55,6 +55,27 @@ def test_any_text_encodes_as_a_whole(text):
 _encoders: dict[str, ChunkEncoder] = {}
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from("abÅßÿªµ.'!<|\n 9"), max_size=60))
+def test_letters_with_marks_encode_as_a_whole(text):
+    for name, style in (("byte_bpe_50k.json", "space_leads"), ("word_bpe_49k.json", "spaces_dropped")):
+        encoder = _encoders.setdefault(name, ChunkEncoder(name, style))
+        assert encoder.encode([text]) == [whole(encoder, text)]
+
+
+def test_new_words_go_to_the_model_alone(chunked, monkeypatch):
+    text = "Zqxa\nvbnmk, plöf wrtz... Xyzzyq vbnmk"
+    slowly = []
+    for step in ("_bytes", "_bytes_joined"):
+        monkeypatch.setattr(chunked, step, lambda some, step=getattr(chunked, step): slowly.extend(some) or step(some))
+    assert chunked.direct
+    assert chunked.encode([text]) == [whole(chunked, text)]
+    assert set(slowly) <= {"Zqxa", ",", "..."}  # the first chunk, as it has no space before it, and marks
+    monkeypatch.setattr(chunked, "direct", False)
+    chunked.known.clear()
+    assert chunked.encode([text]) == [whole(chunked, text)]
+
+
 def test_a_full_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr("strataline.llm.tokenization.CACHE_ENTRIES", {"space_leads": 3})
     encoder = ChunkEncoder("byte_bpe_50k.json", "space_leads")
