@@ -12,6 +12,7 @@ from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from hypothesis import given, settings
@@ -19,7 +20,7 @@ from hypothesis import strategies as st
 
 from strataline.llm import decontaminate, embeddings, jaccard, licenses, packing, pii, quality, token_files, toxicity, warc
 from strataline.llm.components import local_roots
-from strataline.llm.tokenization import ChunkEncoder
+from strataline.llm.tokenization import ChunkEncoder, in_groups
 from strataline.llm.words import shingle_set, window_hashes, word_hashes
 
 ODD_TEXTS = [
@@ -76,6 +77,15 @@ def test_new_words_go_to_the_model_alone(chunked, monkeypatch):
     assert chunked.encode([text]) == [whole(chunked, text)]
 
 
+def test_batches_are_grouped_in_order(monkeypatch):
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array([f"{k}" * 10] * 2)}) for k in range(5)]
+    monkeypatch.setattr("strataline.llm.tokenization.GROUP_CHARS", 2 * batches[0].nbytes)
+    groups = list(in_groups(iter(batches)))
+    assert [len(g) for g in groups] == [4, 4, 2]
+    assert [t for g in groups for t in g[0].to_pylist()] == [f"{k}" * 10 for k in range(5) for _ in range(2)]
+    assert list(in_groups(iter([]))) == []
+
+
 def test_a_full_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr("strataline.llm.tokenization.CACHE_ENTRIES", {"space_leads": 3})
     encoder = ChunkEncoder("byte_bpe_50k.json", "space_leads")
