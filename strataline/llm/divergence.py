@@ -1,8 +1,8 @@
 """How the sources of a language differ in their terms, with late materialisation of strings.
 
-What is counted and joined are fixed-width digests of terms. The smallest and largest string of a
-digest show whether it stands for one term; a digest of several is split by string and counted
-anew. Strings are joined back for the rows of the result alone.
+What is counted and joined are fixed-width digests of terms. The distinct strings of a digest show
+whether it stands for one term; a digest of several is split by string and counted anew. Strings
+are joined back for the rows of the result alone.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ SCALE = 1_000_000_000
 TOP_TERMS = 200
 
 #: Terms of groups that a task adds up before it hands them on, and rows of an output batch.
-HELD_TERMS, OUT_ROWS = 300_000, 20_000
+HELD_TERMS, OUT_ROWS = 600_000, 20_000
 #: Parts into which the groups of one language are dealt when they are joined.
 SALTS = 32
 DIGEST_BITS = 64
@@ -94,7 +94,8 @@ def keyed_groups(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def counted_terms(partial: DataFrame, min_documents: int, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Kept terms per language, their counts per group, and the string of each kept digest.
+    """Kept terms per language, their counts per group, and the string of each kept digest (null
+    if it stands for several terms).
 
     A term is (digest, split): `split` is empty unless the digest stands for several terms.
     """
@@ -109,9 +110,9 @@ def counted_terms(partial: DataFrame, min_documents: int, bits: int) -> tuple[Da
     # Only a digest in enough documents can stand for a kept term, so only their strings travel:
     # a bit filter sorts out nearly all others before the join does.
     likely = partial.where(may_hold(filter_of(kept, "digest", FILTER_BITS), F.col("digest"), FILTER_BITS))
-    strings = likely.select(*keys, "term").distinct().groupBy(*keys).agg(F.min("term").alias("low"), F.max("term").alias("high"))
-    strings = stored(strings.join(kept, keys, "left_semi"), "divergence-strings")
-    several = strings.where("low <> high").select(*keys)
+    # Counting them takes a hash table; a least and a largest string would have all rows sorted.
+    strings = stored(likely.select(*keys, "term").distinct().join(kept, keys, "left_semi"), "divergence-strings")
+    several = strings.groupBy(*keys).count().where("count > 1").select(*keys)
     if several.isEmpty():
         kept = kept.select(*keys, none, "lang_n")
         in_groups = counts.select("group_key", *keys, none, "n")
@@ -122,7 +123,8 @@ def counted_terms(partial: DataFrame, min_documents: int, bits: int) -> tuple[Da
         kept = stored(alone.unionByName(per_lang(apart, [*keys, "split"]).drop("df")), "divergence-kept")
         in_groups = counts.join(several, keys, "left_anti").select("group_key", *keys, none, "n")
         in_groups = in_groups.unionByName(apart.select("group_key", *keys, "split", "n"))
-    return kept, in_groups, strings.select(*keys, F.col("low").alias("term"))
+        strings = strings.join(several, keys, "left_anti").unionByName(several.select(*keys, F.lit(None).cast("binary").alias("term")))
+    return kept, in_groups, strings
 
 
 def _share(n: Column, total: Column, terms: Column) -> Column:
