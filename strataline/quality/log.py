@@ -28,6 +28,9 @@ NODE = (
 MANIFEST_DDL = f"metadata struct<invocation_id:string>, nodes map<string,{NODE}>"
 RUN_RESULTS_DDL = "results array<struct<unique_id:string,status:string,failures:bigint>>"
 
+# The task that all rows of a run are sent to.
+PLACE = "_place"
+
 # The run listing a backfill looks at.
 RUNS_KEPT = 20
 STATUS_SUCCESS = 10
@@ -39,11 +42,14 @@ def layer_of(model: Column | str) -> Column:
     return F.when(name.startswith("stg_"), "staging").otherwise("marts")
 
 
-def category_table(spark: SparkSession) -> DataFrame:
+def _categories() -> dict[str, str]:
     """Category per test name; artifacts name a package's test with or without the package."""
-    names = {name.rpartition(".")[2]: category for name, category in TEST_CATEGORIES.items()}
-    names.update(TEST_CATEGORIES)
-    return literal_table(spark, list(names.items()), "test_name string, test_category string")
+    return {name.rpartition(".")[2]: category for name, category in TEST_CATEGORIES.items()} | TEST_CATEGORIES
+
+
+def category_table(spark: SparkSession) -> DataFrame:
+    """The categories as a table."""
+    return literal_table(spark, list(_categories().items()), "test_name string, test_category string")
 
 
 def log_rows(
@@ -99,6 +105,28 @@ def read_artifacts(
     return parsed.select(*[f.name for f in kind.fields if f.name != "run_id"], run.alias("run_id"))
 
 
+def _node_of(entry: Column, invocation_id: Column) -> Column:
+    """What the log asks of an entry of a manifest; ``test`` is NULL if it is no known test."""
+    node = entry["value"]
+    name = node["test_metadata"]["name"]
+    test = F.struct(
+        invocation_id.alias("invocation_id"),
+        name.alias("test_name"),
+        node["column_name"].alias("column_name"),
+        node["config"]["severity"].alias("severity"),
+        F.get(node["depends_on"]["nodes"], F.lit(0)).alias("model_id"),
+    )
+    known = (node["resource_type"] == "test") & name.isin(*_categories())
+    return F.struct(entry["key"].alias("unique_id"), node["name"].alias("name"), F.when(known, test).alias("test"))
+
+
+def _by_run(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """The rows of each run, brought together in the task numbered PLACE."""
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    run = F.col("run_id").cast("string").alias("run_id")
+    return df.select(F.pmod(F.hash(run), F.lit(count)).alias(PLACE), run, *columns).repartitionById(count, PLACE)
+
+
 def parse_artifacts(
     manifests: DataFrame,
     run_results: DataFrame,
@@ -112,34 +140,24 @@ def parse_artifacts(
     and results are exploded and joined on (run, node), so any number of runs is
     handled at once. The model of a test is the first node it depends on.
 
+    Documents travel to the task of their run as one row each, reduced to what the log asks for, and
+    are exploded there. The joins name that task first, so none of them shuffles exploded rows.
+
     Spark takes exploded rows to be as large as the documents' files and would broadcast them, so
     these joins are asked to sort and merge.
     """
-    nodes = manifests.select(
-        "run_id",
-        F.col("metadata.invocation_id").alias("invocation_id"),
-        F.explode("nodes").alias("unique_id", "node"),
-    )
-    tests = nodes.filter(F.col("node.resource_type") == "test").select(
-        "run_id",
-        "unique_id",
-        "invocation_id",
-        F.col("node.test_metadata.name").alias("test_name"),
-        F.col("node.column_name").alias("column_name"),
-        F.col("node.config.severity").alias("severity"),
-        F.get("node.depends_on.nodes", F.lit(0)).alias("model_id"),
-    )
-    names = nodes.select(
-        "run_id", F.col("unique_id").alias("model_id"), F.col("node.name").alias("model_name")
-    )
-    outcomes = run_results.select("run_id", F.inline("results")).withColumnRenamed(
-        "failures", "failure_count"
-    )
+    placed = [PLACE, "run_id"]
+    listed = F.transform(F.map_entries("nodes"), lambda e: _node_of(e, F.col("metadata.invocation_id")))
+    nodes = _by_run(manifests, listed.alias("nodes")).select(*placed, F.inline_outer("nodes"))
+    tests = nodes.filter(F.col("test").isNotNull()).select(*placed, "unique_id", "test.*")
+    names = nodes.select(*placed, F.col("unique_id").alias("model_id"), F.col("name").alias("model_name"))
+    outcomes = _by_run(run_results, "results").select(*placed, F.inline_outer("results"))
     recognised = tests.join(category_table(manifests.sparkSession), "test_name")
+    # Spark sees that rows are in place after an outer join, but not after an inner one, which comes last.
     parsed = (
-        outcomes.join(recognised.hint("merge"), ["run_id", "unique_id"])
-        .join(names.hint("merge"), ["run_id", "model_id"], "left")
-        .join(runs, "run_id", "left")
+        recognised.join(names.hint("merge"), [*placed, "model_id"], "left")
+        .join(_by_run(runs, "run_started_at", "run_finished_at", "trigger_type"), placed, "left")
+        .join(outcomes.withColumnRenamed("failures", "failure_count").hint("merge"), [*placed, "unique_id"])
         .withColumn("evaluated_rows", F.lit(None).cast("bigint"))
         .withColumn("is_backfilled", F.lit(is_backfilled))
     )

@@ -322,14 +322,21 @@ def _artifact_sql(source: str, trigger: str, counts: str, backfilled: str) -> st
             'test.d' FROM {source}"""
 
 
+_DOCUMENTS_PER_FILE = 50_000
+
+
 @case(
     "io14_artifact_scan", _artifact_sql("orders", "schedule", "CAST(NULL AS BIGINT)", "false")
 )
 def io14(t):
-    """The artifacts go through files, one document per line."""
+    """The artifacts go through files, one document per line.
+
+    Every document repeats the names of its fields, so the files are compressed. Such files are not
+    split, so they hold so many documents each.
+    """
     manifests, results = scratch_path(t.spark, "manifests"), scratch_path(t.spark, "results")
-    _manifests(t).write.json(manifests)
-    _run_results(t).write.json(results)
+    for documents, path in ((_manifests(t), manifests), (_run_results(t), results)):
+        documents.write.option("maxRecordsPerFile", _DOCUMENTS_PER_FILE).json(path, compression="gzip")
     parsed = log.parse_artifacts(
         log.read_artifacts(t.spark, manifests, log.MANIFEST_DDL, one_per_line=True),
         log.read_artifacts(t.spark, results, log.RUN_RESULTS_DDL, one_per_line=True),

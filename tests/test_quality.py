@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 from collections import Counter
 
@@ -10,6 +11,8 @@ from strataline.operators import fingerprints
 from strataline.plans import rulebook
 from strataline.quality import log, rules, runner
 from strataline.sources.schemas import DQ_LOG_DDL, schema
+from strataline.workloads import quality_cases
+from strataline.workloads.registry import Inputs
 
 AS_OF = "2000-01-01"
 
@@ -202,6 +205,74 @@ def test_exploded_artifacts_are_not_broadcast(spark, artifacts):
     assert sum("unique_id" in line for line in merged) == sum("model_id" in line for line in merged) == 1
 
 
+RUNS = "run_id string, run_started_at string, run_finished_at string, trigger_type string"
+
+
+def test_artifacts_are_shuffled_as_documents_only(spark, artifacts):
+    """Nodes and results are exploded where their run is; nothing is shuffled for a join."""
+    manifests, results = artifacts
+    parsed = log.parse_artifacts(manifests, results, spark.createDataFrame([("1", "", "", "")], RUNS))
+    plan = parsed._jdf.queryExecution().executedPlan().toString().splitlines()
+    shuffles = [line for line in plan if "Exchange" in line and "BroadcastExchange" not in line]
+    assert shuffles and not [line for line in shuffles if "hashpartitioning" in line]
+    reads = "".join(plan[plan.index(shuffles[0]) :])
+    assert reads.count("Scan text") == len(shuffles) - 1  # all but the listing of runs
+
+
+@pytest.fixture
+def shuffle_partitions(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("shuffle_partitions", ["1", "3", "40"], indirect=True)
+def test_artifacts_meet_all_others_of_their_run(spark, shuffle_partitions):
+    """Repeated documents and listings give every combination; a run without an id has no rows."""
+
+    def manifest(run, invocation, model):
+        nodes = {
+            "m": ("model", model, None, None, None, None),
+            "t": ("test", "t", ("unique",), "c", ("warn",), (["m"],)),
+        }
+        return run, (invocation,), nodes
+
+    manifests = spark.createDataFrame(
+        [
+            manifest("1", "i1", "stg_a"), manifest("1", "i2", "dim_b"), manifest("2", "i3", "dim_c"),
+            manifest(None, "i4", "dim_d"), ("5", ("i5",), None), ("6", ("i6",), {}),
+        ],
+        f"run_id string, {log.MANIFEST_DDL}",
+    )
+    outcomes = [("t", "fail", 3), ("m", "success", None), (None, "fail", 9)]
+    results = spark.createDataFrame(
+        [("1", outcomes), ("2", outcomes), ("2", outcomes[:1]), (None, outcomes), ("5", outcomes), ("6", []), ("7", None)],
+        f"run_id string, {log.RUN_RESULTS_DDL}",
+    )
+    listing = [(1, "a", "b", "x"), (1, "a", "b", "y"), (None, "a", "b", "z")]
+    runs = spark.createDataFrame(listing, RUNS.replace("run_id string", "run_id bigint"))
+    found = log.parse_artifacts(manifests, results, runs).select(
+        "run_id", "invocation_id", "model_name", "trigger_type", "failure_count"
+    )
+    several = [("1", i, model, trigger, 3) for i in ("i1", "i2") for model in ("stg_a", "dim_b") for trigger in "xy"]
+    assert Counter(map(tuple, found.collect())) == Counter([*several, *2 * [("2", "i3", "dim_c", None, 3)]])
+
+
+def test_scanned_artifacts_are_stored_compressed_in_files_of_a_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quality_cases, "_DOCUMENTS_PER_FILE", 100, raising=False)
+    monkeypatch.setattr(quality_cases, "scratch_path", lambda _, name: str(tmp_path / name))
+    orders = spark.range(0, 1000, 1, 1).selectExpr("id AS o_orderkey", "'F' AS o_orderstatus", "timestamp'2031-02-03' AS o_orderdate")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    rows = quality_cases.io14(Inputs(spark, str(tmp_path)))
+    assert rows.groupBy("run_id").count().filter("count = 3").count() == 1000
+    for name in ("manifests", "results"):
+        files = list((tmp_path / name).glob("part-*"))
+        texts = [gzip.decompress(f.read_bytes()) for f in files]
+        assert [t.count(b"\n") for t in texts] == [100] * 10
+        assert 5 * sum(f.stat().st_size for f in files) < sum(map(len, texts))
+
+
 def test_every_category_is_known_with_and_without_package(spark):
     known = {r.test_name: r.test_category for r in log.category_table(spark).collect()}
     for name, category in rules.TEST_CATEGORIES.items():
